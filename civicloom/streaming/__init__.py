@@ -1,0 +1,5 @@
+"""Empty on purpose.
+
+The workload this library serves is a batch warehouse: it has no event-time
+window, watermark, trigger or state, so there is no streaming operator to offer.
+"""
