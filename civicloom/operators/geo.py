@@ -144,7 +144,9 @@ def _geometry(edges: Iterator[tuple[float, float, float, float]]) -> dict:
         (ax, ay), (bx, by) = hole[0], hole[1]
         spot = ((ax + bx) / 2, (ay + by) / 2)
         # The smallest outer ring around the hole is its owner.
-        owner = next(i for i, (_, ring) in enumerate(outers) if _inside(spot, ring))
+        owner = next((i for i, (_, ring) in enumerate(outers) if _inside(spot, ring)), None)
+        if owner is None:
+            raise ValueError("hole outside every ring: the members do not tile the plane")
         members[owner].append(hole)
     shapes = [[[list(p) for p in ring] for ring in member] for member in members]
     if len(shapes) == 1:
