@@ -1 +1,161 @@
-"""Queries."""
+"""Town and neighbourhood reports on observations derived from order lines.
+
+Every order line counts towards one published variable, chosen by its part,
+supplier and line number, in the region or nation of its customer and the year
+of its order.  The report code is the warehouse's own.
+"""
+
+from pyspark.sql import functions as F
+
+from civicloom.operators import joins
+from civicloom.operators.reshape import widen
+from civicloom.plans import reports, survey
+from civicloom.queries.registry import QUERIES, query
+
+AREAS = {"place": ("r_regionkey", "37"), "block group": ("n_nationkey", "37119")}
+
+
+def _codes(report):
+    """Variables the report can meet: its own, and the first line of each required table."""
+    used = {c for m in report.measures for c in m.codes}
+    firsts = {f"{t}_{n:03d}" for t in report.requires for n in (1, 9) if not t.startswith("S")}
+    return sorted(used | firsts)
+
+
+def line_observations(t, codes, geography):
+    """Raw observations; an estimate of few lines is marked as not estimated."""
+    area, prefix = AREAS[geography]
+    slot = F.pmod(F.col("l_partkey") * 7 + F.col("l_suppkey") * 3 + F.col("l_linenumber"), F.lit(len(codes)))
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("o_orderkey"), slot.alias("slot"), "l_quantity"
+    )
+    orders = t.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("vintage_year"))
+    per_customer = (
+        lines.join(orders, "o_orderkey")
+        .groupBy(F.col("o_custkey").alias("c_custkey"), "vintage_year", "slot")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("l_quantity").alias("top"))
+    )
+    people = (
+        t.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+        .join(t.nation.select("n_nationkey", F.col("n_regionkey").alias("r_regionkey")), "n_nationkey")
+        .select("c_custkey", area)
+    )
+    cells = (
+        per_customer.join(people, "c_custkey")
+        .groupBy(area, "vintage_year", "slot")
+        .agg(F.sum("n").alias("n"), F.max("top").alias("top"))
+    )
+    code = F.element_at(F.array(*[F.lit(c) for c in codes]), (F.col("slot") + 1).cast("int"))
+    estimate = F.when(F.col("top") < 9, float(survey.NOT_ESTIMATED)).otherwise(F.col("n").cast("double"))
+    return cells.select(
+        F.concat(F.lit(prefix), F.col(area).cast("string")).alias("GEOID"),
+        F.concat(F.lit(" place "), F.col(area).cast("string")).alias("NAME"),
+        F.concat(code, F.lit("E")).alias("variable"),
+        estimate.alias("estimate"),
+        F.col("top").alias("moe"),
+        "vintage_year",
+    )
+
+
+def observations_sql(codes, geography):
+    area, prefix = AREAS[geography]
+    listed = "[" + ", ".join(f"'{c}'" for c in codes) + "]"
+    return f"""
+    WITH obs AS (SELECT '{prefix}' || {area} AS geoid, CAST(year(o_orderdate) AS INTEGER) AS yr,
+        list_extract({listed}, CAST((l_partkey * 7 + l_suppkey * 3 + l_linenumber) % {len(codes)} AS INTEGER) + 1) AS variable,
+        CASE WHEN max(l_quantity) < 9 THEN NULL ELSE CAST(count(*) AS DOUBLE) END AS estimate
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+      JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3)"""
+
+
+def measure_sql(m):
+    def add(codes):
+        return "(" + " + ".join(f'"{c}"' for c in codes) + ")"
+
+    if not m.bottom:
+        return f'{add(m.top)} AS "{m.name}"'
+    base = f"nullif({add(m.bottom)}, 0)" if m.guarded else add(m.bottom)
+    value = f"{add(m.top)} / {base}"
+    if m.scale != 1.0:
+        value = f"({value}) * {m.scale:g}"
+    return f'round({value}, {m.digits}) AS "{m.name}"'
+
+
+def wide_sql(report):
+    """Join of one wide table per published table, as a star schema would hold them."""
+    codes = sorted({c for m in report.measures for c in m.codes})
+    facts = []
+    for table in report.requires:
+        own = [c for c in codes if c.split("_")[0] == table]
+        columns = "".join(f", max(CASE WHEN variable = '{c}' THEN estimate END) AS \"{c}\"" for c in own)
+        facts.append(f"(SELECT geoid, yr{columns} FROM obs WHERE variable LIKE '{table}\\_%' ESCAPE '\\' GROUP BY 1, 2)")
+    first, *rest = facts
+    joined = f"{first} f0" + "".join(f" JOIN {f} f{i} USING (geoid, yr)" for i, f in enumerate(rest, 1))
+    return joined, ", ".join(measure_sql(m) for m in report.measures)
+
+
+def _town(name, report):
+    codes = _codes(report)
+    source, measures = wide_sql(report)
+    sql = f"""{observations_sql(codes, "place")}
+    SELECT geoid AS "GEOID", r_name AS town, yr AS year, {measures} FROM {source} JOIN region ON geoid = '37' || r_regionkey"""
+
+    def build(t):
+        raw = line_observations(t, codes, "place")
+        towns = t.region.select(
+            F.concat(F.lit("37"), F.col("r_regionkey").cast("string")).alias("place_GEOID"),
+            F.col("r_name").alias("town_name"),
+        )
+        return reports.town_report(name, survey.clean_observations(raw, places="place"), towns)
+
+    query(sql, name=name)(build)
+
+
+# Neighbourhoods over nations; nation 4 is claimed by two.
+HOODS = {"Harbour": ["371191"], "Mill": ["371192", "371193"], "Oak": ["371194"],
+         "Ridge": ["371194", "371195", "371196", "3711911", "3711912"]}
+
+
+def _hood(name, report):
+    codes = _codes(report)
+    source, measures = wide_sql(report)
+    notes = name == "agg_neighborhood_demographics"
+    members = ", ".join(
+        f"('{g}', '{n}', '{reports.disclaimer(HOODS, n)}')" for n, gs in HOODS.items() for g in gs
+    )
+    sql = f"""{observations_sql(codes, "block group")}
+    SELECT hood AS neighborhood_name, {"note AS disclaimer, " if notes else ""}geoid AS "GEOID", yr AS year, {measures}
+    FROM {source} JOIN (VALUES {members}) m(geoid, hood, note) USING (geoid)"""
+
+    def build(t):
+        observations = survey.clean_observations(line_observations(t, codes, "block group"))
+        members = reports.neighborhood_members(t.spark, HOODS, "GEOID")
+        return reports.neighborhood_report(name, observations, members)
+
+    query(sql, name=name)(build)
+
+
+for _name, _report in reports.TOWN_REPORTS.items():
+    _town(_name, _report)
+for _name, _report in reports.NEIGHBORHOOD_REPORTS.items():
+    _hood(_name, _report)
+
+
+_TRENDS = reports.TOWN_REPORTS["agg_town_economic_trends"]
+
+
+@query(QUERIES["agg_town_economic_trends"].sql, name="town_trends_by_fact_join")
+def town_trends_by_fact_join(t):
+    """The same report by widening each published table and joining the facts."""
+    observations = survey.clean_observations(line_observations(t, _codes(_TRENDS), "place"))
+    keyed = observations.withColumnRenamed("vintage_year", "year")
+    facts = []
+    for table in _TRENDS.requires:
+        own = {m.name: F.col("variable") == m.top[0] for m in _TRENDS.measures if m.top[0].startswith(table)}
+        rows = keyed.where(F.col("variable").startswith(f"{table}_"))
+        facts.append(widen(rows, ["GEOID", "year"], own, {"estimate": ""}))
+    towns = t.region.select(
+        F.concat(F.lit("37"), F.col("r_regionkey").cast("string")).alias("GEOID"),
+        F.col("r_name").alias("town"),
+    )
+    return joins.attach(joins.join_facts(facts, ["GEOID", "year"]), towns, "GEOID")
