@@ -23,9 +23,14 @@ HOUSEHOLD_COUNTS = ("total_households", "poverty_households", "alice_households"
 
 
 def tolerant_day(text: Column | str) -> Column:
-    """``2015-01-31`` or ``1/31/15`` to a date; NULL otherwise."""
+    """``2015-01-31`` or ``1/31/15`` to a date; NULL otherwise.
+
+    Two-digit years 69-99 belong to the last century.
+    """
     c = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c, "M/d/yy"))
+    short = F.try_to_date(c, "M/d/yy")
+    short = F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short)
+    return F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), short)
 
 
 # -- cleaning ----------------------------------------------------------------
@@ -152,17 +157,21 @@ def market_rent_fact(market_rents: DataFrame, regions: DataFrame, bedrooms: Data
     return joined.select("region_key", "year_key", "bedroom_key", "fmr")
 
 
-def _of_reference_region(df: DataFrame, regions: DataFrame) -> DataFrame:
+def _of_one_region(df: DataFrame, regions: DataFrame, region: str, year: int) -> DataFrame:
     """The source covers one region and one year and names neither."""
-    named = F.col("region_name") == REFERENCE_REGION
-    tagged = joins.attach_constant(df, regions, named, ["region_key"])
-    return tagged.withColumn("year_key", F.lit(REFERENCE_YEAR))
+    tagged = joins.attach_constant(df, regions, F.col("region_name") == region, ["region_key"])
+    return tagged.withColumn("year_key", F.lit(year))
 
 
 def affordability_fact(
-    affordability: DataFrame, regions: DataFrame, bedrooms: DataFrame, levels: DataFrame
+    affordability: DataFrame,
+    regions: DataFrame,
+    bedrooms: DataFrame,
+    levels: DataFrame,
+    region: str = REFERENCE_REGION,
+    year: int = REFERENCE_YEAR,
 ) -> DataFrame:
-    keyed = _of_reference_region(affordability, regions).withColumnsRenamed(
+    keyed = _of_one_region(affordability, regions, region, year).withColumnsRenamed(
         {"bedrooms": "bedroom_label", "ami_level": "ami_level_label"}
     )
     joined = joins.attach(joins.attach(keyed, bedrooms, "bedroom_label"), levels, "ami_level_label")
@@ -172,8 +181,15 @@ def affordability_fact(
     )
 
 
-def wage_fact(wages: DataFrame, regions: DataFrame, occupations: DataFrame) -> DataFrame:
-    keyed = _of_reference_region(wages, regions).withColumnRenamed("occupation", "occupation_name")
+def wage_fact(
+    wages: DataFrame,
+    regions: DataFrame,
+    occupations: DataFrame,
+    region: str = REFERENCE_REGION,
+    year: int = REFERENCE_YEAR,
+) -> DataFrame:
+    keyed = _of_one_region(wages, regions, region, year)
+    keyed = keyed.withColumnRenamed("occupation", "occupation_name")
     joined = joins.attach(keyed, occupations.drop("category"), "occupation_name")
     return joined.select("region_key", "year_key", "occupation_key", "hourly_wage", "employment")
 

@@ -16,6 +16,7 @@ for _area in (
     "mapping",
     "townships",
     "schooling",
+    "living",
 ):
     import_module(f"civicloom.queries.{_area}")
 
