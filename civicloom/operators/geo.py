@@ -12,6 +12,7 @@ import json
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,11 +141,13 @@ def _geometry(edges: Iterator[tuple[float, float, float, float]]) -> dict:
         (outers if size > 0 else holes).append((abs(size), ring))
     outers.sort(key=lambda item: (item[0], item[1]))
     members = [[ring] for _, ring in outers]
+    low = np.array([np.min(ring, axis=0) for _, ring in outers])
+    high = np.array([np.max(ring, axis=0) for _, ring in outers])
     for _, hole in sorted(holes, key=lambda item: item[1]):
-        (ax, ay), (bx, by) = hole[0], hole[1]
-        spot = ((ax + bx) / 2, (ay + by) / 2)
+        spot = (np.array(hole[0]) + np.array(hole[1])) / 2
         # The smallest outer ring around the hole is its owner.
-        owner = next((i for i, (_, ring) in enumerate(outers) if _inside(spot, ring)), None)
+        boxed = np.flatnonzero(((low <= spot) & (spot <= high)).all(axis=1))
+        owner = next((i for i in boxed if _inside(tuple(spot), outers[i][1])), None)
         if owner is None:
             raise ValueError("hole outside every ring: the members do not tile the plane")
         members[owner].append(hole)

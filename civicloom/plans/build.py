@@ -68,6 +68,7 @@ COUNTIES = [("37119", "Mecklenburg County")]
 def land(house: Warehouse, inputs: Mapping[str, str]) -> list[str]:
     """Bronze: raw files to tables of text.  ``inputs`` maps bronze names to paths."""
     spark = house.spark
+    tables = {}
     for name, path in inputs.items():
         if name in CSV_COLUMNS:
             raw = files.read_csv(spark, path, CSV_COLUMNS[name])
@@ -81,8 +82,8 @@ def land(house: Warehouse, inputs: Mapping[str, str]) -> list[str]:
             raw = boundaries.read_features(spark, path, BOUNDARY_INPUTS[name])
         else:
             raise ValueError(f"unknown input {name}")
-        house.replace("bronze", name, raw)
-    return sorted(inputs)
+        tables[name] = raw
+    return house.replace_all("bronze", tables)
 
 
 SILVER = {
@@ -118,8 +119,9 @@ SILVER = {
 
 def clean(house: Warehouse) -> None:
     """Silver: typed tables, long observations and the variable crosswalk."""
-    for name, (source, step) in SILVER.items():
-        house.replace("silver", name, step(house.table("bronze", source)))
+    house.replace_all(
+        "silver", {name: step(house.table("bronze", source)) for name, (source, step) in SILVER.items()}
+    )
     block_groups = survey.clean_observations(house.table("bronze", "acs_blockgroup"))
     towns = survey.clean_observations(house.table("bronze", "acs_place"), places=survey.TOWN_PLACES)
     stored = [
@@ -136,27 +138,31 @@ def _dimensions(house: Warehouse) -> None:
 
     dates = house.replace("gold", "dim_date", relations.calendar(house.spark, *CALENDAR))
     house.replace("gold", "dim_year", relations.years_of(dates))
-    house.replace("gold", "dim_bg", places.block_group_dimension(silver("acs_bg"), silver("bg_geometry")))
-    house.replace("gold", "dim_block", places.block_dimension(silver("block_geometry")))
     towns = house.replace("gold", "dim_town", survey.town_dimension(silver("acs_place")))
     columns = {"county_GEOID": "string", "county_name": "string"}
     counties = relations.literal(house.spark, COUNTIES, columns)
-    house.replace("gold", "dim_county", model.append_missing(counties.limit(0), counties, ["county_GEOID"]))
     gap, wages, rents = (
         silver(n) for n in ("ami_affordability_gap", "charlotte_housing_wage", "charlotte_rent_by_bedroom")
     )
-    house.replace("gold", "dim_region", housing.region_dimension(rents))
-    house.replace("gold", "dim_bedrooms", housing.bedroom_dimension(gap))
-    house.replace("gold", "dim_ami_level", housing.income_level_dimension(gap))
-    house.replace("gold", "dim_occupation", housing.occupation_dimension(wages))
     master = silver("school_assess_ind_master")
-    house.replace("gold", "dim_school", schools.school_dimension(master, towns))
-    house.replace("gold", "dim_subgroup", schools.subgroup_dimension(master, silver("school_subgroup_format")))
-    subjects = silver("school_subject_code_format")
-    house.replace("gold", "dim_subject_code", schools.subject_dimension(master, subjects))
-    scopes = schools.scope_dimension(silver("school_combined_test_results"), silver("school_eog_eoc"))
-    house.replace("gold", "dim_grade_scope", scopes)
-    house.replace("gold", "dim_act_measure", schools.act_dimension(silver("school_act_grade11")))
+    scopes = silver("school_combined_test_results"), silver("school_eog_eoc")
+    house.replace_all(
+        "gold",
+        {
+            "dim_bg": places.block_group_dimension(silver("acs_bg"), silver("bg_geometry")),
+            "dim_block": places.block_dimension(silver("block_geometry")),
+            "dim_county": model.append_missing(counties.limit(0), counties, ["county_GEOID"]),
+            "dim_region": housing.region_dimension(rents),
+            "dim_bedrooms": housing.bedroom_dimension(gap),
+            "dim_ami_level": housing.income_level_dimension(gap),
+            "dim_occupation": housing.occupation_dimension(wages),
+            "dim_school": schools.school_dimension(master, towns),
+            "dim_subgroup": schools.subgroup_dimension(master, silver("school_subgroup_format")),
+            "dim_subject_code": schools.subject_dimension(master, silver("school_subject_code_format")),
+            "dim_grade_scope": schools.scope_dimension(*scopes),
+            "dim_act_measure": schools.act_dimension(silver("school_act_grade11")),
+        },
+    )
 
 
 SCHOOL_FACT_SOURCES = {
@@ -189,8 +195,7 @@ def model_star(house: Warehouse) -> list[str]:
     for source, suffix, key in (("acs_bg", "bg", "block_group_GEOID"), ("acs_place", "town", "place_GEOID")):
         stage = scratch_path(house.spark, f"staged-{suffix}")
         made = survey.concept_facts(silver(source), cross, key, stage_to=stage)
-        for name, fact in made.tables.items():
-            house.replace("gold", f"{name}_{suffix}", fact)
+        house.replace_all("gold", {f"{name}_{suffix}": fact for name, fact in made.tables.items()})
         skipped += [f"{name}_{suffix}" for name in made.skipped]
 
     towns, regions, bedrooms = gold("dim_town"), gold("dim_region"), gold("dim_bedrooms")
@@ -210,8 +215,7 @@ def model_star(house: Warehouse) -> list[str]:
     }
     for name, source in SCHOOL_FACT_SOURCES.items():
         facts[name] = schools.school_fact(name, silver(source))
-    for name, fact in facts.items():
-        house.replace("gold", name, fact)
+    house.replace_all("gold", facts)
     return skipped
 
 
@@ -270,9 +274,7 @@ def report(house: Warehouse) -> list[str]:
 
     school_facts = {n: gold(n) for n in (*SCHOOL_FACT_SOURCES, "fact_school_assessment_master")}
     tables |= schools.reports(school_facts, gold("dim_school"), gold("dim_subgroup"))
-    for name, table in tables.items():
-        house.replace("main", name, table)
-    return sorted(tables)
+    return house.replace_all("main", tables)
 
 
 # Keys of the star schema, and the dimension each key column points to.

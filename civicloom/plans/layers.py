@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,10 +13,13 @@ LAYERS = ("bronze", "silver", "gold", "main")
 class Warehouse:
     """Tables by layer, each layer a Spark database under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = "") -> None:
+    def __init__(
+        self, spark: SparkSession, root: str, prefix: str = "", writers: int = 8
+    ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
+        self.writers = writers
         for layer in LAYERS:
             self._create(layer)
 
@@ -43,6 +47,16 @@ class Warehouse:
         writer.saveAsTable(f"`{self.database(layer)}`.`{table}`")
         return self.table(layer, table)
 
+    def replace_all(self, layer: str, tables: Mapping[str, DataFrame]) -> list[str]:
+        """Replace many independent tables, several writes at a time.
+
+        Small tables leave most of a cluster idle; their jobs overlap here.  The
+        first failure is raised.
+        """
+        with ThreadPoolExecutor(self.writers) as pool:
+            list(pool.map(lambda item: self.replace(layer, *item), tables.items()))
+        return sorted(tables)
+
     def table(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(f"`{self.database(layer)}`.`{table}`")
 
@@ -57,10 +71,13 @@ class Warehouse:
 
     def snapshot(self, target: str, layers: Iterable[str] = LAYERS) -> list[str]:
         """Copy every table of the layers to ``target/layer/table`` as Parquet."""
-        written = []
-        for layer in layers:
-            for name in self.tables(layer):
-                path = f"{target.rstrip('/')}/{layer}/{name}"
-                self.table(layer, name).write.mode("overwrite").parquet(path)
-                written.append(f"{layer}.{name}")
-        return written
+        found = [(layer, name) for layer in layers for name in self.tables(layer)]
+
+        def copy(item: tuple[str, str]) -> str:
+            layer, name = item
+            path = f"{target.rstrip('/')}/{layer}/{name}"
+            self.table(layer, name).write.mode("overwrite").parquet(path)
+            return f"{layer}.{name}"
+
+        with ThreadPoolExecutor(self.writers) as pool:
+            return list(pool.map(copy, found))

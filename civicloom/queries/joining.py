@@ -9,12 +9,15 @@ from civicloom.sources import relations
 
 
 def order_lines(t):
-    """Line totals per order: lines are combined before they meet the orders."""
-    net = s.exact("l_extendedprice") * (F.lit(1) - s.exact("l_discount", 4))
+    """Line totals per order: lines are combined before they meet the orders.
+
+    Quantity is in hundredths and revenue in ten-thousandths.
+    """
+    net = s.units("l_extendedprice") * (F.lit(100) - s.units("l_discount"))
     return t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.count(F.lit(1)).alias("lines"),
         F.count(F.when(F.col("l_returnflag") == "R", 1)).alias("returned"),
-        F.sum(s.exact("l_quantity")).alias("quantity"),
+        F.sum(s.units("l_quantity")).alias("quantity"),
         F.sum(net).alias("revenue"),
     )
 
@@ -38,8 +41,12 @@ def nation_years(t):
     """Order measures per nation and year."""
     people = t.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     joined = customer_years(t).join(people, "c_custkey")
-    measures = ["orders", "urgent", "lines", "returned", "quantity", "revenue"]
-    return joined.groupBy("n_nationkey", "yr").agg(*[F.sum(m).alias(m) for m in measures])
+    measures = ["orders", "urgent", "lines", "returned"]
+    # A nation's totals may pass the range of a long; few rows are left by now.
+    totals = [
+        F.sum(F.col(m).cast("decimal(20,0)") / 10**d).alias(m) for m, d in (("quantity", 2), ("revenue", 4))
+    ]
+    return joined.groupBy("n_nationkey", "yr").agg(*[F.sum(m).alias(m) for m in measures], *totals)
 
 
 NATION_YEARS_SQL = """
@@ -134,7 +141,7 @@ STATUS_FACT_SQL = """
 
 def status_fact(t):
     return t.orders.groupBy("o_custkey", "o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(s.exact("o_totalprice")).cast("double").alias("spent")
+        F.count(F.lit(1)).alias("n"), s.from_units(F.sum(s.units("o_totalprice"))).alias("spent")
     )
 
 

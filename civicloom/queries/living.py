@@ -11,6 +11,7 @@ from civicloom.plans import health, housing, places, reports
 from civicloom.queries.mapping import cell_shapes
 from civicloom.queries.registry import query
 from civicloom.queries.townships import HOODS
+from civicloom.session import durable
 
 
 def towns(t):
@@ -30,8 +31,9 @@ def customer_towns(t):
 
 
 def cents(total, count):
-    """Mean of a decimal total as text with two decimals."""
-    return s.round_binary(s.safe_ratio(total, count), 2).cast("decimal(12,2)").cast("string")
+    """Mean of a total in cents as text with two decimals."""
+    mean = s.safe_ratio(s.from_units(total), count)
+    return s.round_binary(mean, 2).cast("decimal(12,2)").cast("string")
 
 
 # -- home values and rents ---------------------------------------------------
@@ -49,7 +51,7 @@ RENTS_SQL = f"""
 def monthly(t, *by, orders=None):
     month = F.date_trunc("month", "o_orderdate").alias("month")
     per_customer = (t.orders if orders is None else orders).groupBy("o_custkey", month).agg(
-        F.sum(s.exact("o_totalprice")).alias("spent"), F.count(F.lit(1)).alias("n")
+        F.sum(s.units("o_totalprice")).alias("spent"), F.count(F.lit(1)).alias("n")
     )
     joined = per_customer.join(customer_towns(t), "o_custkey")
     return joined.groupBy("r_name", "month", *by).agg(F.sum("spent").alias("spent"), F.sum("n").alias("n"))
@@ -203,7 +205,7 @@ def clean_market(t):
     FROM market m JOIN (SELECT DISTINCT bedrooms, household_size FROM gap) b ON m.bedrooms = b.bedrooms"""
 )
 def agg_charlotte_fair_market_rent(t):
-    market = clean_market(t)
+    market = durable(clean_market(t))
     regions, bedrooms = housing.region_dimension(market), housing.bedroom_dimension(clean_gap(t))
     return housing.market_rents(housing.market_rent_fact(market, regions, bedrooms), regions, bedrooms)
 
@@ -215,7 +217,7 @@ def agg_charlotte_fair_market_rent(t):
 )
 def agg_charlotte_ami_affordability_gap(t):
     """Gaps of one region and year; a type without market rent keeps its row."""
-    market, gap = clean_market(t), clean_gap(t)
+    market, gap = durable(clean_market(t)), durable(clean_gap(t))
     regions = housing.region_dimension(market)
     bedrooms, levels = housing.bedroom_dimension(gap), housing.income_level_dimension(gap)
     fact = housing.affordability_fact(gap, regions, bedrooms, levels, "ASIA", 1999)

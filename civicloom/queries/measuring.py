@@ -125,10 +125,10 @@ def monthly_prices(t):
     )
     month = F.to_date(F.date_trunc("month", "o_orderdate")).alias("month_start")
     per_customer = t.orders.groupBy("o_custkey", month).agg(
-        F.sum(s.exact("o_totalprice")).alias("spent"), F.count(F.lit(1)).alias("n")
+        F.sum(s.units("o_totalprice")).alias("spent"), F.count(F.lit(1)).alias("n")
     )
     grouped = per_customer.join(segments, "o_custkey").groupBy("segment", "month_start")
-    mean = s.round_binary(s.safe_ratio(F.sum("spent"), F.sum("n")), 2)
+    mean = s.round_binary(s.safe_ratio(s.from_units(F.sum("spent")), F.sum("n")), 2)
     return grouped.agg(mean.alias("mean_price"))
 
 
@@ -228,12 +228,12 @@ def town_summary(t):
     """Distinct members and rounded means; orders are combined per customer first."""
     segments = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
     per_customer = t.orders.groupBy("o_custkey", "o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(s.exact("o_totalprice")).alias("spent")
+        F.count(F.lit(1)).alias("n"), F.sum(s.units("o_totalprice")).alias("spent")
     )
     joined = per_customer.join(segments, "o_custkey")
     return joined.groupBy("c_mktsegment").agg(
         F.count_distinct("o_custkey").alias("buyers"),
-        s.round_binary(s.safe_ratio(F.sum("spent"), F.sum("n")), 1).alias("mean_price"),
+        s.round_binary(s.safe_ratio(s.from_units(F.sum("spent")), F.sum("n")), 1).alias("mean_price"),
         F.count_distinct("o_orderpriority").alias("priorities"),
     )
 
