@@ -7,6 +7,7 @@ failed run resumes from what is on storage and no plan grows across layers.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -314,33 +315,43 @@ def _fact_key(house: Warehouse, table: str) -> list[str] | None:
     return None
 
 
-def integrity(house: Warehouse) -> DataFrame:
-    """Broken keys of the star schema: (table_name, key, problem, broken_keys), one row each.
+def broken_keys(house: Warehouse, table: str) -> DataFrame | None:
+    """Key problems of one gold table: (table_name, key, problem, broken_keys), or None.
 
-    Spark does not enforce keys; this report is what a constraint would refuse.
+    Keys that repeat or hold a NULL, and key values their dimension lacks.
     """
-    dimensions = {key: name for name, key in DIMENSION_KEYS.items()}
-    findings = []
-
-    def count(df: DataFrame, table: str, key: str, problem) -> None:
-        found = df.groupBy(problem.alias("problem")).agg(F.count(F.lit(1)).alias("broken_keys"))
-        findings.append(
-            found.select(F.lit(table).alias("table_name"), F.lit(key).alias("key"), "problem", "broken_keys")
+    df = house.table("gold", table)
+    key = [DIMENSION_KEYS[table]] if table in DIMENSION_KEYS else _fact_key(house, table)
+    if key is None:
+        return None
+    found = [(", ".join(key), model.key_violations(df, key), F.col("problem"))]
+    if table not in DIMENSION_KEYS:
+        dimensions = {column: name for name, column in DIMENSION_KEYS.items()}
+        for column in (c for c in df.columns if c in dimensions):
+            missing = model.orphan_keys(df, house.table("gold", dimensions[column]), [column])
+            found.append((column, missing, F.lit("missing in dimension")))
+    counted = [
+        problems.groupBy(F.lit(name).alias("key"), problem.alias("problem")).agg(
+            F.count(F.lit(1)).alias("broken_keys")
         )
+        for name, problems, problem in found
+    ]
+    return reduce(DataFrame.unionByName, counted).select(F.lit(table).alias("table_name"), "*")
 
-    for table in house.tables("gold"):
-        df = house.table("gold", table)
-        key = [DIMENSION_KEYS[table]] if table in DIMENSION_KEYS else _fact_key(house, table)
-        if key is None:
-            continue
-        count(model.key_violations(df, key), table, ", ".join(key), F.col("problem"))
-        if table in DIMENSION_KEYS:
-            continue
-        for column in (c for c in df.columns if c in dimensions):
-            target = house.table("gold", dimensions[column])
-            missing = model.orphan_keys(df, target, [column])
-            count(missing, table, column, F.lit("missing in dimension"))
-    return reduce(DataFrame.unionByName, findings)
+
+def integrity(house: Warehouse) -> list[tuple]:
+    """(table, key, problem, broken keys) of the whole star schema.
+
+    Spark does not enforce keys; this is what a constraint would refuse.  Each
+    table gives at most two rows per key, so only those reach the driver.
+    """
+
+    def check(table: str) -> list[tuple]:
+        problems = broken_keys(house, table)
+        return [] if problems is None else [tuple(row) for row in problems.collect()]
+
+    with ThreadPoolExecutor(house.writers) as pool:
+        return sorted(row for rows in pool.map(check, house.tables("gold")) for row in rows)
 
 
 def run(house: Warehouse, inputs: Mapping[str, str]) -> dict[str, list[str]]:
