@@ -15,7 +15,7 @@ from civicloom.functions.semantics import (
     round_binary,
     safe_ratio,
 )
-from civicloom.operators.reshape import widen
+from civicloom.operators.reshape import NARROW, cell, pivoted, widen
 
 
 def lines(table: str, *numbers: int) -> tuple[str, ...]:
@@ -89,17 +89,48 @@ def indicators(
     outside = sorted({c.split("_")[0] for c in codes} - set(requires))
     if outside:
         raise ValueError(f"measures use tables that are not required: {outside}")
-    picks = [
-        F.max(F.when(F.col("variable") == F.lit(c), F.col("estimate"))).alias(c) for c in codes
-    ]
     seen = {t: f"__has_{t}" for t in requires}
-    flags = [F.max(F.col("variable").startswith(f"{t}_")).alias(f) for t, f in seen.items()]
-    wide = wanted.groupBy(geo, year).agg(*picks, *flags)
+    if len(codes) <= NARROW:
+        flags = [F.max(F.col("variable").startswith(f"{t}_")).alias(f) for t, f in seen.items()]
+        picks = [
+            F.max(F.when(F.col("variable") == F.lit(c), F.col("estimate"))).alias(c) for c in codes
+        ]
+        wide = wanted.groupBy(geo, year).agg(*picks, *flags)
+    else:
+        wide = _many_codes(wanted, codes, seen, geo, year)
     for flag in seen.values():
         wide = wide.where(F.col(flag))
     return wide.select(geo, year, *[m.column() for m in measures])
 
 
+def _many_codes(
+    rows: DataFrame, codes: Sequence[str], seen: Mapping[str, str], geo: str, year: str
+) -> DataFrame:
+    """Estimates by code and presence by table through a pivot.
+
+    A code the measures do not use counts only as a sign of its table.
+    """
+    used = F.col("variable").isin(list(codes))
+    slot = F.when(used, F.col("variable")).otherwise(table_of("variable"))
+    wide = pivoted(
+        rows.withColumn("__slot", slot),
+        [geo, year],
+        "__slot",
+        [*codes, *seen],
+        {"top": F.max("estimate"), "n": F.count(F.lit(1))},
+    )
+    signs = {t: [t, *[c for c in codes if c.split("_")[0] == t]] for t in seen}
+    return wide.select(
+        geo,
+        year,
+        *[cell(c, "top").alias(c) for c in codes],
+        *[
+            F.coalesce(*[cell(s, "n") for s in signs[t]]).isNotNull().alias(f)
+            for t, f in seen.items()
+        ],
+    )
+
+
 def gap_wide(
     df: DataFrame,
     keys: Sequence[str],
@@ -115,8 +146,7 @@ def gap_wide(
     ``low`` and ``high`` are (role value, output name).  Keys lacking either
     value are left out.
     """
-    cells = {name: F.col(role) == F.lit(which) for which, name in (low, high)}
-    pair = widen(df.where(F.col(role).isin(low[0], high[0])), keys, cells, {value: ""})
+    pair = widen(df, keys, role, {name: [which] for which, name in (low, high)}, {value: ""})
     both = pair.where(F.col(low[1]).isNotNull() & F.col(high[1]).isNotNull())
     return both.withColumn(gap, difference(high[1], low[1], digits))
 

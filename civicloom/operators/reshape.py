@@ -71,20 +71,19 @@ def distinct_labels(df: DataFrame, label: str) -> list[str]:
     return sorted(row[0] for row in found)
 
 
-def widen(
+def pick_columns(
     df: DataFrame,
     keys: Sequence[str],
     cells: Mapping[str, Column],
     measures: Mapping[str, str],
 ) -> DataFrame:
-    """One row per key; one column per (measure, cell).
+    """One row per key; one column per (measure, cell), by conditional maxima.
 
     ``cells`` maps an output name to the condition that selects its rows and
     ``measures`` maps a value column to the suffix of its output columns.  All
-    columns of the first measure come first.  The conditional maxima combine on
-    the map side, so the single shuffle moves at most one partial row per key
-    and task however hot a key is, and repeated cells give the same answer in
-    every run.
+    columns of the first measure come first.  The maxima combine on the map
+    side, so the single shuffle moves at most one partial row per key and task
+    however hot a key is, and repeated cells give the same answer in every run.
     """
     picks = [
         F.max(F.when(condition, F.col(value))).alias(f"{name}{suffix}")
@@ -94,6 +93,64 @@ def widen(
     return df.groupBy(*keys).agg(*picks)
 
 
+#: Output columns up to which conditional maxima beat a pivot.  Their work per
+#: input row grows with the columns, and past 100 fields Spark stops compiling
+#: the stage; a pivot costs one more shuffle but the same work for any width.
+NARROW = 80
+
+
+def widen(
+    df: DataFrame,
+    keys: Sequence[str],
+    label: str,
+    cells: Mapping[str, Sequence[str]],
+    measures: Mapping[str, str],
+) -> DataFrame:
+    """Long to wide: one row per key, one column per (measure, cell).
+
+    ``cells`` maps an output name to the label values it collects, ``measures`` a
+    value column to the suffix of its output columns; the columns of the first
+    measure come first.  A key stays when any of its rows carries a listed label.
+    """
+    listed = [v for values in cells.values() for v in values]
+    rows = df.where(F.col(label).isin(listed))
+    if len(cells) * len(measures) <= NARROW:
+        conditions = {name: F.col(label).isin(list(values)) for name, values in cells.items()}
+        return pick_columns(rows, keys, conditions, measures)
+    wide = pivoted(rows, keys, label, listed, {value: F.max(value) for value in measures})
+    columns = [
+        _largest([cell(v, value) for v in values]).alias(f"{name}{suffix}")
+        for value, suffix in measures.items()
+        for name, values in cells.items()
+    ]
+    return wide.select(*keys, *columns)
+
+
+def pivoted(
+    df: DataFrame,
+    keys: Sequence[str],
+    label: str,
+    values: Sequence[str],
+    aggregates: Mapping[str, Column],
+) -> DataFrame:
+    """Spark's pivot over known labels; ``cell`` addresses its columns."""
+    named = [agg.alias(name) for name, agg in aggregates.items()]
+    wide = df.groupBy(*keys).pivot(label, list(values)).agg(*named)
+    if len(named) == 1:
+        (only,) = aggregates
+        renamed = [F.col(f"`{v}`").alias(f"{v}_{only}") for v in values]
+        wide = wide.select(*keys, *renamed)
+    return wide
+
+
+def cell(value: str, aggregate: str) -> Column:
+    return F.col(f"`{value}_{aggregate}`")
+
+
+def _largest(columns: Sequence[Column]) -> Column:
+    return columns[0] if len(columns) == 1 else F.greatest(*columns)
+
+
 def pivot_labels(
     df: DataFrame,
     keys: Sequence[str],
@@ -103,7 +160,7 @@ def pivot_labels(
 ) -> DataFrame:
     """Long to wide on a label column; labels are discovered when not given."""
     chosen = distinct_labels(df, label) if labels is None else list(labels)
-    return widen(df, keys, {v: F.col(label) == F.lit(v) for v in chosen}, measures)
+    return widen(df, keys, label, {v: [v] for v in chosen}, measures)
 
 
 def role_columns(
@@ -118,8 +175,7 @@ def role_columns(
     Replaces one filtered self-join per role by one aggregation.  ``roles`` maps
     a role value to a column prefix and ``measures`` a value column to a suffix.
     """
-    cells = {prefix: F.col(role) == F.lit(value) for value, prefix in roles.items()}
-    return widen(df.where(F.col(role).isin(list(roles))), keys, cells, measures)
+    return widen(df, keys, role, {prefix: [value] for value, prefix in roles.items()}, measures)
 
 
 @dataclass(frozen=True)
@@ -164,12 +220,9 @@ def fan_out(
     tables = {}
     for table in sorted(columns):
         labels = columns[table]
-        codes = [c for group in labels.values() for c in group]
-        rows = source.where(F.col(code).isin(codes))
-        if stage_to is not None:
-            rows = rows.where(F.col("table_name") == table)
-        cells = {label: F.col(code).isin(labels[label]) for label in sorted(labels)}
-        tables[table] = widen(rows, keys, cells, measures)
+        rows = source if stage_to is None else source.where(F.col("table_name") == table)
+        cells = {label: sorted(labels[label]) for label in sorted(labels)}
+        tables[table] = widen(rows, keys, code, cells, measures)
     return FanOut(tables, sorted(set(wanted) - set(tables)))
 
 

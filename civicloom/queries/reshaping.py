@@ -149,12 +149,8 @@ def concept_fan_out_staged(t):
 )
 def category_pivot(t):
     """Explicit-group pivot: category values become columns beside a plain aggregate."""
-    wide = reshape.widen(
-        t.events,
-        ["user_id"],
-        {k: F.col("event_type") == k for k in ("click", "purchase", "view")},
-        {"value": "_top"},
-    )
+    cells = {k: [k] for k in ("click", "purchase", "view")}
+    wide = reshape.widen(t.events, ["user_id"], "event_type", cells, {"value": "_top"})
     days = t.events.groupBy("user_id").agg(F.to_date(F.max("ts")).alias("last_day"))
     return wide.join(days, "user_id")
 
@@ -209,7 +205,7 @@ def pivot_roundtrip(t):
 )
 def conditional_pivot(t):
     cells = {"least_debt": F.col("c_acctbal") < 0, "best": F.col("c_acctbal") >= 0}
-    return reshape.widen(t.customer, ["c_mktsegment"], cells, {"c_acctbal": ""})
+    return reshape.pick_columns(t.customer, ["c_mktsegment"], cells, {"c_acctbal": ""})
 
 
 @query(

@@ -151,9 +151,10 @@ def town_trends_by_fact_join(t):
     keyed = observations.withColumnRenamed("vintage_year", "year")
     facts = []
     for table in _TRENDS.requires:
-        own = {m.name: F.col("variable") == m.top[0] for m in _TRENDS.measures if m.top[0].startswith(table)}
+        own = {m.name: m.top for m in _TRENDS.measures if m.top[0].startswith(table)}
         rows = keyed.where(F.col("variable").startswith(f"{table}_"))
-        facts.append(widen(rows, ["GEOID", "year"], own, {"estimate": ""}))
+        others = rows.select("GEOID", "year").distinct()
+        facts.append(others.join(widen(rows, ["GEOID", "year"], "variable", own, {"estimate": ""}), ["GEOID", "year"], "left"))
     towns = t.region.select(
         F.concat(F.lit("37"), F.col("r_regionkey").cast("string")).alias("GEOID"),
         F.col("r_name").alias("town"),

@@ -27,6 +27,23 @@ def test_pivot_puts_estimates_before_margins(spark):
     assert tuple(wide.where("geo = 'h'").first()) == ("h", 1, None, None, 0.3, None)
 
 
+def test_wide_and_narrow_paths_agree(spark, rows, monkeypatch):
+    rng = random.Random(9)
+    data = [
+        (f"g{rng.randint(0, 9)}", f"c{rng.randint(0, 6)}", None if rng.random() < 0.3 else rng.random(), rng.random())
+        for _ in range(200)
+    ]
+    long = spark.createDataFrame(data, "geo string, code string, a double, b double")
+    cells = {"one": ["c1"], "both": ["c2", "c3"], "none": ["c9"], "dot.ted": ["c4"]}
+    for measures in ({"a": ""}, {"a": "", "b": "_moe"}):
+        narrow = reshape.widen(long, ["geo"], "code", cells, measures)
+        want = narrow.columns, rows(narrow, *[f"`{c}`" for c in narrow.columns])
+        with monkeypatch.context() as patch:
+            patch.setattr(reshape, "NARROW", 0)
+            wide = reshape.widen(long, ["geo"], "code", cells, measures)
+        assert (wide.columns, rows(wide, *[f"`{c}`" for c in wide.columns])) == want
+
+
 def test_too_many_labels_is_an_error(spark):
     spark.conf.set("spark.sql.pivotMaxValues", "3")
     try:
@@ -127,7 +144,9 @@ def test_previous_event_equals_a_plain_window(spark):
     assert got == want
 
 
-def test_indicators_equal_the_join_of_wide_facts(spark):
+@pytest.mark.parametrize("narrow", [0, 80])
+def test_indicators_equal_the_join_of_wide_facts(spark, monkeypatch, narrow):
+    monkeypatch.setattr(metrics, "NARROW", narrow)
     rng = random.Random(7)
     data = [
         (f"g{g}", y, f"{t}_{n:03d}", None if rng.random() < 0.1 else float(rng.randint(0, 50)))
