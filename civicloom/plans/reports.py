@@ -603,7 +603,7 @@ def neighborhood_report(name: str, observations: DataFrame, members: DataFrame)
     before anything is shuffled.
     """
     report = NEIGHBORHOOD_REPORTS[name]
-    inside = observations.join(members.select("GEOID").distinct(), "GEOID", "left_semi")
+    inside = joins.only_members(observations, members.select("GEOID"), "GEOID")
     table = metrics.indicators(inside, report.measures, report.requires, "GEOID", "vintage_year")
     joined = joins.attach(table, members, "GEOID").withColumnRenamed("vintage_year", "year")
     notes = ["disclaimer"] if name == "agg_neighborhood_demographics" else []

@@ -22,31 +22,34 @@ def order_lines(t):
     )
 
 
-def customer_years(t):
-    """Order measures per customer and year."""
-    year = F.year("o_orderdate").alias("yr")
-    orders = t.orders.select("o_orderkey", "o_custkey", year, "o_orderpriority")
-    joined = orders.join(order_lines(t), "o_orderkey")
-    return joined.groupBy(F.col("o_custkey").alias("c_custkey"), "yr").agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1)).alias("urgent"),
-        F.sum("lines").alias("lines"),
-        F.sum("returned").alias("returned"),
-        F.sum("quantity").alias("quantity"),
-        F.sum("revenue").alias("revenue"),
+def placed_orders(t, *columns):
+    """Orders with the nation of their customer and their year.
+
+    The customer join happens at order size, so lines are shuffled only once,
+    on the order key.
+    """
+    people = t.customer.select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
     )
+    orders = t.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("yr"), *columns)
+    return orders.join(people, "o_custkey").drop("o_custkey")
 
 
 def nation_years(t):
     """Order measures per nation and year."""
-    people = t.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    joined = customer_years(t).join(people, "c_custkey")
-    measures = ["orders", "urgent", "lines", "returned"]
-    # A nation's totals may pass the range of a long; few rows are left by now.
+    joined = placed_orders(t, "o_orderpriority").join(order_lines(t), "o_orderkey")
+    # A nation's totals may pass the range of a long; one row per order is left by now.
     totals = [
-        F.sum(F.col(m).cast("decimal(20,0)") / 10**d).alias(m) for m, d in (("quantity", 2), ("revenue", 4))
+        (F.sum(F.col(m).cast("decimal(20,0)")) / 10**d).alias(m)
+        for m, d in (("quantity", 2), ("revenue", 4))
     ]
-    return joined.groupBy("n_nationkey", "yr").agg(*[F.sum(m).alias(m) for m in measures], *totals)
+    return joined.groupBy("n_nationkey", "yr").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1)).alias("urgent"),
+        F.sum("lines").alias("lines"),
+        F.sum("returned").alias("returned"),
+        *totals,
+    )
 
 
 NATION_YEARS_SQL = """
@@ -95,23 +98,15 @@ def star_join_rates(t):
 def multi_fact_join(t):
     """Three facts at (nation, year) grain joined on their common key."""
     keys = ["nation_key", "yr"]
-    people = t.customer.select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation_key")
-    )
-    ordered = F.year("o_orderdate")
-    orders = t.orders.select("o_orderkey", "o_custkey", ordered.alias("yr"), "o_totalprice")
-
-    def fact(rows, name):
-        per_customer = rows.groupBy("o_custkey", "yr").agg(F.count(F.lit(1)).alias("n"))
-        return per_customer.join(people, "o_custkey").groupBy(*keys).agg(F.sum("n").alias(name))
-
-    priced = fact(orders.where("o_totalprice > 300000"), "priced")
+    placed = placed_orders(t, "o_totalprice").withColumnRenamed("n_nationkey", "nation_key")
     lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
-    bulky = fact(lines.where("l_quantity > 45").join(orders, "o_orderkey"), "lines")
-    shipped = lines.join(orders.withColumnRenamed("yr", "ordered"), "o_orderkey")
-    late = fact(
-        shipped.withColumn("yr", F.year("l_shipdate")).where("yr > ordered"), "late"
-    )
+    one = F.count(F.lit(1)).alias("n")
+    priced = placed.where("o_totalprice > 300000").groupBy(*keys).agg(F.count(F.lit(1)).alias("priced"))
+    per_order = lines.where("l_quantity > 45").groupBy("o_orderkey").agg(one)
+    bulky = per_order.join(placed, "o_orderkey").groupBy(*keys).agg(F.sum("n").alias("lines"))
+    shipped = lines.groupBy("o_orderkey", F.year("l_shipdate").alias("ship_year")).agg(one)
+    after = shipped.join(placed, "o_orderkey").where("ship_year > yr")
+    late = after.groupBy("nation_key", F.col("ship_year").alias("yr")).agg(F.sum("n").alias("late"))
     return joins.join_facts([priced, bulky, late], keys)
 
 

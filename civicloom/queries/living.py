@@ -148,7 +148,7 @@ def agg_town_alice_household(t):
 )
 def agg_county_alice_household(t):
     raw = raw_hardship(t, "county").where("county = 'asia'").withColumn("county", F.initcap("county"))
-    clean = housing.clean_county_hardship(raw)
+    clean = durable(housing.clean_county_hardship(raw))
     counties = clean.select("county_GEOID", "county_name").distinct()
     return housing.county_hardship(housing.county_hardship_fact(clean), counties)
 

@@ -5,11 +5,15 @@ supplier and line number, in the region or nation of its customer and the year
 of its order.  The report code is the warehouse's own.
 """
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicloom.operators import joins
-from civicloom.operators.reshape import widen
+from civicloom.operators.reshape import melt_columns, widen
 from civicloom.plans import reports, survey
+from civicloom.queries.joining import placed_orders
 from civicloom.queries.registry import QUERIES, query
 
 AREAS = {"place": ("r_regionkey", "37"), "block group": ("n_nationkey", "37119")}
@@ -29,21 +33,14 @@ def line_observations(t, codes, geography):
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("o_orderkey"), slot.alias("slot"), "l_quantity"
     )
-    orders = t.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("vintage_year"))
-    per_customer = (
-        lines.join(orders, "o_orderkey")
-        .groupBy(F.col("o_custkey").alias("c_custkey"), "vintage_year", "slot")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("l_quantity").alias("top"))
-    )
-    people = (
-        t.customer.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-        .join(t.nation.select("n_nationkey", F.col("n_regionkey").alias("r_regionkey")), "n_nationkey")
-        .select("c_custkey", area)
-    )
+    orders = placed_orders(t).withColumnRenamed("yr", "vintage_year")
+    if area == "r_regionkey":
+        regions = t.nation.select("n_nationkey", F.col("n_regionkey").alias(area))
+        orders = orders.join(regions, "n_nationkey")
     cells = (
-        per_customer.join(people, "c_custkey")
+        lines.join(orders.select("o_orderkey", "vintage_year", area), "o_orderkey")
         .groupBy(area, "vintage_year", "slot")
-        .agg(F.sum("n").alias("n"), F.max("top").alias("top"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("l_quantity").alias("top"))
     )
     code = F.element_at(F.array(*[F.lit(c) for c in codes]), (F.col("slot") + 1).cast("int"))
     estimate = F.when(F.col("top") < 9, float(survey.NOT_ESTIMATED)).otherwise(F.col("n").cast("double"))
@@ -160,3 +157,78 @@ def town_trends_by_fact_join(t):
         F.col("r_name").alias("town"),
     )
     return joins.attach(joins.join_facts(facts, ["GEOID", "year"]), towns, "GEOID")
+
+
+# -- silver and gold steps on the same observations ---------------------------
+
+_CODES = _codes(reports.TOWN_REPORTS["agg_town_housing_stability"])
+
+
+@query(
+    f"""{observations_sql(_CODES, "place")}
+    SELECT geoid AS "GEOID", 'place ' || substr(geoid, 3) AS "NAME", variable, yr AS vintage_year, estimate FROM obs WHERE geoid IN ('371', '373')"""
+)
+def clean_place_observations(t):
+    """Silver: typed codes, no sentinels, only the wanted place names."""
+    raw = line_observations(t, _CODES, "place")
+    return survey.clean_observations(raw, places="place 1|place 3").drop("moe")
+
+
+@query(
+    f"""{observations_sql(_CODES, "place")},
+    named AS (SELECT geoid, yr, estimate, 'fact_concept_' || lower(split_part(variable, '_', 1)) AS table_name, 'total_line_' || lower(variable) AS column_name FROM obs
+      WHERE variable NOT LIKE 'B25004%')
+    SELECT table_name, column_name, count(DISTINCT geoid || '/' || yr) AS area_years, count(estimate) AS cells, CAST(sum(estimate) AS DOUBLE) AS total
+    FROM named GROUP BY 1, 2"""
+)
+def concept_facts(t):
+    """Gold: dictionaries of two vintages to a crosswalk to one wide fact per concept.
+
+    The newest dictionary lacks one table, whose observations then have no fact.
+    """
+    observations = survey.clean_observations(line_observations(t, _CODES, "place"))
+    entries = [
+        F.struct(
+            F.lit(year).alias("year"),
+            F.lit(f"{code}E").alias("name"),
+            F.lit(f"Estimate!!Total:!!Line {code}:").alias("label"),
+            F.lit(f"Concept {code.split('_')[0]} (in {year} Inflation-Adjusted Dollars)").alias("concept"),
+        )
+        for year in (2023, 2024)
+        for code in _CODES
+        if year == 2023 or not code.startswith("B25004")
+    ]
+    metadata = t.spark.range(1).select(F.inline(F.array(*entries)))
+    made = survey.concept_facts(observations, survey.crosswalk(metadata, [observations]), "place_GEOID")
+    parts = []
+    for name, fact in made.tables.items():
+        keys = ["place_GEOID", "year_key"]
+        columns = [c for c in fact.columns if c not in keys and not c.endswith("_moe")]
+        long = melt_columns(fact, keys, columns, "column_name", "v")
+        with_margin = [c for c in columns if f"{c}_moe" in fact.columns]
+        if with_margin != columns:
+            raise AssertionError(f"{name} lacks margins")
+        moes = melt_columns(fact, keys, [f"{c}_moe" for c in columns], "column_name", "m")
+        present = moes.where(F.col("m").isNotNull()).groupBy(
+            F.regexp_replace("column_name", "_moe$", "").alias("column_name")
+        ).agg(F.count(F.lit(1)).alias("area_years"))
+        values = long.groupBy("column_name").agg(F.count("v").alias("cells"), F.sum("v").alias("total"))
+        joined = present.join(values, "column_name")
+        parts.append(joined.select(F.lit(name).alias("table_name"), "column_name", "area_years", "cells", "total"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    """SELECT DISTINCT '37' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS "place_GEOID",
+      CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Davidson' WHEN 'BUILDING' THEN 'Cornelius' WHEN 'FURNITURE' THEN 'Huntersville' ELSE 'Other' END AS town_name
+    FROM orders JOIN customer ON o_custkey = c_custkey"""
+)
+def dim_town(t):
+    """Gold: standard town names from raw place names."""
+    spelled = {"AUTOMOBILE": "DAVIDSON town", "BUILDING": "Cornelius town", "FURNITURE": "huntersville Town"}
+    name = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for p in spelled.items() for v in p]), F.col("c_mktsegment")), F.lit("Matthews town"))
+    used = t.orders.select(F.col("o_custkey").alias("c_custkey"))
+    places = t.customer.join(used, "c_custkey", "left_semi").select(
+        F.concat(F.lit("37"), F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("GEOID"), name.alias("NAME")
+    )
+    return survey.town_dimension(places)
