@@ -241,7 +241,7 @@ def text_functions(t):
 
 @query(
     """
-    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate,
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_day,
            round(l_extendedprice * (1 - l_discount) / 7, 2) AS two,
            round(l_extendedprice / l_quantity / 3, 1) AS one,
            round((l_discount / nullif(l_tax, 0)) * 100, 2) AS pct
@@ -255,7 +255,7 @@ def rounding_parity(t):
         "l_partkey",
         "l_suppkey",
         "l_linenumber",
-        "l_shipdate",
+        F.to_date("l_shipdate").alias("ship_day"),
         s.round_binary(net / F.lit(7), 2).alias("two"),
         s.round_binary(F.col("l_extendedprice") / F.col("l_quantity") / F.lit(3), 1).alias("one"),
         s.safe_percent("l_discount", "l_tax").alias("pct"),

@@ -10,7 +10,7 @@ from civicloom.queries.registry import query
 
 @query(
     """
-    SELECT l_suppkey, a + b + c AS small_total, c + d AS big_total FROM (
+    SELECT l_suppkey, CAST(a + b + c AS BIGINT) AS small_total, CAST(c + d AS BIGINT) AS big_total FROM (
       SELECT l_suppkey, count(CASE WHEN l_quantity <= 10 THEN 1 END) AS a, count(CASE WHEN l_quantity > 10 AND l_quantity <= 20 THEN 1 END) AS b,
         sum(CASE WHEN l_quantity > 20 AND l_quantity <= 21 AND l_returnflag = 'R' THEN 1 END) AS c, sum(CASE WHEN l_quantity = 50 AND l_returnflag = 'N' AND l_linestatus = 'O' THEN 1 END) AS d
       FROM lineitem GROUP BY 1) x"""

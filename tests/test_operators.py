@@ -86,7 +86,17 @@ def test_left_joins_keep_every_row_once(spark):
     assert joined.count() == 100 and joined.where("x_v is not null").count() == 34
 
 
-def test_surrogate_key_equals_row_number(spark):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_surrogate_key_equals_row_number(spark, coalesce):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, coalesce)
+    try:
+        _check_surrogate_key(spark)
+    finally:
+        spark.conf.set(name, "true")
+
+
+def _check_surrogate_key(spark):
     rng = random.Random(3)
     keys = [(None if rng.random() < 0.001 else rng.randint(0, 10**6), i) for i in range(5000)]
     df = spark.createDataFrame(keys, "a int, b int").repartition(7)
