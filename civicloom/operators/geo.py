@@ -141,13 +141,14 @@ def _geometry(edges: Iterator[tuple[float, float, float, float]]) -> dict:
         (outers if size > 0 else holes).append((abs(size), ring))
     outers.sort(key=lambda item: (item[0], item[1]))
     members = [[ring] for _, ring in outers]
-    low = np.array([np.min(ring, axis=0) for _, ring in outers])
-    high = np.array([np.max(ring, axis=0) for _, ring in outers])
+    corners = [np.array(ring) for _, ring in outers]
+    low = np.array([c.min(axis=0) for c in corners])
+    high = np.array([c.max(axis=0) for c in corners])
     for _, hole in sorted(holes, key=lambda item: item[1]):
         spot = (np.array(hole[0]) + np.array(hole[1])) / 2
         # The smallest outer ring around the hole is its owner.
         boxed = np.flatnonzero(((low <= spot) & (spot <= high)).all(axis=1))
-        owner = next((i for i in boxed if _inside(tuple(spot), outers[i][1])), None)
+        owner = next((i for i in boxed if _inside(spot, corners[i])), None)
         if owner is None:
             raise ValueError("hole outside every ring: the members do not tile the plane")
         members[owner].append(hole)
@@ -204,10 +205,10 @@ def _area(ring: list) -> float:
     return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:])) / 2
 
 
-def _inside(spot: tuple, ring: list) -> bool:
+def _inside(spot: np.ndarray, ring: np.ndarray) -> bool:
+    """Whether a ray to the right of ``spot`` crosses the ring an odd number of times."""
     x, y = spot
-    hit = False
-    for (ax, ay), (bx, by) in zip(ring, ring[1:]):
-        if (ay > y) != (by > y) and x < ax + (y - ay) / (by - ay) * (bx - ax):
-            hit = not hit
-    return hit
+    above = ring[:, 1] > y
+    cut = np.flatnonzero(above[:-1] != above[1:])
+    (ax, ay), (bx, by) = ring[cut].T, ring[cut + 1].T
+    return bool((x < ax + (y - ay) / (by - ay) * (bx - ax)).sum() % 2)

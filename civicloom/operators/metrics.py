@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicloom.functions.semantics import (
-    bracket_total,
     difference,
     ieee_ratio,
     round_binary,
@@ -39,16 +38,21 @@ class Measure:
         return set(self.top) | set(self.bottom)
 
     def column(self) -> Column:
-        total = bracket_total(f"`{c}`" for c in self.top)
+        total = _added(self.top)
         if not self.bottom:
             return total.alias(self.name)
-        base = bracket_total(f"`{c}`" for c in self.bottom)
+        base = _added(self.bottom)
         ratio = safe_ratio(total, base) if self.guarded else ieee_ratio(total, base)
         if self.scale != 1.0:
             ratio = ratio * F.lit(self.scale)
         return (ratio if self.digits is None else round_binary(ratio, self.digits)).alias(self.name)
 
 
+def _added(codes: Sequence[str]) -> Column:
+    """Sum of variables, NULL when one is; one expression text keeps long sums cheap to build."""
+    return F.expr(" + ".join(f"`{c}`" for c in codes))
+
+
 def total(name: str, *codes: str) -> Measure:
     return Measure(name, tuple(codes))
 
@@ -91,10 +95,8 @@ def indicators(
         raise ValueError(f"measures use tables that are not required: {outside}")
     seen = {t: f"__has_{t}" for t in requires}
     if len(codes) <= NARROW:
-        flags = [F.max(F.col("variable").startswith(f"{t}_")).alias(f) for t, f in seen.items()]
-        picks = [
-            F.max(F.when(F.col("variable") == F.lit(c), F.col("estimate"))).alias(c) for c in codes
-        ]
+        flags = [F.expr(f"max(startswith(variable, '{t}_')) AS `{f}`") for t, f in seen.items()]
+        picks = [F.expr(f"max(CASE WHEN variable = '{c}' THEN estimate END) AS `{c}`") for c in codes]
         wide = wanted.groupBy(geo, year).agg(*picks, *flags)
     else:
         wide = _many_codes(wanted, codes, seen, geo, year)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,25 +26,21 @@ def surrogate_key(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
 
     Rows are range partitioned and sorted, materialised once, and numbered
     inside their partition; the offset of a partition is the row count of those
-    before it, so only one row per partition ever meets in one place.  Equal to
-    ``row_number() over (order by ...)``; ``order`` must identify a row.
+    before it.  The driver sees one count per partition and nothing else.  Equal
+    to ``row_number() over (order by ...)``; ``order`` must identify a row.
     """
     keys = nulls_last(*order)
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     # monotonically_increasing_id packs (partition, row in partition).
     placed = durable(ranged.withColumn("__at", F.monotonically_increasing_id()))
-    part = F.shiftright("__at", 33)
+    part = F.shiftright("__at", 33).cast("int")
     row = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     placed = placed.select(*df.columns, part.alias("__part"), row.alias("__row"))
-    sizes = placed.groupBy("__part").agg(F.max("__row").alias("__last"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "__part", F.coalesce(F.sum(F.col("__last") + 1).over(before), F.lit(0)).alias("__offset")
-    )
-    # One row per partition of the checkpoint: bounded by the partition count.
-    numbered = placed.join(F.broadcast(offsets), "__part")
-    key = (F.col("__offset") + F.col("__row") + 1).alias(name)
-    return numbered.select(key, *df.columns)
+    last = dict(placed.groupBy("__part").agg(F.max("__row")).collect())
+    sizes = [last.get(p, -1) + 1 for p in range(max(last, default=0) + 1)]
+    before = ",".join(f"{n}L" for n in accumulate([0, *sizes[:-1]]))
+    offset = F.element_at(F.expr(f"array({before})"), F.col("__part") + 1)
+    return placed.select((offset + F.col("__row") + 1).alias(name), *df.columns)
 
 
 def dimension(

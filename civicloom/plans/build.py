@@ -152,7 +152,7 @@ def _dimensions(house: Warehouse) -> None:
         {
             "dim_bg": places.block_group_dimension(silver("acs_bg"), silver("bg_geometry")),
             "dim_block": places.block_dimension(silver("block_geometry")),
-            "dim_county": model.append_missing(counties.limit(0), counties, ["county_GEOID"]),
+            "dim_county": model.append_missing(counties.where("false"), counties, ["county_GEOID"]),
             "dim_region": housing.region_dimension(rents),
             "dim_bedrooms": housing.bedroom_dimension(gap),
             "dim_ami_level": housing.income_level_dimension(gap),

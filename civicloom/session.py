@@ -17,7 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Recording the Python call site of every expression costs more than planning it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
