@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from civicloom.session import scratch_path
@@ -69,6 +69,13 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def _marked(df: DataFrame, label: str) -> tuple[DataFrame, tuple]:
+    """``df`` (a, b) staged, with its count and a sum of its hashes taken on the way."""
+    seen = Observation()
+    out = staged(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), label)
+    return out, (seen.get["n"], seen.get["h"])
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(id, component): the smallest id reachable over ``edges`` (a, b), for ids on an edge.
 
@@ -78,21 +85,28 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """
     a, b = F.col("a"), F.col("b")
     edges = edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-    edges = staged(edges, label)
-    before = None
-    while True:
+    edges, before = _marked(edges, label)
+    while before[0]:
         both = edges.select("a", "b").union(edges.select(b.alias("a"), a.alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select(a, F.least(a, F.col("m")).alias("m"))
-        large = both.join(low, "a").where(b > a).select(b.alias("a"), F.col("m").alias("b"))
-        large = large.where(a != b).distinct()
+        large = both.join(low, "a").where((b > a) & (b != F.col("m"))).select(b.alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(b.alias("a"), F.col("m").alias("b"))
         small = small.union(low.select("a", F.col("m").alias("b")))
         small = small.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-        edges = staged(small, label)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == before:
-            return edges.select(a.alias("id"), b.alias("component")).union(
-                edges.select(b.alias("id"), b.alias("component")).distinct()
-            )
-        before = tuple(now)
+        edges, now = _marked(small, label)
+        if now == before:
+            break
+        before = now
+    return edges.select(a.alias("id"), b.alias("component")).union(edges.select(b.alias("id"), b.alias("component")).distinct())
+
+
+def merged(classes: DataFrame, edges: DataFrame, label: str = "components") -> DataFrame:
+    """``classes`` (id, component) after more ``edges``: only the classes they join are looked at again."""
+    one = classes.select(F.col("id").alias("a"), F.col("component").alias("p"))
+    two = classes.select(F.col("id").alias("b"), F.col("component").alias("q"))
+    lifted = edges.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("p", "a").alias("a"), F.coalesce("q", "b").alias("b"))
+    joined = components(lifted, label)
+    moved = joined.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    old = classes.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return staged(old.union(joined.join(classes, "id", "left_anti").select("id", "component")), label)

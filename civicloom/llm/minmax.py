@@ -16,18 +16,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicloom.llm.common import components, mix, same, slices, staged
+from civicloom.llm.common import components, merged, mix, same, slices, staged
 
+#: Permutations of the signature, and of the finer one for documents that have candidates.
 PERMUTATIONS = 96
-BANDS = 32
-ROWS = PERMUTATIONS // BANDS
+FINE = 256
+#: Bands of ROWS minima and ROWS maxima: sets of similarity 0.8 meet with probability 0.9999.
+BANDS = 18
+ROWS = 2
 _seed = np.random.default_rng(20240501)
-FACTORS = (_seed.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
-SHIFTS = _seed.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint64).astype(np.uint32)
+FACTORS = (_seed.integers(0, 1 << 32, FINE, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+SHIFTS = _seed.integers(0, 1 << 32, FINE, dtype=np.uint64).astype(np.uint32)
 REMEMBERED = 300_000
 #: Buckets of up to so many sets compare every pair; larger ones go by pivots.
 SMALL = 8
 PIVOT_ROUNDS = 4
+#: Rows of a bucket that are compared with as many others in one step.
+BLOCK = 512
 
 
 class _Words(dict):
@@ -64,12 +69,12 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(h)
 
 
-def signature(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Minima and maxima of the permuted shingles, chunk by chunk."""
-    low, high = np.full(PERMUTATIONS, 0xFFFFFFFF, np.uint32), np.zeros(PERMUTATIONS, np.uint32)
+def signature(h: np.ndarray, n: int = PERMUTATIONS) -> tuple[np.ndarray, np.ndarray]:
+    """Minima and maxima of the shingles under ``n`` permutations, chunk by chunk."""
+    low, high = np.full(n, 0xFFFFFFFF, np.uint32), np.zeros(n, np.uint32)
     base = (h >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(base), 2048):
-        v = FACTORS[:, None] * base[None, at : at + 2048] + SHIFTS[:, None]
+        v = FACTORS[:n, None] * base[None, at : at + 2048] + SHIFTS[:n, None]
         np.minimum(low, v.min(axis=1), out=low)
         np.maximum(high, v.max(axis=1), out=high)
     return low, high
@@ -77,18 +82,29 @@ def signature(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def band_keys(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """One key per band, from ROWS minima and as many maxima of other permutations."""
-    other = np.roll(high, PERMUTATIONS // 2)
+    used = BANDS * ROWS
     key = np.arange(BANDS, dtype=np.uint64)
-    for values in (low, other):
+    for values in (low[:used], high[used : 2 * used]):
         for r in range(ROWS):
             key = mix(key + values.reshape(BANDS, ROWS)[:, r].astype(np.uint64) + np.uint64(1))
     return key.view(np.int64)
 
 
+def sketch(low: np.ndarray, high: np.ndarray) -> bytes:
+    """A byte of each signature value."""
+    return mix(np.concatenate([low, high]).astype(np.uint64)).astype(np.uint8).tobytes()
+
+
+def enough(values: int, least: float) -> float:
+    """The share of equal bytes that sets of similarity ``least`` fall under once in 30,000 times."""
+    share = least - 4 * np.sqrt(least * (1 - least) / values)
+    return share + (1 - share) / 256
+
+
 def _signed(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            n, first, second, bands, sketch = [], [], [], [], []
+            n, first, second, bands, sketches = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = shingles(text, width)
                 n.append(len(h))
@@ -98,15 +114,14 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
                     first.append((digest >> 64) - (1 << 63))
                     second.append((digest & (1 << 64) - 1) - (1 << 63))
                     bands.append(band_keys(low, high))
-                    values = mix(np.concatenate([low, high]).astype(np.uint64))
-                    sketch.append(values.astype(np.uint8).tobytes())
+                    sketches.append(sketch(low, high))
                 else:
                     first.append(None)
                     second.append(None)
                     bands.append(None)
-                    sketch.append(None)
+                    sketches.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
                 ["id", "n", "d1", "d2", "bands", "sketch"],
             )
 
@@ -114,29 +129,55 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """(id, s, fine): full sets and fine sketches."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
-            sets = [shingles(t, width).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "s"])
+            sets = [shingles(t, width) for t in batch.column(1).to_pylist()]
+            fine = [sketch(*signature(h, FINE)) for h in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h.tobytes() for h in sets], pa.binary()), pa.array(fine, pa.binary())], ["id", "s", "fine"])
 
-    return docs.mapInArrow(run, "id long, s binary")
+    return docs.mapInArrow(run, "id long, s binary, fine binary")
 
 
 def _alike(pairs: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b, s, t) of signatures whose estimate is not more than five deviations under ``least``."""
+    """Pairs (a, b, s, t) of sketches that may have a similarity of ``least``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                s, t = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, 2 * PERMUTATIONS) for i in (2, 3))
-                share = ((s == t).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-                slack = 5 * np.sqrt(least * (1 - least) / (2 * PERMUTATIONS))
-                kept = pa.array(share >= least - slack)
+                s, t = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
+                kept = pa.array((s == t).mean(axis=1) >= enough(s.shape[1], least))
                 yield pa.RecordBatch.from_arrays([batch.column(i).filter(kept) for i in (0, 1)], ["a", "b"])
 
     return pairs.select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
 
 
+def _across(blocks: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of different components, from rows of two blocks (x, y) of (id, c, n, fine)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def side(cell: pa.Scalar):
+            own = cell.values
+            fine = np.frombuffer(b"".join(own.field("fine").to_pylist()), np.uint8).reshape(len(own), -1)
+            return *(own.field(k).to_numpy() for k in ("id", "c", "n")), fine
+
+        for batch in batches:
+            for x, y in zip(batch.column(0), batch.column(1)):
+                (i, c, n, f), (j, d, m, g) = side(x), side(y)
+                need = enough(f.shape[1], least)
+                a, b = [], []
+                for k in range(len(i)):
+                    near = (d != c[k]) & (np.minimum(n[k], m) >= least * np.maximum(n[k], m) * (1 - 1e-9))
+                    at = np.flatnonzero(near)
+                    at = at[(g[at] == f[k]).mean(axis=1) >= need] if len(at) else at
+                    a.append(np.minimum(i[k], j[at]))
+                    b.append(np.maximum(i[k], j[at]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    return blocks.select("x", "y").mapInArrow(run, "a long, b long")
+
+
 def _confirmed(pairs: DataFrame, per_cent: int) -> DataFrame:
     """Pairs (a, b, s, t) of full sets with 100 * intersection >= per_cent * union."""
 
@@ -172,8 +213,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     A band bucket of at most SMALL sets compares all its pairs.  A larger one compares its
     sets with a pivot, in each round another one, as long as it holds sets of different
-    components; pairs of different components that are left after the last round are
-    compared outright, so no link depends on the choice of pivots.
+    components.  Once most of them are in the largest component of their bucket, or after
+    the last round, the sketches of the others are compared with the whole bucket, block by
+    block, so no link depends on the choice of pivots and no task holds a whole bucket.
     """
     rows = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].alias("text"))
     least = per_cent / 100
@@ -206,23 +248,34 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     for turn in range(PIVOT_ROUNDS + 1):
         placed = large.join(classes, "id", "left").select("h", "id", "n", F.coalesce("component", "id").alias("c"))
-        mixed = placed.groupBy("h").agg(
-            F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("id", "c", "n"), F.xxhash64("id", "h", F.lit(turn))).alias("pivot")
-        ).where("lo < hi").select("h", "pivot")
-        if turn < PIVOT_ROUNDS:
+        counts = placed.groupBy("h", "c").agg(F.count("*").alias("k"), F.min_by(F.struct("id", "n"), F.xxhash64("id", "h", F.lit(turn))).alias("one"))
+        pivot = F.min_by(F.struct("one.id", "c", "one.n"), F.xxhash64("one.id", "h", F.lit(turn)))
+        mixed = counts.groupBy("h").agg(F.count("*").alias("classes"), F.sum("k").alias("rows"), F.max(F.struct("k", "c")).alias("largest"), pivot.alias("pivot"))
+        mixed = mixed.where("classes > 1").select("h", "rows", "pivot", F.col("largest.c").alias("main"), (F.col("rows") - F.col("largest.k")).alias("rest"))
+        mixed = staged(mixed, "mixed")
+        work = mixed.agg(F.sum("rest").alias("rest"), F.sum("rows").alias("rows")).first()
+        if not work["rows"]:
+            break
+        last = turn == PIVOT_ROUNDS or 2 * work["rest"] <= work["rows"]
+        if last:
+            member = F.struct("id", "c", "n", "fine").alias("one")
+            left = placed.join(mixed.select("h", "main", "rows"), "h").join(sets.select("id", "fine"), "id")
+
+            def blocks(members: DataFrame, size: int, name: str) -> DataFrame:
+                number = F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / size)).alias("block")
+                return members.select("h", number, member).groupBy("h", "block").agg(F.collect_list("one").alias(name)).select("h", name)
+
+            few = left.where(F.col("c") != F.col("main"))
+            more = _across(blocks(few, BLOCK, "x").join(blocks(left, BLOCK, "y"), "h"), least)
+        else:
             met = placed.join(mixed, "h").where((F.col("c") != F.col("pivot.c")) & fits(F.col("n"), F.col("pivot.n")))
             pairs = met.select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
-        else:
-            left = placed.join(mixed.select("h"), "h")
-            right = left.select("h", F.col("id").alias("b"), F.col("c").alias("d"), F.col("n").alias("m"))
-            met = left.join(right, "h").where((F.col("id") < F.col("b")) & (F.col("c") != F.col("d")) & fits(F.col("n"), F.col("m")))
-            pairs = met.select(F.col("id").alias("a"), "b")
-        more = staged(_alike(_with_both(pairs.distinct(), sketches, "sketch"), least), "candidates")
+            more = _alike(_with_both(pairs.distinct(), sets, "fine"), least)
+        more = staged(more.distinct(), "candidates")
         new = staged(_confirmed(_with_both(more, sets, "s"), per_cent), "edges")
         if not new.isEmpty():
-            edges = edges.union(new)
-            classes = staged(components(edges), "classes")
-        elif mixed.isEmpty():
+            classes = merged(classes, new)
+        if last:
             break
 
     whole = signed.select("id", "n", "d1", "d2").join(groups, ["d1", "d2"], "left")
