@@ -53,6 +53,28 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20)
                 yield batch.slice(lo, hi - lo)
 
 
+class Trees:
+    """Union-find over the few nodes that one task meets."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def top(self, a: int) -> int:
+        while (up := self.up.setdefault(a, a)) != a:
+            self.up[a] = self.up.setdefault(up, up)
+            a = self.up[a]
+        return a
+
+    def same(self, a: int, b: int) -> bool:
+        return self.top(a) == self.top(b)
+
+    def join(self, a: int, b: int) -> bool:
+        """False if they were in one tree already."""
+        a, b = self.top(a), self.top(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
 _made: dict[str, object] = {}
 
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicloom.llm.common import components, merged, mix, same, slices, staged
+from civicloom.llm.common import Trees, components, merged, mix, same, slices, staged
 
 #: Permutations of the signature, and of the finer one for documents that have candidates.
 PERMUTATIONS = 96
@@ -32,7 +32,7 @@ REMEMBERED = 300_000
 SMALL = 8
 PIVOT_ROUNDS = 4
 #: Rows of a bucket that are compared with as many others in one step.
-BLOCK = 512
+BLOCK = 256
 
 
 class _Words(dict):
@@ -153,29 +153,52 @@ def _alike(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
 
 
-def _across(blocks: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of different components, from rows of two blocks (x, y) of (id, c, n, fine)."""
+def _across(blocks: DataFrame, per_cent: int) -> DataFrame:
+    """Links (a, b) between components, from rows of two blocks (h, x, y) of one bucket.
+
+    A block lists (id, c, n, bands, fine, s, main).  Two sets are compared in the first bucket
+    that holds both, once; sketches come first, full sets decide, and of the links found a
+    spanning forest of the components is returned, so the rows stay few in a dense group.
+    """
+    least = per_cent / 100
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def side(cell: pa.Scalar):
             own = cell.values
             fine = np.frombuffer(b"".join(own.field("fine").to_pylist()), np.uint8).reshape(len(own), -1)
-            return *(own.field(k).to_numpy() for k in ("id", "c", "n")), fine
+            bands = own.field("bands").flatten().to_numpy().reshape(len(own), -1)
+            return *(own.field(k).to_numpy(zero_copy_only=False) for k in ("id", "c", "n", "main")), bands, fine, own.field("s")
 
         for batch in batches:
-            for x, y in zip(batch.column(0), batch.column(1)):
-                (i, c, n, f), (j, d, m, g) = side(x), side(y)
+            for h, x, y in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                (i, c, n, _, p, f, s), (j, d, m, main, q, g, t) = side(x), side(y)
                 need = enough(f.shape[1], least)
+                joined = Trees()
                 a, b = [], []
                 for k in range(len(i)):
-                    near = (d != c[k]) & (np.minimum(n[k], m) >= least * np.maximum(n[k], m) * (1 - 1e-9))
+                    near = (d != c[k]) & (np.minimum(n[k], m) >= least * np.maximum(n[k], m) * (1 - 1e-9)) & (main | (i[k] < j))
                     at = np.flatnonzero(near)
-                    at = at[(g[at] == f[k]).mean(axis=1) >= need] if len(at) else at
-                    a.append(np.minimum(i[k], j[at]))
-                    b.append(np.maximum(i[k], j[at]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                    if not len(at):
+                        continue
+                    meet = q[at] == p[k]
+                    at = at[p[k][meet.argmax(axis=1)] == h]
+                    at = at[(g[at] == f[k]).mean(axis=1) >= need]
+                    for o in at.tolist():
+                        if not joined.same(int(c[k]), int(d[o])) and linked(s[k].as_buffer(), t[o].as_buffer(), per_cent):
+                            joined.join(int(c[k]), int(d[o]))
+                            a.append(i[k])
+                            b.append(j[o])
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(a, np.int64)), pa.array(np.array(b, np.int64))], ["a", "b"])
+
+    return blocks.select("h", "x", "y").mapInArrow(run, "a long, b long")
+
 
-    return blocks.select("x", "y").mapInArrow(run, "a long, b long")
+def linked(s, t, per_cent: int) -> bool:
+    """100 * intersection >= per_cent * union of two sorted sets of 64-bit hashes."""
+    both = np.concatenate([np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)])
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= per_cent * (len(both) - common)
 
 
 def _confirmed(pairs: DataFrame, per_cent: int) -> DataFrame:
@@ -183,13 +206,7 @@ def _confirmed(pairs: DataFrame, per_cent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for s, t in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                kept.append(100 * common >= per_cent * (len(both) - common))
+            kept = [linked(s.as_buffer(), t.as_buffer(), per_cent) for s, t in zip(batch.column(2), batch.column(3))]
             kept = pa.array(kept, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(kept) for i in (0, 1)], ["a", "b"])
 
@@ -242,7 +259,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     candidates = staged(_alike(_with_both(pairs, sketches, "sketch"), least), "candidates")
     large = staged(buckets.where(F.col("size") > SMALL).select("h", "id", "n"), "large")
     wanted = candidates.select(F.col("a").alias("id")).union(candidates.select("b")).union(large.select("id")).distinct()
-    sets = staged(_sets(rows.join(wanted, "id", "left_semi"), width), "shingles").dropDuplicates(["id"])
+    # The plan is the same at every size: texts go by id, whatever the number of wanted ids.
+    chosen = rows.join(wanted.hint("merge"), "id", "left_semi")
+    sets = staged(_sets(chosen, width), "shingles")
     edges = staged(_confirmed(_with_both(candidates, sets, "s"), per_cent), "edges")
     classes = staged(components(edges), "classes")
 
@@ -258,21 +277,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
             break
         last = turn == PIVOT_ROUNDS or 2 * work["rest"] <= work["rows"]
         if last:
-            member = F.struct("id", "c", "n", "fine").alias("one")
-            left = placed.join(mixed.select("h", "main", "rows"), "h").join(sets.select("id", "fine"), "id")
+            left = placed.join(mixed.select("h", "main", "rows"), "h").withColumn("main", F.col("c") == F.col("main"))
+            left = left.join(reps.select("id", "bands"), "id").join(sets.select("id", "fine", "s"), "id")
+            member = F.struct("id", "c", "n", "main", "bands", "fine", "s").alias("one")
 
-            def blocks(members: DataFrame, size: int, name: str) -> DataFrame:
-                number = F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / size)).alias("block")
+            def blocks(members: DataFrame, name: str) -> DataFrame:
+                number = F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / BLOCK)).alias("block")
                 return members.select("h", number, member).groupBy("h", "block").agg(F.collect_list("one").alias(name)).select("h", name)
 
-            few = left.where(F.col("c") != F.col("main"))
-            more = _across(blocks(few, BLOCK, "x").join(blocks(left, BLOCK, "y"), "h"), least)
+            new = _across(blocks(left.where(~F.col("main")), "x").join(blocks(left, "y"), "h"), per_cent)
         else:
             met = placed.join(mixed, "h").where((F.col("c") != F.col("pivot.c")) & fits(F.col("n"), F.col("pivot.n")))
             pairs = met.select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
-            more = _alike(_with_both(pairs.distinct(), sets, "fine"), least)
-        more = staged(more.distinct(), "candidates")
-        new = staged(_confirmed(_with_both(more, sets, "s"), per_cent), "edges")
+            more = staged(_alike(_with_both(pairs.distinct(), sets, "fine"), least), "candidates")
+            new = _confirmed(_with_both(more, sets, "s"), per_cent)
+        new = staged(new, "edges")
         if not new.isEmpty():
             classes = merged(classes, new)
         if last:

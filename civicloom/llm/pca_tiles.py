@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from civicloom.llm.common import components, shuffle_tasks, staged
+from civicloom.llm.common import Trees, components, shuffle_tasks, staged
 
 #: Axes of a tile's box, and axes summed in one step.
 BOX = 8
@@ -93,21 +93,8 @@ def compare(x: np.ndarray, y: np.ndarray, axes: np.ndarray, least: float, same_t
 
 def _forest(i: np.ndarray, j: np.ndarray) -> list[int]:
     """Places of pairs that join two trees: as few pairs as keep the same components."""
-    root: dict[int, int] = {}
-
-    def top(a: int) -> int:
-        while (up := root.setdefault(a, a)) != a:
-            root[a] = root.setdefault(up, up)
-            a = root[a]
-        return a
-
-    kept = []
-    for n, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
-        a, b = top(a), top(b)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            kept.append(n)
-    return kept
+    trees = Trees()
+    return [n for n, (a, b) in enumerate(zip(i.tolist(), j.tolist())) if trees.join(a, b)]
 
 
 def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label", least: float = 0.98, tile_rows: int = 512) -> DataFrame:
