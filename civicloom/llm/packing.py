@@ -21,7 +21,10 @@ from civicloom.llm.common import once, slices
 
 #: Texts of these characters only are cut to words here, as the vocabulary file's own
 #: rules would cut them; any other text goes whole through the tokenizer.
-PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]*")
+PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]*")
+#: The vocabulary file's rule for words, and what it comes to on those characters.
+RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
 REMEMBERED = 400_000
 REMEMBERED_CHARS = 48
 
@@ -35,10 +38,11 @@ class WordTokenizer:
 
     def __init__(self, definition: str, word_end: str = "</w>") -> None:
         import json
+        import os
 
-        import regex
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         self.tokenizer = Tokenizer.from_str(definition)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -47,7 +51,7 @@ class WordTokenizer:
         rules = json.loads(definition)
         cuts = [x["pattern"]["Regex"] for x in (rules.get("pre_tokenizer") or {}).get("pretokenizers", []) if x.get("type") == "Split"]
         names = [x["type"] for x in (rules.get("normalizer") or {}).get("normalizers", [])]
-        self.split = regex.compile(cuts[0]) if len(cuts) == 1 and names == ["NFC", "Replace", "Lowercase"] else None
+        self.split = WORDS if cuts == [RULE] and names == ["NFC", "Replace", "Lowercase"] else None
         self.words: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -57,15 +61,13 @@ class WordTokenizer:
         """Ids of words that are not remembered yet."""
         order = list(words)
         found: dict[str, bytes] = {}
-        for at in range(0, len(order), 4096):
-            part = order[at : at + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
-            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+        parts = [order[at : at + 64] for at in range(0, len(order), 64)]
+        for part, encoded in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(encoded.ids, np.uint32)
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
             if len(ends) == len(part):
-                raw, start = ids.tobytes(), 0
-                for word, end in zip(part, ends):
-                    found[word] = raw[4 * start : 4 * end]
-                    start = end
+                raw = ids.tobytes()
+                found.update(zip(part, [raw[lo:hi] for lo, hi in zip([0, *ends], ends)]))
             else:
                 found |= {word: self.whole(word) for word in part}
         return found
