@@ -11,6 +11,7 @@ import re
 import uuid
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +22,11 @@ from civicloom.llm.common import once, slices
 
 #: Texts of these characters only are cut to words here, as the vocabulary file's own
 #: rules would cut them; any other text goes whole through the tokenizer.
-PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]*")
-#: The vocabulary file's rule for words, and what it comes to on those characters.
+PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-\xff]*")
+#: The vocabulary file's rule for words, and what it comes to on those characters in lower case.
 RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
-REMEMBERED = 400_000
+WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+")
+REMEMBERED = 1_000_000
 REMEMBERED_CHARS = 48
 
 
@@ -57,9 +58,8 @@ class WordTokenizer:
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def learn(self, words: set[str]) -> dict[str, bytes]:
+    def learn(self, order: list[str]) -> dict[str, bytes]:
         """Ids of words that are not remembered yet."""
-        order = list(words)
         found: dict[str, bytes] = {}
         parts = [order[at : at + 64] for at in range(0, len(order), 64)]
         for part, encoded in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
@@ -74,18 +74,18 @@ class WordTokenizer:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [self.split.findall(t.lower()) if self.split and "<|" not in t and PLAIN.fullmatch(t) else None for t in texts]
-        new = set().union(*(c for c in cut if c)).difference(self.words) if any(cut) else set()
-        found = self.learn(new) if new else {}
+        # The words of these texts get a small table of their own; the large one is asked once for each.
+        own = dict.fromkeys(chain.from_iterable(filter(None, cut)))
+        known = self.words.get
+        for word in own:
+            own[word] = known(word)
+        found = self.learn([w for w, ids in own.items() if ids is None])
+        own.update(found)
         if len(self.words) + len(found) > REMEMBERED:
-            kept = {w for c in cut if c for w in c}
-            self.words = {w: self.words[w] for w in kept if w in self.words}
-        self.words.update(found)
-        ids = self.words.__getitem__
-        out = [self.whole(t) if c is None else b"".join(map(ids, c)) for t, c in zip(texts, cut)]
-        for word in found:
-            if len(word) > REMEMBERED_CHARS:
-                del self.words[word]
-        return out
+            self.words.clear()
+        self.words.update((w, ids) for w, ids in found.items() if len(w) <= REMEMBERED_CHARS)
+        ids = own.__getitem__
+        return [self.whole(t) if c is None else b"".join(map(ids, c)) for t, c in zip(texts, cut)]
 
 
 def binary_lengths(n: int, limit: int) -> Iterator[int]:
@@ -116,7 +116,7 @@ def pack(docs: DataFrame, definition: str, limit: int = 4096, end_id: int = 2, i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, part = once(name, lambda: WordTokenizer(shared.value)), TaskContext.get().partitionId()
         next_of = [0] * limit.bit_length()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             rows, starts, lengths, pieces, totals, sequences, buckets = [], [], [], [], [], [], []
             for row, raw in enumerate(tokenizer([t or "" for t in batch.column(1).to_pylist()])):
                 raw += end
