@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,16 @@ WORD = re.compile(r"[^\W\d_]+")
 REMEMBERED = 300_000
 
 
-def cut(word: str) -> list[str]:
-    """Features of a word: itself and its beginnings, so that endings do not hide a stem."""
-    return ["=" + word, *(word[:n] for n in PREFIXES if len(word) >= n)]
+def cut(word: str) -> list[int]:
+    """Features of a word, as 32-bit hashes: itself and its beginnings, so that endings do not hide a stem."""
+    return [crc32(f.encode()) for f in ("=" + word, *(word[:n] for n in PREFIXES if len(word) >= n))]
+
+
+def example(words: set[str], toxic: bool, categories: dict[str, tuple[str, ...]]) -> tuple[np.ndarray, list[bool]]:
+    """Features of a labelled row, and whether it belongs to each category, the last being the label."""
+    features = {f for w in words for f in cut(w)}
+    truth = [toxic and any(w.startswith(stems) for w in words) for stems in categories.values()]
+    return np.array(sorted(features), np.uint32), [*truth, toxic]
 
 
 @dataclass(frozen=True)
@@ -40,7 +48,7 @@ class Chain:
     """``features`` gives each feature its place; row i of ``weights`` is category i: features, earlier probabilities, bias."""
 
     names: tuple[str, ...]
-    features: dict[str, int]
+    features: dict[int, int]
     weights: list[np.ndarray]
     threshold: float
 
@@ -80,32 +88,31 @@ def _fit(flat: np.ndarray, owner: np.ndarray, extra: np.ndarray, y: np.ndarray,
     return w
 
 
-def fit(rows: list[tuple[set[str], bool]], categories: dict[str, tuple[str, ...]], folds: int = 3, most_features: int = 4096, least_rows: int = 3, ridge: float = 1.0) -> Chain:
-    """The chain from (words, toxic) rows; row i is in fold i mod ``folds``.
+def fit(rows: list[tuple[np.ndarray, list[bool]]], names: tuple[str, ...], folds: int = 3, most_features: int = 4096, least_rows: int = 3, ridge: float = 1.0) -> Chain:
+    """The chain from rows of ``example``; row i is in fold i mod ``folds``.
 
     Features are those in ``least_rows`` rows or more whose share differs most between
     toxic and other rows.  The threshold on the last probability is the one that makes the
     fewest out-of-fold errors.  Without rows of both labels nothing is toxic.
     """
-    names = (*categories, FINAL)
-    y = np.array([t for _, t in rows], float)
+    y = np.array([t[-1] for _, t in rows], float)
     if not len(rows) or not 0 < y.sum() < len(y):
         return Chain(names, {}, [np.append(np.zeros(i), -30.0) for i in range(len(names))], 0.5)
-    held: dict[str, list[int]] = {}
-    for i, (words, _) in enumerate(rows):
-        for f in {f for w in words for f in cut(w)}:
-            held.setdefault(f, []).append(i)
-    scores = []
-    for f, at in held.items():
-        if len(at) >= least_rows:
-            bad = y[at].sum()
-            rate = (bad + 0.5) / (y.sum() + 1), (len(at) - bad + 0.5) / (len(y) - y.sum() + 1)
-            scores.append((-abs(np.log(rate[0] / rate[1])) * np.sqrt(len(at)), f))
-    chosen = [f for _, f in sorted(scores)[:most_features]]
-    features = {f: j for j, f in enumerate(chosen)}
-    flat = np.concatenate([np.full(len(held[f]), j) for f, j in features.items()] or [np.zeros(0, int)]).astype(np.int64)
-    owner = np.concatenate([held[f] for f in chosen] or [np.zeros(0, int)]).astype(np.int64)
-    truth = [np.array([t and any(w.startswith(stems) for w in words) for words, t in rows], float) for stems in categories.values()] + [y]
+    flat = np.concatenate([f for f, _ in rows])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(f) for f, _ in rows])
+    kinds, held = np.unique(flat, return_counts=True)
+    kinds, held = kinds[held >= least_rows], held[held >= least_rows]
+    toxic, times = np.unique(flat[y[owner] > 0], return_counts=True)
+    at = np.minimum(np.searchsorted(toxic, kinds), max(len(toxic) - 1, 0))
+    bad = np.where(toxic[at] == kinds, times[at], 0) if len(toxic) else np.zeros(len(kinds))
+    rate = np.log((bad + 0.5) / (y.sum() + 1)) - np.log((held - bad + 0.5) / (len(y) - y.sum() + 1))
+    best = np.argsort(-np.abs(rate) * np.sqrt(held), kind="stable")[:most_features]
+    chosen = np.sort(kinds[best])
+    features = {int(f): j for j, f in enumerate(chosen)}
+    place = np.minimum(np.searchsorted(chosen, flat), max(len(chosen) - 1, 0))
+    hit = chosen[place] == flat if len(chosen) else np.zeros(len(flat), bool)
+    flat, owner = place[hit], owner[hit].astype(np.int64)
+    truth = [np.array([t[i] for _, t in rows], float) for i in range(len(names))]
     fold = np.arange(len(rows)) % folds
     earlier = np.zeros((len(rows), 0))
     weights = []
@@ -143,14 +150,15 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            words = [" ".join(sorted(words_of(t))) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.string())], ["id", "y", "words"])
+            own = [example(words_of(t), y > 0, categories) for t, y in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist())]
+            features, truth = [f.tobytes() for f, _ in own], [t for _, t in own]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(features, pa.binary()), pa.array(truth, pa.list_(pa.bool_()))], ["id", "features", "truth"])
 
     # ``marks`` has most_rows rows at most: a proven bound, so texts are not shuffled.
     joined = texts.join(F.broadcast(marks), "id").select(F.col("id").cast("long").alias("id"), F.col("y").cast("int").alias("y"), "text")
-    rows = joined.mapInArrow(run, "id long, y int, words string").dropDuplicates(["id"]).collect()
+    rows = joined.mapInArrow(run, "id long, features binary, truth array<boolean>").dropDuplicates(["id"]).collect()
     rows.sort(key=lambda r: (r["id"] * 0x9E3779B97F4A7C15) % 2**64)
-    return fit([(set(r["words"].split()), r["y"] > 0) for r in rows], categories)
+    return fit([(np.frombuffer(r["features"], np.uint32), r["truth"]) for r in rows], (*categories, FINAL))
 
 
 def score(docs: DataFrame, chain: Chain, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -105,7 +105,7 @@ def test_every_operator_takes_odd_and_empty_tables(spark, odd, nothing, rows):
     import public_tokenizers
 
     ranks = byte_bpe.read_ranks(queries.vocabulary("byte_bpe_50k.tiktoken"))
-    chain = toxicity.fit([({"good"}, False), ({"idiot"}, True)] * 6, toxicity.CATEGORIES)
+    chain = toxicity.fit([toxicity.example({"good"}, False, toxicity.CATEGORIES), toxicity.example({"idiot"}, True, toxicity.CATEGORIES)] * 6, (*toxicity.CATEGORIES, toxicity.FINAL))
     single = {
         "quality": host_quality.quality,
         "pii": pii.find,
@@ -191,7 +191,7 @@ def test_toxicity_chain():
         return words | ({r.choice(["idiot", "worthless", "scum", "moronic"])} if bad else set()), bad
 
     rows = [row(n % 5 == 0) for n in range(900)]
-    chain = toxicity.fit(rows[:600], toxicity.CATEGORIES)
+    chain = toxicity.fit([toxicity.example(*r, toxicity.CATEGORIES) for r in rows[:600]], (*toxicity.CATEGORIES, toxicity.FINAL))
     assert [len(w) - len(chain.features) for w in chain.weights] == [1, 2, 3]
     import numpy as np
 
