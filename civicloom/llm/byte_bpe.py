@@ -10,7 +10,7 @@ at worst, so a run of a million equal characters is no special case.
 from __future__ import annotations
 
 import base64
-import uuid
+import hashlib
 from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
@@ -137,7 +137,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_column: st
     A null or empty text gives no ids.  The rank table is the only broadcast; its size is
     that of the vocabulary file.  Other columns of ``docs`` are not carried.
     """
-    shared, name = docs.sparkSession.sparkContext.broadcast((ranks, pattern)), uuid.uuid4().hex
+    shared, name = docs.sparkSession.sparkContext.broadcast((ranks, pattern)), hashlib.sha256(b" ".join([*ranks, pattern.encode()])).hexdigest()
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

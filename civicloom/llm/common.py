@@ -51,6 +51,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20)
         for lo, hi in zip(edges, edges[1:]):
             if hi > lo:
                 yield batch.slice(lo, hi - lo)
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
 
 class Trees:
@@ -81,12 +82,17 @@ _made: dict[str, object] = {}
 def once(name: str, make):
     """``make()`` once per worker process and name; the object outlives the task."""
     if name not in _made:
-        while len(_made) >= 4:
+        while len(_made) >= 2:
             del _made[next(iter(_made))]
         _made[name] = make()
     return _made[name]
 
 
+def forget() -> None:
+    """Drop what operators before have left in this worker process."""
+    _made.clear()
+
+
 def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicloom.llm.common import Trees, components, merged, mix, same, slices, staged
+from civicloom.llm.common import Trees, components, forget, merged, mix, same, slices, staged
 
 #: Permutations of the signature, and of the finer one for documents that have candidates.
 PERMUTATIONS = 96
@@ -27,7 +27,7 @@ ROWS = 2
 _seed = np.random.default_rng(20240501)
 FACTORS = (_seed.integers(0, 1 << 32, FINE, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 SHIFTS = _seed.integers(0, 1 << 32, FINE, dtype=np.uint64).astype(np.uint32)
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Buckets of up to so many sets compare every pair; larger ones go by pivots.
 SMALL = 8
 PIVOT_ROUNDS = 4
@@ -103,7 +103,8 @@ def enough(values: int, least: float) -> float:
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        forget()
+        for batch in slices(batches, "text", 4 << 20):
             n, first, second, bands, sketches = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = shingles(text, width)

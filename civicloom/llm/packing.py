@@ -7,8 +7,8 @@ sequence crosses documents and nothing is padded; batches are drawn from one buc
 
 from __future__ import annotations
 
+import hashlib
 import re
-import uuid
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -26,7 +26,7 @@ PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-\xf
 #: The vocabulary file's rule for words, and what it comes to on those characters in lower case.
 RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+")
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 REMEMBERED_CHARS = 48
 
 
@@ -108,7 +108,7 @@ def pack(docs: DataFrame, definition: str, limit: int = 4096, end_id: int = 2, i
     """
     if limit & (limit - 1):
         raise ValueError("limit must be a power of two")
-    shared, name = docs.sparkSession.sparkContext.broadcast(definition), uuid.uuid4().hex
+    shared, name = docs.sparkSession.sparkContext.broadcast(definition), hashlib.sha256(definition.encode()).hexdigest()
     end = array("I", [end_id]).tobytes()
     kind = docs.schema[id_column].dataType.simpleString()
     fields = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, bucket int"

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicloom.llm.common import slices, staged
+from civicloom.llm.common import forget, slices, staged
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 EMAIL, IP, CARD, PHONE, SECRET = range(5)
@@ -213,6 +213,7 @@ def label(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     span = "struct<start:int, kind:int, end:int, strict:boolean, code:int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches, "text"):
             offsets, starts, kinds, ends, strict, codes = [0], [], [], [], [], []
             for text in batch.column(1).to_pylist():

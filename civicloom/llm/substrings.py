@@ -343,6 +343,7 @@ def _judge(table: pa.Table, least: int) -> pa.Table:
 def _apply(table: pa.Table, removals: pa.Table) -> pa.Table:
     """(id, n_bytes, kept, spans): one row for each row of a distinct text's smallest id."""
     texts, ids, times = _texts(table)
+    pa.default_memory_pool().release_unused()
 
     def joined(column: str, kind: str) -> np.ndarray:
         return np.frombuffer(b"".join(removals[column].to_pylist()), kind)
@@ -396,10 +397,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     total = narrow.agg(F.sum("n")).first()[0] or 0
     buckets = max(-(-total // bucket_bytes), 2 * shuffle_tasks(docs))
     bits = max(48 - 8 * LOW_BYTES, int(max(total >> 22, 1)).bit_length())
-    parts = max(-(-total // (4 << 20)), 2 * shuffle_tasks(docs))
+    parts = max(-(-total // (2 << 20)), 2 * shuffle_tasks(docs))
 
     bucketed = rows.select(F.pmod(h1, F.lit(buckets)).cast("int").alias("bucket"), "id", F.col("text").cast("binary").alias("text"))
-    dealt = _dealt(bucketed).repartition(shuffle_tasks(docs), "bucket")
+    tasks = max(shuffle_tasks(docs), -(-total // (64 << 20)))
+    dealt = _dealt(bucketed).repartition(tasks, "bucket")
     grams = dealt.groupBy("bucket").applyInArrow(lambda t: _grams(t, least, bits), "part int, bucket int, names binary, held binary")
     shared = grams.groupBy("part").applyInArrow(_shared, "bucket int, part int, names binary, hot binary")
     cut = dealt.groupBy("bucket").cogroup(shared.groupBy("bucket")).applyInArrow(lambda t, k: _cut_out(t, k, least, bits, parts), PIECES)

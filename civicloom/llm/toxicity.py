@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicloom.llm.common import slices
+from civicloom.llm.common import forget, slices, staged
 
 #: Category -> word stems; a labelled toxic row belongs to a category where one of its
 #: words starts with a stem.  The last category, ``toxic``, is the label itself.
@@ -28,7 +28,10 @@ CATEGORIES = {
 FINAL = "toxic"
 PREFIXES = (4, 5, 6)
 WORD = re.compile(r"[^\W\d_]+")
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: Features of a chain, and the labelled rows that must hold one.
+MOST_FEATURES = 4096
+LEAST_ROWS = 3
 
 
 def cut(word: str) -> list[int]:
@@ -88,7 +91,7 @@ def _fit(flat: np.ndarray, owner: np.ndarray, extra: np.ndarray, y: np.ndarray,
     return w
 
 
-def fit(rows: list[tuple[np.ndarray, list[bool]]], names: tuple[str, ...], folds: int = 3, most_features: int = 4096, least_rows: int = 3, ridge: float = 1.0) -> Chain:
+def fit(rows: list[tuple[np.ndarray, list[bool]]], names: tuple[str, ...], folds: int = 3, most_features: int = MOST_FEATURES, least_rows: int = LEAST_ROWS, ridge: float = 1.0) -> Chain:
     """The chain from rows of ``example``; row i is in fold i mod ``folds``.
 
     Features are those in ``least_rows`` rows or more whose share differs most between
@@ -151,12 +154,27 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             own = [example(words_of(t), y > 0, categories) for t, y in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist())]
-            features, truth = [f.tobytes() for f, _ in own], [t for _, t in own]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(features, pa.binary()), pa.array(truth, pa.list_(pa.bool_()))], ["id", "features", "truth"])
+            features, truth = [f.view(np.int32) for f, _ in own], [t for _, t in own]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(features, pa.list_(pa.int32())), pa.array(truth, pa.list_(pa.bool_()))], ["id", "features", "truth"])
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [f.values.to_numpy() for f in batch.column(1)]
+            kept = [f[np.isin(f, chosen.value)].tobytes() for f in own]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), batch.column(2)], ["id", "features", "truth"])
 
     # ``marks`` has most_rows rows at most: a proven bound, so texts are not shuffled.
     joined = texts.join(F.broadcast(marks), "id").select(F.col("id").cast("long").alias("id"), F.col("y").cast("int").alias("y"), "text")
-    rows = joined.mapInArrow(run, "id long, features binary, truth array<boolean>").dropDuplicates(["id"]).collect()
+    sample = staged(joined.mapInArrow(run, "id long, features array<int>, truth array<boolean>").dropDuplicates(["id"]), "sample")
+    toxic = F.element_at("truth", -1).cast("int")
+    total = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum(toxic), F.lit(0)).alias("bad")).first()
+    # What tells toxic rows from others is counted by Spark; the driver gets the best features and the rows cut to them.
+    counts = sample.select(F.explode("features").alias("f"), toxic.alias("y")).groupBy("f").agg(F.count("*").alias("n"), F.sum("y").alias("bad"))
+    clean = total["n"] - total["bad"]
+    rate = F.log((F.col("bad") + 0.5) / (total["bad"] + 1)) - F.log((F.col("n") - F.col("bad") + 0.5) / (clean + 1))
+    best = counts.where(F.col("n") >= LEAST_ROWS).orderBy((F.abs(rate) * F.sqrt("n")).desc(), "f").limit(MOST_FEATURES)
+    chosen = docs.sparkSession.sparkContext.broadcast(np.array([r["f"] for r in best.select("f").collect()], np.int32))
+    rows = sample.mapInArrow(reduced, "id long, features binary, truth array<boolean>").collect()
     rows.sort(key=lambda r: (r["id"] * 0x9E3779B97F4A7C15) % 2**64)
     return fit([(np.frombuffer(r["features"], np.uint32), r["truth"]) for r in rows], (*categories, FINAL))
 
@@ -168,6 +186,7 @@ def score(docs: DataFrame, chain: Chain, id_column: str = "doc_id", text_column:
     columns = [f"p_{n}" for n in chain.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         model = shared.value
         known: dict[str, tuple[int, ...]] = {}
         get = model.features.get
