@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -234,7 +236,10 @@ def previous_event(
     )
     spans = Window.partitionBy(*keys).orderBy("__span")
     carried = tails.select(*keys, "__span", F.lag("__tail").over(spans).alias("__carry"))
-    joined = marked.join(carried, [*keys, "__span"], "left")
+    # Null-safe: rows of a NULL key or time are a series and a span like any other.
+    carried = carried.withColumnsRenamed({k: f"__c_{k}" for k in [*keys, "__span"]})
+    met = [marked[k].eqNullSafe(carried[f"__c_{k}"]) for k in [*keys, "__span"]]
+    joined = marked.join(carried, reduce(and_, met), "left")
     previous = F.coalesce(F.col("__lag"), F.col("__carry"))
     return joined.select(*df.columns, previous.getField(value).alias(name))
 

@@ -28,7 +28,8 @@ def read_csv_text(
     ``line_breaks`` admits quoted line breaks in headers and cells; such a file
     cannot be split, so one task reads each file.
     """
-    raw = spark.read.csv(
-        path, header=True, quote='"', escape='"', multiLine=line_breaks, inferSchema=False
-    )
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": line_breaks}
+    header = spark.read.csv(path, inferSchema=False, **options).schema
+    # Every file's header is held against the first one's: another order is an error.
+    raw = spark.read.csv(path, schema=header, enforceSchema=False, **options)
     return raw.toDF(*normalize_names(raw.columns))

@@ -17,17 +17,35 @@ def read_payloads(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def vintage_from_path(path: Column | str) -> Column:
-    """The four-digit year in a landing path, e.g. ``…/2023/acs5.json``."""
+    """The four-digit year in a landing path, e.g. ``…/2023/acs5.json``.
+
+    A path part that is a year, or ``name=year``, goes before a year inside a part, so a
+    load date is not taken for the vintage.  A path without a year is an error.
+    """
     c = F.col(path) if isinstance(path, str) else path
-    return F.regexp_extract(c, "(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)", 1).try_cast("int")
+    part = F.regexp_extract(c, "(?:^|/)(?:[A-Za-z_]+=)?((?:19|20)[0-9]{2})(?:/|$)", 1)
+    inside = F.regexp_extract(c, "(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)", 1)
+    year = F.coalesce(part.try_cast("int"), inside.try_cast("int"))
+    missing = c.isNotNull() & year.isNull()
+    return F.when(missing, F.raise_error(F.concat(F.lit("no vintage in path "), c)).cast("int")).otherwise(year)
+
+
+def _refused(body: Column | str, broken: Column, why: str):
+    """A raising branch for non-blank bodies that are ``broken``; the caller adds the other."""
+    c = F.col(body) if isinstance(body, str) else body
+    sample = F.concat(F.lit(why + ": "), F.substring(c, 1, 80))
+    return F.when(c.isNotNull() & (F.trim(c) != "") & broken, F.raise_error(sample))
 
 
 def payload_rows(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame:
     """Array-of-arrays JSON to one row per record, as a header -> text map.
 
-    Element 0 is the header; a payload of a header only gives no rows.
+    Element 0 is the header; a payload of a header only, or none, gives no rows.  A body
+    that is no array of arrays - cut short, an error object - is an error.
     """
     table = F.from_json(body, "array<array<string>>")
+    broken = table.isNull() | F.exists(table, lambda r: r.isNull())
+    table = _refused(body, broken, "payload is no array of arrays").otherwise(table)
     split = df.select(*keep, table.alias("__t")).where(F.size("__t") > 1)
     records = split.select(
         *keep,
@@ -73,10 +91,12 @@ def dictionary_rows(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataF
     """``{"variables": {code: {label, concept}}}`` to (name, label, concept) rows.
 
     The query keywords ``for`` and ``in`` are not variables; a missing label or
-    concept is the empty string.
+    concept is the empty string; a body without variables is an error.
     """
     shape = "variables map<string, struct<label: string, concept: string>>"
-    parsed = df.select(*keep, F.from_json(body, shape)["variables"].alias("__v"))
+    variables = F.from_json(body, shape)["variables"]
+    variables = _refused(body, variables.isNull(), "dictionary has no variables").otherwise(variables)
+    parsed = df.select(*keep, variables.alias("__v"))
     entries = parsed.select(*keep, F.explode("__v").alias("name", "__entry"))
     return entries.where(~F.col("name").isin("for", "in")).select(
         *keep,
