@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicloom.llm.bwt import least_owner
-from civicloom.llm.common import mix, same, shuffle_tasks, staged
+from civicloom.llm.common import forget, mix, same, shuffle_tasks, slices, staged
 
 GRAM = 24
 #: Windows of one document that are looked at together.
@@ -134,7 +134,8 @@ def _dealt(docs: DataFrame) -> DataFrame:
     """(bucket, id, times, text as bytes): each text goes to its bucket once from each batch, with its smallest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        forget()
+        for batch in slices(batches, "text"):
             if batch.num_rows:
                 names = ["bucket", "id", "times", "text"]
                 table = pa.table([batch.column(0), batch.column(1), pa.array(np.ones(batch.num_rows, np.int64)), batch.column(2)], names=names)
@@ -375,7 +376,7 @@ def _apply(table: pa.Table, removals: pa.Table) -> pa.Table:
     return pa.table([pa.array(out_id, pa.int64()), pa.array(size, pa.int64()), pa.array(kept, pa.binary()), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), spans)], names=["id", "n_bytes", "kept", "spans"])
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = 50, bucket_bytes: int = 12 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = 50, bucket_bytes: int = 4 << 20) -> DataFrame:
     """(id, n_bytes, kept binary, spans array<struct<start, end>>), one row per input row.
 
     A byte goes if a string of ``least`` bytes around it also starts in a document with a
