@@ -58,10 +58,11 @@ def label_slug(label: Column | str) -> Column:
     return slug(F.regexp_replace(F.regexp_replace(body, "!!", " "), ":", ""))
 
 
-def concept_title(concept: Column | str, limit: int = 200) -> Column:
+def concept_title(concept: Column | str, limit: int | None = 200) -> Column:
     """Concept without its inflation-adjustment note, at most ``limit`` characters."""
     note = "[(]in [0-9]{4} Inflation-Adjusted Dollars[)]"
-    return F.substring(F.trim(F.regexp_replace(as_column(concept), note, "")), 1, limit)
+    title = F.trim(F.regexp_replace(as_column(concept), note, ""))
+    return title if limit is None else F.substring(title, 1, limit)
 
 
 def table_slug(title: Column | str, prefix: str = "fact_", missing: str = "misc") -> Column:

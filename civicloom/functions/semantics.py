@@ -120,10 +120,15 @@ def tolerant_int(text: Column | str) -> Column:
 
 
 def strict_int(value: Column | str) -> Column:
-    """Number or numeric text to int, rounding a fraction; bad text is an error."""
+    """Numeric text to int, a half going away from zero; bad text is an error."""
     return _whole(as_column(value).cast("double")).cast("int")
 
 
+def whole_number(value: Column | str) -> Column:
+    """A double to int, a half going to the even neighbour (2.5 -> 2); text goes through ``strict_int``."""
+    return F.rint(as_column(value)).cast("int")
+
+
 def strip_thousands(text: Column | str) -> Column:
     return F.regexp_replace(as_column(text), ",", "")
 

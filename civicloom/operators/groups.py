@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 def membership(
     spark: SparkSession, groups: Mapping[str, Sequence[object]], member: str, group: str
 ) -> DataFrame:
-    """(member, group) rows of a map written out in the program; fixed size, so broadcast."""
+    """(member, group) rows of a map written out in the program."""
     claims = [
         F.struct(F.lit(m).alias(member), F.lit(name).alias(group))
         for name, members in groups.items()
         for m in members
     ]
-    return F.broadcast(spark.range(1).select(F.inline(F.array(*claims))))
+    return spark.range(1).select(F.inline(F.array(*claims)))
 
 
 def by_group(df: DataFrame, members: DataFrame, on: str) -> DataFrame:

@@ -180,10 +180,11 @@ def role_columns(
 
 @dataclass(frozen=True)
 class FanOut:
-    """Wide tables by name, and the names that had nothing to show."""
+    """Wide tables by name, the names that had nothing to show, and the shared labels by table."""
 
     tables: dict[str, DataFrame]
     skipped: list[str] = field(default_factory=list)
+    shared_labels: dict[str, list[str]] = field(default_factory=dict)
 
 
 def fan_out(
@@ -198,8 +199,10 @@ def fan_out(
 
     ``crosswalk`` has (code, label, table_name) for the vintage that names the
     columns.  Only the codes that occur are collected - a subset of the variable
-    dictionary - because they become column names.  Each table is then a filter
-    on its own codes plus one conditional aggregation; the crosswalk is never
+    dictionary, and no more than ``pivotMaxValues`` a table - because they become
+    column names.  Codes of one table that share a label keep a column each,
+    ``<label>_<code>``, and are listed in ``shared_labels``.  Each table is then a
+    filter on its own codes plus one conditional aggregation; the crosswalk is never
     joined to the observations.  With ``stage_to`` the observations are first
     written once, partitioned by table, so every table reads only its own folder.
     """
@@ -209,25 +212,57 @@ def fan_out(
     present = (
         named.join(occurring, code, "left_semi").select(code, "label", "table_name").distinct()
     )
-    columns: dict[str, dict[str, list[str]]] = {}
+    labelled: dict[str, dict[str, list[str]]] = {}
     for row in present.collect():
-        columns.setdefault(row["table_name"], {}).setdefault(row["label"], []).append(row[code])
+        labelled.setdefault(row["table_name"], {}).setdefault(row["label"], []).append(row[code])
     wanted = [r[0] for r in named.select("table_name").distinct().collect()]
+    bound = int(observations.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    columns, shared = {}, {}
+    for table in sorted(labelled):
+        columns[table], twice = _column_names(labelled[table])
+        if twice:
+            shared[table] = twice
+        if len(columns[table]) > bound:
+            raise ValueError(f"{table} has more than {bound} columns")
 
     source = observations
     if stage_to is not None:
-        source = _staged(observations, present, code, stage_to)
+        source = _staged(observations, columns, code, stage_to)
     tables = {}
-    for table in sorted(columns):
-        labels = columns[table]
+    for table, cells in columns.items():
         rows = source if stage_to is None else source.where(F.col("table_name") == table)
-        cells = {label: sorted(labels[label]) for label in sorted(labels)}
         tables[table] = widen(rows, keys, code, cells, measures)
-    return FanOut(tables, sorted(set(wanted) - set(tables)))
+    return FanOut(tables, sorted(set(wanted) - set(tables)), shared)
 
 
-def _staged(observations: DataFrame, present: DataFrame, code: str, path: str) -> DataFrame:
-    """Observations with their table name, written once, one folder per table."""
-    tagged = observations.join(present.select(code, "table_name").distinct(), code)
-    tagged.write.mode("overwrite").partitionBy("table_name").parquet(path)
+def _column_names(labels: Mapping[str, list[str]]) -> tuple[dict[str, list[str]], list[str]]:
+    """Column name -> its one code, sorted, and the labels that several codes share."""
+    named, shared = {}, []
+    for label, codes in labels.items():
+        if len(codes) > 1:
+            shared.append(label)
+        for one in codes:
+            name = label if len(codes) == 1 else f"{label}_{one.lower()}"
+            if name in named:
+                raise ValueError(f"column name {name} stands for two variables")
+            named[name] = [one]
+    return dict(sorted(named.items())), sorted(shared)
+
+
+def _staged(
+    observations: DataFrame, columns: Mapping[str, Mapping[str, list[str]]], code: str, path: str
+) -> DataFrame:
+    """Observations with their table name, written once, one folder per table.
+
+    The table of a code is read from a literal map of the codes already collected, so hot
+    codes are not brought together for a join; rebalancing on the table before the write
+    gives each folder few files and splits a hot table.
+    """
+    tables = {c: table for table, cells in columns.items() for codes in cells.values() for c in codes}
+    if not tables:
+        return observations.limit(0).withColumn("table_name", F.lit(None).cast("string"))
+    listed = F.create_map(*[F.lit(part) for pair in sorted(tables.items()) for part in pair])
+    tagged = observations.where(F.col(code).isin(sorted(tables))).withColumn("table_name", listed[F.col(code)])
+    spread = tagged.hint("rebalance", "table_name")
+    spread.write.mode("overwrite").partitionBy("table_name").parquet(path)
     return observations.sparkSession.read.parquet(path)

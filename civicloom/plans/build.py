@@ -1,7 +1,7 @@
 """Run the warehouse: land, clean, model, report - layer by layer.
 
-Every step reads the stored tables of the step before and writes its own, so a
-failed run resumes from what is on storage and no plan grows across layers.
+Every step reads the stored tables of the step before and writes its own, so no plan
+grows across layers.  A run that is started again lands, cleans and models anew.
 """
 
 from __future__ import annotations
@@ -77,6 +77,8 @@ def land(house: Warehouse, inputs: Mapping[str, str]) -> list[str]:
             raw = files.read_csv_text(spark, path, line_breaks=True)
         elif name in SURVEY_INPUTS:
             raw = survey.read_landed(spark, path, SURVEY_INPUTS[name])
+        elif name == "acs_requested":
+            raw = survey.read_requested(spark, path)
         elif name == "acs_metadata":
             raw = survey.read_dictionaries(spark, path)
         elif name in BOUNDARY_INPUTS:
@@ -131,6 +133,9 @@ def clean(house: Warehouse) -> None:
     ]
     cross = survey.crosswalk(house.table("bronze", "acs_metadata"), stored)
     house.replace("silver", "variable_crosswalk", cross)
+    if "acs_requested" in house.tables("bronze"):
+        asked, listed = house.table("bronze", "acs_requested"), house.table("bronze", "acs_metadata")
+        house.replace("silver", "variables_missing", survey.missing_variables(asked, listed))
 
 
 def _dimensions(house: Warehouse) -> None:
@@ -177,10 +182,22 @@ SCHOOL_FACT_SOURCES = {
 }
 
 
-def model_star(house: Warehouse) -> list[str]:
+def missing_variables(house: Warehouse) -> list[str]:
+    """Requested variables a dictionary lacks, as ``geography/year/variable``.
+
+    At most one line per requested code, dictionary year and geography.
+    """
+    if "variables_missing" not in house.tables("silver"):
+        return []
+    lines = house.table("silver", "variables_missing").select(F.concat_ws("/", "geography", "year", "variable"))
+    return sorted(row[0] for row in lines.collect())
+
+
+def model_star(house: Warehouse) -> tuple[list[str], list[str]]:
     """Gold: dimensions, fixed facts and one fact per concept and geography.
 
-    Returns the concepts that had no rows, so none disappears unnoticed.
+    Returns the concepts that had no rows and the labels that stand for several
+    variables, so none disappears unnoticed.
     """
     house.reset("gold")
     _dimensions(house)
@@ -191,13 +208,14 @@ def model_star(house: Warehouse) -> list[str]:
     def gold(name: str) -> DataFrame:
         return house.table("gold", name)
 
-    skipped = []
+    skipped, shared = [], []
     cross = silver("variable_crosswalk")
     for source, suffix, key in (("acs_bg", "bg", "block_group_GEOID"), ("acs_place", "town", "place_GEOID")):
         stage = scratch_path(house.spark, f"staged-{suffix}")
         made = survey.concept_facts(silver(source), cross, key, stage_to=stage)
         house.replace_all("gold", {f"{name}_{suffix}": fact for name, fact in made.tables.items()})
         skipped += [f"{name}_{suffix}" for name in made.skipped]
+        shared += [f"{name}_{suffix}.{label}" for name, labels in made.shared_labels.items() for label in labels]
 
     towns, regions, bedrooms = gold("dim_town"), gold("dim_region"), gold("dim_bedrooms")
     gap, wages = silver("ami_affordability_gap"), silver("charlotte_housing_wage")
@@ -217,7 +235,7 @@ def model_star(house: Warehouse) -> list[str]:
     for name, source in SCHOOL_FACT_SOURCES.items():
         facts[name] = schools.school_fact(name, silver(source))
     house.replace_all("gold", facts)
-    return skipped
+    return skipped, shared
 
 
 def report(house: Warehouse) -> list[str]:
@@ -355,9 +373,13 @@ def integrity(house: Warehouse) -> list[tuple]:
 
 
 def run(house: Warehouse, inputs: Mapping[str, str]) -> dict[str, list[str]]:
-    """The whole warehouse, in order: table names by layer and the empty concepts."""
+    """The whole warehouse, in order: table names by layer, and what was asked for but not found.
+
+    ``missing_variables`` needs the input ``acs_requested``, a text file of variable codes.
+    """
     made = {"bronze": land(house, inputs)}
     clean(house)
-    made["skipped_concepts"] = model_star(house)
+    made["missing_variables"] = missing_variables(house)
+    made["skipped_concepts"], made["shared_labels"] = model_star(house)
     made["main"] = report(house)
     return made | {"silver": house.tables("silver"), "gold": house.tables("gold")}

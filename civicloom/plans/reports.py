@@ -7,6 +7,7 @@ measures; ``civicloom.operators.metrics.indicators`` computes it in one pass.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -562,17 +563,14 @@ NEIGHBORHOOD_BLOCKS = {
 }
 
 
-def disclaimer(groups: dict[str, list[str]], name: str) -> str:
-    """How well whole block groups stand for a neighbourhood."""
-    members = groups[name]
-    shared = sorted(m for m in members if sum(m in g for g in groups.values()) > 1)
-    text = "Note: block group approximation of neighborhood boundary"
-    if len(members) == 2:
-        text = "Note: neighborhood spans 2 block groups — boundary imprecision is higher"
-    for member in shared:
-        others = [n for n, g in groups.items() if member in g and n != name]
-        text += f". CONFLICT: block group {member} overlaps with {', '.join(others)}"
-    return text
+# Note on how well whole block groups stand for each neighbourhood.
+DISCLAIMERS = {
+    "Huntington Green": "Note: block group approximation of neighborhood boundary",
+    "Pottstown": "Note: neighborhood spans 2 block groups — boundary imprecision is higher",
+    "West Davidson": "Note: block group approximation of neighborhood boundary",
+    "Smithville": "Note: block group approximation of neighborhood boundary. CONFLICT: block group 371190064111 overlaps with East Catawba (see file header) -- 15 of its blocks are stakeholder-verified as East Catawba.",
+    "East Catawba": "Note: block group approximation of neighborhood boundary, now using the 5 block groups verified against a stakeholder-provided boundary map. CONFLICT: block group 371190064111 overlaps with Smithville (see file header).",
+}
 
 
 def town_report(name: str, observations: DataFrame, towns: DataFrame) -> DataFrame:
@@ -588,9 +586,11 @@ def town_report(name: str, observations: DataFrame, towns: DataFrame) -> DataFra
     return joined.select("GEOID", "town", "year", *[f"`{m.name}`" for m in report.measures])
 
 
-def neighborhood_members(spark, groups: dict[str, list[str]], member: str) -> DataFrame:
-    """(member, neighborhood_name, disclaimer) of a neighbourhood map."""
-    rows = [(m, n, disclaimer(groups, n)) for n, members in groups.items() for m in members]
+def neighborhood_members(
+    spark, groups: dict[str, list[str]], member: str, notes: Mapping[str, str] = DISCLAIMERS
+) -> DataFrame:
+    """(member, neighborhood_name, disclaimer) of a neighbourhood map; no note gives NULL."""
+    rows = [(m, n, notes.get(n)) for n, members in groups.items() for m in members]
     columns = {member: "string", "neighborhood_name": "string", "disclaimer": "string"}
     return relations.literal(spark, rows, columns)
 

@@ -57,22 +57,32 @@ GRADE_SCOPES = {
     **{f"Grade {n}": str(n) for n in range(3, 9)},
 }
 
-# End-of-course labels; grade-level labels follow "<area> Grade <scope>".
-COURSE_AREAS = {"Biology": "Science", "English II": "English", "NC Math 1 (9-12)": "Math", "NC Math 3 (9-12)": "Math"}
-GRADE_LABELS = {
-    f"{area} Grade {scope}": (area, scope)
-    for area, scopes in {
-        "Reading": ["3-8", "3", "4", "5", "6", "7", "8"],
-        "Math": ["3-8", "3", "4", "5", "6", "7", "8"],
-        "Science": ["5&8", "5", "8"],
-    }.items()
-    for scope in scopes
-}
-SUBJECT_AREAS = {**COURSE_AREAS, **{label: area for label, (area, _) in GRADE_LABELS.items()}}
-SUBJECT_SCOPES = {
-    **{label: "EOC (9-12)" for label in COURSE_AREAS},
-    **{label: scope for label, (_, scope) in GRADE_LABELS.items()},
+# Subject area and grade scope of each subject label.
+SUBJECT_LABELS = {
+    "Biology": ("Science", "EOC (9-12)"),
+    "English II": ("English", "EOC (9-12)"),
+    "NC Math 1 (9-12)": ("Math", "EOC (9-12)"),
+    "NC Math 3 (9-12)": ("Math", "EOC (9-12)"),
+    "Reading Grade 3-8": ("Reading", "3-8"),
+    "Reading Grade 3": ("Reading", "3"),
+    "Reading Grade 4": ("Reading", "4"),
+    "Reading Grade 5": ("Reading", "5"),
+    "Reading Grade 6": ("Reading", "6"),
+    "Reading Grade 7": ("Reading", "7"),
+    "Reading Grade 8": ("Reading", "8"),
+    "Math Grade 3-8": ("Math", "3-8"),
+    "Math Grade 3": ("Math", "3"),
+    "Math Grade 4": ("Math", "4"),
+    "Math Grade 5": ("Math", "5"),
+    "Math Grade 6": ("Math", "6"),
+    "Math Grade 7": ("Math", "7"),
+    "Math Grade 8": ("Math", "8"),
+    "Science Grade 5&8": ("Science", "5&8"),
+    "Science Grade 5": ("Science", "5"),
+    "Science Grade 8": ("Science", "8"),
 }
+SUBJECT_AREAS = {label: area for label, (area, _) in SUBJECT_LABELS.items()}
+SUBJECT_SCOPES = {label: scope for label, (_, scope) in SUBJECT_LABELS.items()}
 
 # Town of each school by its mailing address.
 SCHOOLS_BY_TOWN = {
@@ -91,8 +101,7 @@ UNLISTED_SUBGROUPS = {
     "NELS": "Not English Learner",
 }
 UNLISTED_SUBJECTS = {
-    "MA37": "[Undocumented code] Inferred from data: mathematics grades 3-7 combined, "
-    "the grade 3-8 group without grade 8."
+    "MA37": "[UNDOCUMENTED CODE -- not in the workbook's own Format tab] Inferred from data: Mathematics grades 3-7 combined, i.e. MAGS excluding grade 8. Verified against 2 independent schools: Barnette Elementary (PK-05, no grade 6-8 data at all) has MA37 exactly equal to MAGS (same denominator 374, same glp_pct 73.3); J. M. Alexander Middle (06-08) has MA37's denominator (531) exactly equal to MAGS's denominator (791) minus MA08's denominator (260). Plausible reason: grade 8 math is reported separately (M8SEP/MA08) since some grade-8 students take the NC Math 1 EOC instead of the standard grade-8 EOG.",
 }
 
 # Benchmark score of each ACT measure that has one.

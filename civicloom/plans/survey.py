@@ -5,64 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicloom.functions import names
 from civicloom.functions.semantics import NOT_ESTIMATED, first_match, null_if_sentinel
 from civicloom.operators import joins, reshape
 from civicloom.operators.reshape import FanOut
-from civicloom.sources import payloads, relations
-
-# Published tables and the line numbers requested from each.
-REQUESTED = {
-    "B01001": "2-49",
-    "B01002": "1",
-    "B01003": "1",
-    "B02001": "2-3 5",
-    "B03003": "3",
-    "B05002": "13",
-    "B07003": "4",
-    "B08136": "1",
-    "B08201": "2",
-    "B08301": "1 3 10 18-19 21",
-    "B10002": "2",
-    "B11005": "2 7",
-    "B14001": "1-10",
-    "B15003": "1-25",
-    "B17001": "1-2 4",
-    "B17010": "2",
-    "B18101": "1-2 4-5 7-8 10-11 13-14 16-17 19-21 23-24 26-27 29-30 32-33 35-36 38-39",
-    "B19001": "1-17",
-    "B19013": "1",
-    "B19057": "2",
-    "B19083": "1",
-    "B21001": "1-2",
-    "B22001": "1-2",
-    "B23008": "1-2 4-7 10-11 13-20 23-24 26-27",
-    "B23025": "5",
-    "B25001": "1",
-    "B25003": "2-3",
-    "B25004": "1",
-    "B25038": "2-15",
-    "B25044": "1 3 10",
-    "B25064": "1",
-    "B25070": "7-10",
-    "B25071": "1",
-    "B25077": "1",
-    "B27001": "1 4-5 7-8 10-11 13-14 16-17 19-20 22-23 25-26 28-29 32-33 35-36 38-39 41-42 44-45 47-48 50-51 53-54 56-57",
-    "B27010": "1 3-17 19-33 35-50 52-66",
-    "B27011": "2 4 7 9 12 14 17",
-    "B27015": "1 3 6 8 11 13 16 18 21 23 26",
-    "B28001": "11",
-    "B28002": "2 13",
-    "C16002": "1 4 7 10 13",
-    "S1501_C01": "1-5 16-64",
-    "S1501_C02": "6-9 23-24 26-27 29-30 32-33 35-38 44-47 50-51 53-54 56-57 59-60 62-63",
-}
-
-# Years of five-year estimates.
-VINTAGES = tuple(range(2018, 2025))
+from civicloom.sources import payloads
 
 # Names of the reporting towns inside place names.
 TOWN_RULES = [("%davidson%", "Davidson"), ("%cornelius%", "Cornelius"), ("%huntersville%", "Huntersville")]
@@ -71,37 +21,51 @@ TOWN_PLACES = "davidson town|cornelius town|huntersville town"
 GEO_PARTS = {"block group": ["state", "county", "tract", "block group"], "place": ["state", "place"]}
 
 
-def line_numbers(ranges: str) -> list[int]:
-    """``"1 3-5"`` -> [1, 3, 4, 5]."""
-    numbers = []
-    for part in ranges.split():
-        low, _, high = part.partition("-")
-        numbers.extend(range(int(low), int(high or low) + 1))
-    return numbers
+def read_requested(spark: SparkSession, path: str) -> DataFrame:
+    """Requested codes, one per line of a text file: (variable, kind).
 
+    Blank lines and lines that start with ``#`` are left out; a code named twice counts once.
+    """
+    code = F.trim("value")
+    named = spark.read.text(path).select(code.alias("variable"))
+    wanted = named.where((F.col("variable") != "") & ~F.col("variable").startswith("#")).distinct()
+    return wanted.withColumn("kind", payloads.table_kind("variable"))
 
-def requested_codes() -> list[str]:
-    return [f"{t}_{n:03d}" for t, ranges in REQUESTED.items() for n in line_numbers(ranges)]
 
+def missing_variables(
+    requested: DataFrame, dictionaries: DataFrame, geographies: Sequence[str] = tuple(GEO_PARTS)
+) -> DataFrame:
+    """(geography, year, variable): requested codes that a year's dictionary lacks.
 
-def requested(spark: SparkSession, geography: str) -> DataFrame:
-    """Requested codes published for a geography: (variable, kind)."""
-    codes = relations.literal(spark, [(c,) for c in requested_codes()], {"variable": "string"})
-    tagged = codes.withColumn("kind", payloads.table_kind("variable"))
-    return payloads.published_at(tagged, geography)
+    ``dictionaries`` is (year, name).  Subject codes are not asked for at block groups.
+    The requested list is joined once with the codes of all years, one row per code.
+    """
+    estimates = dictionaries.where(F.col("name").endswith("E"))
+    coded = estimates.select("year", F.expr("substring(name, 1, length(name) - 1)").alias("variable"))
+    listed = coded.groupBy("variable").agg(F.collect_set("year").alias("__listed"))
+    every = dictionaries.select(F.collect_set("year")).scalar()
+    absent = F.array_except(every, F.coalesce("__listed", F.array().cast("array<int>")))
+    found = requested.join(listed, "variable", "left").select("variable", F.explode(absent).alias("year"))
+    parts = [
+        payloads.published_at(found, geography).select(F.lit(geography).alias("geography"), "year", "variable")
+        for geography in geographies
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_landed(spark: SparkSession, path: str, geography: str) -> DataFrame:
     """Landed responses of one geography to raw tidy observations.
 
-    Responses of subject tables name no margin columns, so their margin is NULL.
+    Subject tables are published without margins here, so theirs is NULL even where the
+    response names one.
     """
     landed = payloads.read_payloads(spark, path).withColumn(
         "vintage_year", payloads.vintage_from_path("path")
     )
     records = payloads.payload_rows(landed, "body", ["vintage_year"])
     tidy = payloads.tidy_observations(records, GEO_PARTS[geography], ["vintage_year"])
-    return tidy.select("GEOID", "NAME", "variable", "estimate", "moe", "vintage_year")
+    moe = F.when(payloads.table_kind("variable") == "detailed", F.col("moe")).alias("moe")
+    return tidy.select("GEOID", "NAME", "variable", "estimate", moe, "vintage_year")
 
 
 def read_dictionaries(spark: SparkSession, path: str) -> DataFrame:
@@ -128,19 +92,29 @@ def clean_observations(
 
 
 def crosswalk(metadata: DataFrame, observations: Sequence[DataFrame]) -> DataFrame:
-    """Column and table name of every estimate variable that occurs in the observations."""
+    """Column and table name of every estimate variable that occurs in the observations.
+
+    Concepts are cut to a bounded title; two concepts of one year whose titles then name
+    one table are an error, as their columns would be mixed up.
+    """
     used = reduce(DataFrame.union, [df.select("variable") for df in observations]).distinct()
     estimates = metadata.where(F.col("name").endswith("E") & ~F.col("name").isin("for", "in"))
     coded = estimates.withColumn("variable", F.regexp_replace("name", "E$", ""))
     title = names.concept_title("concept")
-    return joins.only_members(coded, used, "variable").select(
+    named = coded.join(used, "variable", "left_semi").select(
         "year",
         "name",
         "variable",
         names.label_slug("label").alias("label_clean"),
         title.alias("concept"),
         names.table_slug(title).alias("table_name"),
+        names.table_slug(names.concept_title("concept", None)).alias("__whole"),
     )
+    same = Window.partitionBy("year", "table_name")
+    clash = F.min("__whole").over(same) != F.max("__whole").over(same)
+    why = F.concat(F.lit("different concepts share the table name "), "table_name")
+    checked = F.when(clash, F.raise_error(why).cast("string")).otherwise(F.col("table_name"))
+    return named.withColumn("table_name", checked).drop("__whole")
 
 
 def concept_facts(

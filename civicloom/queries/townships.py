@@ -112,13 +112,15 @@ def _town(name, report):
 HOODS = {"Harbour": ["371191"], "Mill": ["371192", "371193"], "Oak": ["371194"],
          "Ridge": ["371194", "371195", "371196", "3711911", "3711912"]}
 
+HOOD_NOTES = {"Harbour": "one", "Mill": "two together", "Oak": "claimed by Ridge as well", "Ridge": "five, one of them claimed by Oak"}
+
 
 def _hood(name, report):
     codes = _codes(report)
     source, measures = wide_sql(report)
     notes = name == "agg_neighborhood_demographics"
     members = ", ".join(
-        f"('{g}', '{n}', '{reports.disclaimer(HOODS, n)}')" for n, gs in HOODS.items() for g in gs
+        f"('{g}', '{n}', '{HOOD_NOTES[n]}')" for n, gs in HOODS.items() for g in gs
     )
     sql = f"""{observations_sql(codes, "block group")}
     SELECT hood AS neighborhood_name, {"note AS disclaimer, " if notes else ""}geoid AS "GEOID", yr AS year, {measures}
@@ -126,7 +128,7 @@ def _hood(name, report):
 
     def build(t):
         observations = survey.clean_observations(line_observations(t, codes, "block group"))
-        members = reports.neighborhood_members(t.spark, HOODS, "GEOID")
+        members = reports.neighborhood_members(t.spark, HOODS, "GEOID", HOOD_NOTES)
         return reports.neighborhood_report(name, observations, members)
 
     query(sql, name=name)(build)

@@ -11,7 +11,7 @@ from civicloom.functions.parse import date_parts
 
 
 def literal(spark: SparkSession, rows: Sequence[tuple], columns: Mapping[str, str]) -> DataFrame:
-    """Rows written out in the program; fixed size, so safe to broadcast.
+    """Rows written out in the program.
 
     ``columns`` maps names to type names.  The rows travel as one literal array
     inside the plan; no Python task is started to produce them.
@@ -20,7 +20,7 @@ def literal(spark: SparkSession, rows: Sequence[tuple], columns: Mapping[str, st
         F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, columns.items())])
         for row in rows
     ]
-    return F.broadcast(spark.range(1).select(F.inline(F.array(*structs))))
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def date_spine(bounds: DataFrame, first: str = "first", last: str = "last") -> DataFrame:

@@ -13,6 +13,12 @@ PLACES = {"37001": "Davidson town, North Carolina", "37002": "Cornelius town, No
           "37003": "Huntersville town, North Carolina", "37004": "Matthews town, North Carolina"}
 BLOCK_GROUPS = sorted({g for gs in reports.NEIGHBORHOOD_BLOCK_GROUPS.values() for g in gs}) + ["371190099991"]
 MISSING_IN_2023 = "B28002_013"
+ALL_REPORTS = {**reports.TOWN_REPORTS, **reports.NEIGHBORHOOD_REPORTS}
+#: Every variable a report computes with, and a first line of the tables reports only ask for.
+ASKED = sorted(
+    {c for r in ALL_REPORTS.values() for m in r.measures for c in m.codes}
+    | {f"{t}_002" for r in ALL_REPORTS.values() for t in r.requires}
+)
 SCHOOL_LIST = ["600312", "600357", "600305", "999999"]
 
 
@@ -32,7 +38,7 @@ def write_csv(path: Path, header, rows) -> str:
 
 def _payloads(folder: Path, kind: str, areas) -> str:
     geo_header = ["state", "county", "tract", "block group"] if kind == "block group" else ["state", "place"]
-    codes = [c for c in survey.requested_codes() if not (kind == "block group" and c.startswith("S"))]
+    codes = [c for c in ASKED if not (kind == "block group" and c.startswith("S"))]
     for year in YEARS:
         asked = [c for c in codes if not (c == MISSING_IN_2023 and year == 2023)]
         groups = [[c for c in asked if c.startswith("S")], [c for c in asked if not c.startswith("S")]]
@@ -58,8 +64,10 @@ def _payloads(folder: Path, kind: str, areas) -> str:
 def _dictionaries(folder: Path) -> str:
     for year in YEARS:
         variables = {"for": {"label": "x"}, "in": {}, "NAME": {}, "GEO_ID": {"label": "Geography"}}
-        for code in survey.requested_codes():
+        for code in ASKED:
             table = code.split("_")[0]
+            if code == MISSING_IN_2023 and year == 2023:
+                continue
             variables[f"{code}E"] = {
                 "label": f"Estimate!!Total:!!Line {code}",
                 "concept": f"Concept {table} (in {year} Inflation-Adjusted Dollars)",
@@ -71,6 +79,11 @@ def _dictionaries(folder: Path) -> str:
     return str(folder / "*" / "*.json")
 
 
+def _requested(path: Path) -> str:
+    path.write_text("\n".join(["# codes", "", *ASKED, ASKED[0], "B00000_001"]))
+    return str(path)
+
+
 def _features(path: Path, shapes) -> str:
     path.parent.mkdir(parents=True, exist_ok=True)
     lines = []
@@ -132,6 +145,7 @@ def land_everything(root: Path) -> dict[str, str]:
         "acs_blockgroup": _payloads(root / "bg", "block group", names),
         "acs_place": _payloads(root / "place", "place", PLACES),
         "acs_metadata": _dictionaries(root / "meta"),
+        "acs_requested": _requested(root / "requested.txt"),
         "bg_geometry": _features(root / "bg.jsonl", [{"GEOID": g, "COUNTYFP": "119"} for g in BLOCK_GROUPS[:-1]] + [{"GEOID": "370250000001", "COUNTYFP": "025"}]),
         "block_geometry": _features(root / "block.jsonl", [{"GEOID20": b, "NAME20": f"Block {b[-4:]}", "COUNTYFP20": "119"} for b in blocks]),
         "zillow_home_values": write_csv(root / "zhvi.csv", ["town", "housing_type", "date", "home_value"], [[f" {t}", k, m, 100 * i + 7] for i, t in enumerate(towns) for k in ("condo", "house") for m in months]),

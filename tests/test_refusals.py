@@ -2,7 +2,9 @@
 
 import pytest
 
-from civicloom.operators import metrics
+from civicloom.functions import semantics
+from civicloom.operators import metrics, reshape
+from civicloom.plans import survey
 from civicloom.sources import files, payloads
 
 
@@ -43,3 +45,44 @@ def test_previous_event_of_a_null_key(spark):
     df = spark.createDataFrame(rows, "k string, t string, v double").selectExpr("k", "CAST(t AS timestamp) t", "v")
     got = {(r["k"], r["v"]): r["p"] for r in metrics.previous_event(df, ["k"], ["t"], "v", "p").collect()}
     assert got == {(None, 1.0): None, (None, 2.0): 1.0, ("a", 5.0): None}
+
+
+def test_variables_with_one_label_keep_a_column_each(spark, rows, tmp_path):
+    seen = [("g", 1, "A_1", 10.0, 0.1), ("g", 1, "A_2", 99.0, 0.2), ("g", 1, "A_3", None, None), ("g", 1, "A_3", 5.0, None)]
+    observations = spark.createDataFrame(seen, "geo string, year int, variable string, estimate double, moe double")
+    named = [("A_1", "total", "fact_a"), ("A_2", "total", "fact_a"), ("A_3", "male", "fact_a")]
+    crosswalk = spark.createDataFrame(named, "variable string, label string, table_name string")
+    for stage in (None, str(tmp_path / "stage")):
+        made = reshape.fan_out(observations, crosswalk, ["geo", "year"], stage_to=stage)
+        assert made.shared_labels == {"fact_a": ["total"]}
+        fact = made.tables["fact_a"]
+        assert fact.columns[2:5] == ["male", "total_a_1", "total_a_2"]
+        assert rows(fact) == [("g", 1, 5.0, 10.0, 99.0, None, 0.1, 0.2)]
+
+
+def test_concepts_that_share_a_table_name_are_refused(spark):
+    long = "x" * 250
+    metadata = spark.createDataFrame(
+        [(2024, "A_1E", "Estimate!!Total", long + " one"), (2024, "B_1E", "Estimate!!Total", long + " two")],
+        "year int, name string, label string, concept string",
+    )
+    used = spark.createDataFrame([("A_1",), ("B_1",)], "variable string")
+    assert survey.crosswalk(metadata, [used.limit(1)]).count() == 1
+    with pytest.raises(Exception, match="share the table name"):
+        survey.crosswalk(metadata, [used]).collect()
+
+
+def test_wide_and_narrow_plans_agree(spark, rows, monkeypatch):
+    seen = [("g", "a", 1.0), ("g", "a", 7.0), ("g", "b", None), ("h", "b", 2.0), ("h", "c", 3.0), (None, "a", 4.0), ("i", None, 1.0)]
+    df = spark.createDataFrame(seen, "k string, label string, v double")
+    cells = {"one": ["a"], "rest": ["b", "c"]}
+    narrow = rows(reshape.widen(df, ["k"], "label", cells, {"v": "", "label": "_l"}))
+    monkeypatch.setattr(reshape, "NARROW", 0)
+    assert rows(reshape.widen(df, ["k"], "label", cells, {"v": "", "label": "_l"})) == narrow
+    assert len(narrow) == 3
+
+
+def test_halves(spark):
+    df = spark.sql("SELECT * FROM VALUES (2.5D, '2.5'), (4.5D, '4.5'), (-0.5D, '-0.5'), (3.5D, '3.5') t(d, s)")
+    got = df.select(semantics.whole_number("d"), semantics.strict_int("s")).collect()
+    assert [tuple(r) for r in got] == [(2, 3), (4, 5), (0, -1), (4, 4)]

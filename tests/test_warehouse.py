@@ -18,12 +18,18 @@ def built(spark, tmp_path_factory):
 
 def test_every_layer_is_filled(built):
     house, made = built
-    assert len(made["bronze"]) == 24 and len(made["silver"]) == 24
+    assert len(made["bronze"]) == 25 and len(made["silver"]) == 25
     # 55 report tables, less the four health categories the landing lacks.
     assert len(health.CATEGORY_REPORTS) == 6 and len(made["main"]) == 55 - 4
     assert made["main"] == house.tables("main")
     # Subject tables have no block-group rows.
-    assert made["skipped_concepts"] == ["fact_concept_s1501_bg"]
+    assert made["skipped_concepts"] == ["fact_concept_s1501_bg"] and made["shared_labels"] == []
+
+
+def test_requested_variables_that_no_dictionary_lists(built):
+    _, made = built
+    unknown = [f"{g}/{y}/B00000_001" for g in ("block group", "place") for y in YEARS]
+    assert made["missing_variables"] == sorted([*unknown, "block group/2023/B28002_013", "place/2023/B28002_013"])
 
 
 def test_no_key_is_broken(built):
