@@ -27,14 +27,21 @@ def geometry_text(kind: Column, coordinates: Column) -> Column:
 
 
 def polygons_of(geometry: Column | str) -> Column:
-    """GeoJSON Polygon or MultiPolygon text to ``array<polygon>`` of rings of points."""
+    """GeoJSON Polygon or MultiPolygon text to ``array<polygon>`` of rings of points.
+
+    No text gives NULL; other geometry types and text that cannot be read are an error.
+    """
     text = F.col(geometry) if isinstance(geometry, str) else geometry
     head = F.from_json(text, "type string, coordinates string")
     body = head["coordinates"]
     single = F.from_json(body, f"array<{RING}>")
-    return F.when(head["type"] == "Polygon", F.array(single)).when(
-        head["type"] == "MultiPolygon", F.from_json(body, f"array<array<{RING}>>")
+    several = F.from_json(body, f"array<array<{RING}>>")
+    found = F.when((head["type"] == "Polygon") & single.isNotNull(), F.array(single)).when(
+        head["type"] == "MultiPolygon", several
     )
+    broken = text.isNotNull() & found.isNull()
+    why = F.concat(F.lit("no polygon: "), F.substring(text, 1, 80))
+    return F.when(broken, F.raise_error(why).cast(f"array<array<{RING}>>")).otherwise(found)
 
 
 def _twice_area(ring: Column) -> Column:

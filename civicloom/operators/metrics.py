@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from civicloom.functions.semantics import (
     difference,
     ieee_ratio,
+    nulls_last,
     round_binary,
     safe_ratio,
 )
 from civicloom.operators.reshape import NARROW, cell, pivoted, widen
+from civicloom.session import durable
 
 
 def lines(table: str, *numbers: int) -> tuple[str, ...]:
@@ -90,7 +92,9 @@ def indicators(
     read once and shuffled once.  An area and year missing from any required
     table is left out, as the joins would.
     """
-    wanted = observations.where(table_of("variable").isin(list(requires)))
+    # Prefixes, unlike a computed table name, reach the Parquet reader.
+    own = reduce(or_, [F.col("variable").startswith(f"{t}_") for t in requires])
+    wanted = observations.where(own)
     codes = sorted({c for m in measures for c in m.codes})
     outside = sorted({c.split("_")[0] for c in codes} - set(requires))
     if outside:
@@ -214,34 +218,33 @@ def previous_value(
 
 
 def previous_event(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    name: str,
-    span: str = "hour",
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str
 ) -> DataFrame:
     """``previous_value`` for series with any number of rows per key.
 
-    A series is cut into calendar spans of its first order column, a timestamp
-    or date, so no task sorts more than one span of one key.  The first row of a span takes the
-    last value of the nearest earlier span of the series, found on a table with
-    one row per key and span.  ``order`` must identify a row within a key.
+    Rows are range partitioned on key and order, sorted and materialised once, so a hot
+    key is spread over as many partitions as its rows need.  Inside a partition the
+    previous row is the one before; the first row of a partition takes the last row of
+    the partition before it, from a table of one row per partition.  A NULL key is a
+    series like any other and a NULL in ``order`` sorts last.  ``order`` must identify
+    a row within a key.
     """
-    cut = df.withColumn("__span", F.date_trunc(span, order[0]))
-    inside = Window.partitionBy(*keys, "__span").orderBy(*order)
-    marked = cut.withColumn("__lag", F.lag(F.struct(value)).over(inside))
-    tails = cut.groupBy(*keys, "__span").agg(
-        F.max_by(F.struct(value), F.struct(*order)).alias("__tail")
-    )
-    spans = Window.partitionBy(*keys).orderBy("__span")
-    carried = tails.select(*keys, "__span", F.lag("__tail").over(spans).alias("__carry"))
-    # Null-safe: rows of a NULL key or time are a series and a span like any other.
-    carried = carried.withColumnsRenamed({k: f"__c_{k}" for k in [*keys, "__span"]})
-    met = [marked[k].eqNullSafe(carried[f"__c_{k}"]) for k in [*keys, "__span"]]
-    joined = marked.join(carried, reduce(and_, met), "left")
-    previous = F.coalesce(F.col("__lag"), F.col("__carry"))
-    return joined.select(*df.columns, previous.getField(value).alias(name))
+    sort = nulls_last(*keys, *order)
+    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    # monotonically_increasing_id packs (partition, row in partition).
+    placed = durable(ranged.withColumn("__at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__part", F.shiftright("__at", 33))
+    row = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(value).alias("v"))
+    inside = Window.partitionBy("__part").orderBy("__at")
+    marked = placed.withColumn("__lag", F.lag(row).over(inside))
+    tails = placed.groupBy("__part").agg(F.max_by(row, "__at").alias("__tail"))
+    # One row per partition: this window and the broadcast are bounded by the partition count.
+    carried = tails.select("__part", F.lag("__tail").over(Window.orderBy("__part")).alias("__carry"))
+    joined = marked.join(F.broadcast(carried), "__part", "left")
+    before = F.coalesce("__lag", "__carry")
+    same = reduce(and_, [F.col(k).eqNullSafe(before[f"k{i}"]) for i, k in enumerate(keys)])
+    # Without a row before, every part of it is NULL, and so is the value.
+    return joined.select(*df.columns, F.when(same, before["v"]).alias(name))
 
 
 def yearly_mean(
@@ -260,7 +263,3 @@ def with_yearly(
         joined = joined.join(mean, list(keys), "left")
     return joined
 
-
-def renamed(names: Mapping[str, str]) -> list[Column]:
-    """Projection ``old -> new`` in the given order."""
-    return [F.col(f"`{old}`").alias(new) for old, new in names.items()]

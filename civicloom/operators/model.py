@@ -74,8 +74,8 @@ def orphan_keys(
     return used.join(target, list(key), "left_anti")
 
 
-def append_missing(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Existing rows plus the incoming rows whose key is new.
+def missing_rows(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The incoming rows whose key is new, in the columns of ``existing``.
 
     Of several incoming rows with one key the smallest is kept, in every run.
     """
@@ -86,4 +86,9 @@ def append_missing(existing: DataFrame, incoming: DataFrame, key: Sequence[str])
     else:
         unique = incoming.select(*key).distinct()
     fresh = unique.join(existing.select(*key), list(key), "left_anti")
-    return existing.unionByName(fresh.select(*existing.columns))
+    return fresh.select(*existing.columns)
+
+
+def append_missing(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Existing rows plus the incoming rows whose key is new; ``Warehouse.insert`` stores only those."""
+    return existing.unionByName(missing_rows(existing, incoming, key))

@@ -127,8 +127,9 @@ def clean(house: Warehouse) -> None:
     )
     block_groups = survey.clean_observations(house.table("bronze", "acs_blockgroup"))
     towns = survey.clean_observations(house.table("bronze", "acs_place"), places=survey.TOWN_PLACES)
+    # Sorted by variable, a report's codes are few row groups of a file.
     stored = [
-        house.replace("silver", name, df, partition_by=["vintage_year"])
+        house.replace("silver", name, df, sort_by=["variable"], partition_by=["vintage_year"])
         for name, df in (("acs_bg", block_groups), ("acs_place", towns))
     ]
     cross = survey.crosswalk(house.table("bronze", "acs_metadata"), stored)
@@ -157,7 +158,7 @@ def _dimensions(house: Warehouse) -> None:
         {
             "dim_bg": places.block_group_dimension(silver("acs_bg"), silver("bg_geometry")),
             "dim_block": places.block_dimension(silver("block_geometry")),
-            "dim_county": model.append_missing(counties.where("false"), counties, ["county_GEOID"]),
+            "dim_county": counties.where("false"),
             "dim_region": housing.region_dimension(rents),
             "dim_bedrooms": housing.bedroom_dimension(gap),
             "dim_ami_level": housing.income_level_dimension(gap),
@@ -169,6 +170,7 @@ def _dimensions(house: Warehouse) -> None:
             "dim_act_measure": schools.act_dimension(silver("school_act_grade11")),
         },
     )
+    house.insert("gold", "dim_county", counties, ["county_GEOID"])
 
 
 SCHOOL_FACT_SOURCES = {

@@ -7,6 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from civicloom.operators import model
+
 LAYERS = ("bronze", "silver", "gold", "main")
 
 
@@ -33,20 +35,29 @@ class Warehouse:
         )
 
     def replace(
-        self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()
+        self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
     ) -> DataFrame:
         """Write ``df`` as the new content of a table and return the stored table.
 
         Compression and file layout are Spark's; rows are rebalanced so that a
-        hot partition value becomes several files.
+        hot partition value becomes several files, and sorted inside them.
         """
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
+        if sort_by:
+            df = df.sortWithinPartitions(*partition_by, *sort_by)
         writer = df.write.mode("overwrite").format("parquet")
         if partition_by:
-            writer = df.hint("rebalance", *partition_by).write.mode("overwrite").format("parquet")
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(f"`{self.database(layer)}`.`{table}`")
         return self.table(layer, table)
 
+    def insert(self, layer: str, table: str, df: DataFrame, key: Sequence[str]) -> DataFrame:
+        """Append the rows whose key the stored table lacks; stored files are left as they are."""
+        fresh = model.missing_rows(self.table(layer, table), df, key)
+        fresh.write.mode("append").format("parquet").saveAsTable(f"`{self.database(layer)}`.`{table}`")
+        return self.table(layer, table)
+
     def replace_all(self, layer: str, tables: Mapping[str, DataFrame]) -> list[str]:
         """Replace many independent tables, several writes at a time.
 

@@ -114,19 +114,18 @@ def multi_fact_join(t):
     """
     SELECT c.c_custkey, c.c_name, o.orders, o.last_order FROM customer c LEFT JOIN
       (SELECT o_custkey, o_orderstatus, count(*) AS orders, CAST(max(o_orderdate) AS DATE) AS last_order FROM orders
-       WHERE o_totalprice > 450000 GROUP BY 1, 2) o
+       GROUP BY 1, 2) o
     ON c.c_custkey = o.o_custkey AND CASE WHEN c.c_acctbal < 0 THEN 'F' ELSE 'P' END = o.o_orderstatus"""
 )
 def left_join_keep(t):
     """Composite-key left join: customers without a match stay."""
-    big = (
-        t.orders.where("o_totalprice > 450000")
-        .groupBy(F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("status"))
+    placed = (
+        t.orders.groupBy(F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("status"))
         .agg(F.count(F.lit(1)).alias("orders"), F.to_date(F.max("o_orderdate")).alias("last_order"))
     )
     status = F.when(F.col("c_acctbal") < 0, "F").otherwise("P")
     base = t.customer.select("c_custkey", "c_name", status.alias("status"))
-    return joins.attach(base, big, ["c_custkey", "status"], "left").drop("status")
+    return base.join(placed, ["c_custkey", "status"], "left").drop("status")
 
 
 STATUS_FACT_SQL = """

@@ -91,17 +91,18 @@ def agg_town_rent_trends(t):
     return housing.rent_trends(rent_fact(t), towns(t))
 
 
-INCOME_SQL = f"income AS (SELECT '37' || r_regionkey AS place, r_name AS town, CAST(year(o_orderdate) AS INTEGER) AS year, max(o_totalprice) AS median_income FROM {TOWN_ORDERS} GROUP BY 1, 2, 3)"
+INCOME_SQL = f"income AS (SELECT '37' || r_regionkey AS place, r_name AS town, CAST(year(o_orderdate) + 1 AS INTEGER) AS year, max(o_totalprice) AS median_income FROM {TOWN_ORDERS} GROUP BY 1, 2, 3)"
 
 
 @query(
     f"""WITH {VALUES_SQL}, {RENTS_SQL}, {INCOME_SQL}
     SELECT i.town, i.year, round(a.v, 4) AS avg_home_val, round(r.v, 4) AS avg_rent, median_income, round(a.v / nullif(median_income, 0), 2) AS price_to_income_ratio
-    FROM income i LEFT JOIN (SELECT place, year(day) AS year, avg(v) AS v FROM home_values WHERE year(day) > 1995 GROUP BY 1, 2) a ON a.place = i.place AND a.year = i.year
+    FROM income i LEFT JOIN (SELECT place, year(day) AS year, avg(v) AS v FROM home_values GROUP BY 1, 2) a ON a.place = i.place AND a.year = i.year
     LEFT JOIN (SELECT place, year(day) AS year, avg(v) AS v FROM rents GROUP BY 1, 2) r ON r.place = i.place AND r.year = i.year"""
 )
 def zillow_market_affordability_index(t):
-    peak = t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("vintage_year")).agg(
+    """Incomes are published a year late, so the last one has neither values nor rents."""
+    peak = t.orders.groupBy("o_custkey", (F.year("o_orderdate") + 1).alias("vintage_year")).agg(
         F.max("o_totalprice").alias("top")
     )
     named = peak.join(customer_towns(t), "o_custkey").groupBy("r_name", "vintage_year")
@@ -110,8 +111,7 @@ def zillow_market_affordability_index(t):
         .join(towns(t), F.col("r_name") == F.col("town_name"))
         .select(F.col("place_GEOID").alias("GEOID"), "vintage_year", F.lit("B19013_001").alias("variable"), "estimate")
     )
-    late = home_value_fact(t).where(F.year("date_key") > 1995)
-    table = housing.market_affordability(observations, late, rent_fact(t), towns(t))
+    table = housing.market_affordability(observations, home_value_fact(t), rent_fact(t), towns(t))
     return table.withColumns({c: s.round_binary(c, 4) for c in ("avg_home_val", "avg_rent")})
 
 
@@ -155,21 +155,24 @@ def agg_county_alice_household(t):
 
 # -- regional affordability --------------------------------------------------
 
-SIZES = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5, "STANDARD": 6}
-SIZE_SQL = "CASE p_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in SIZES.items()) + " END"
+# The largest parts are a kind of their own, which no market has; it ties with another in size.
+SIZES = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5, "STANDARD": 6, "JUMBO": 6}
+KIND_SQL = "CASE WHEN p_size > 48 THEN 'JUMBO' ELSE p_type END"
+SIZE_SQL = f"CASE {KIND_SQL} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in SIZES.items()) + " END"
 GAP_SQL = f"""
-    gap AS (SELECT p_type AS bedrooms, CAST({SIZE_SQL} AS INTEGER) AS household_size, (p_size % 5 + 1) * 20 || '% AMI' AS ami_level, CAST((p_size % 5 + 1) * 20 AS INTEGER) AS pct,
+    gap AS (SELECT {KIND_SQL} AS bedrooms, CAST({SIZE_SQL} AS INTEGER) AS household_size, (p_size % 5 + 1) * 20 || '% AMI' AS ami_level, CAST((p_size % 5 + 1) * 20 AS INTEGER) AS pct,
       CAST(sum(p_size) AS INTEGER) AS annual_income, CAST(count(*) AS INTEGER) AS max_rent, CAST(sum(p_size) - 30 * count(*) AS INTEGER) AS monthly_gap FROM part GROUP BY ALL),
     market AS (SELECT r_name AS region, CAST(year(l_shipdate) AS INTEGER) AS yr, p_type AS bedrooms, CAST(count(*) AS INTEGER) AS fmr FROM lineitem
       JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-      WHERE NOT (p_type = 'PROMO' AND r_name = 'ASIA') GROUP BY 1, 2, 3)"""
+      GROUP BY 1, 2, 3)"""
 
 
 def clean_gap(t):
-    size = F.create_map(*[F.lit(v) for p in SIZES.items() for v in p])[F.col("p_type")]
+    kind = F.when(F.col("p_size") > 48, "JUMBO").otherwise(F.col("p_type"))
+    size = F.create_map(*[F.lit(v) for p in SIZES.items() for v in p])[kind]
     level = ((F.col("p_size") % 5 + 1) * 20).cast("string")
     grouped = t.part.groupBy(
-        F.concat(F.lit(" "), F.col("p_type")).alias("bedrooms"),
+        F.concat(F.lit(" "), kind).alias("bedrooms"),
         size.cast("string").alias("household_size"),
         F.concat(level, F.lit("% AMI")).alias("ami_level"),
     ).agg(F.sum("p_size").alias("income"), F.count(F.lit(1)).alias("n"))
@@ -184,19 +187,23 @@ def clean_gap(t):
 
 
 def clean_market(t):
-    """Lines per supplier region, ship year and part type; combined before the joins."""
-    counted = t.lineitem.groupBy("l_partkey", "l_suppkey", F.year("l_shipdate").alias("year")).agg(
+    """Lines per supplier region, ship year and part type.
+
+    Lines meet their part first, are combined to (supplier, year, type), and only those
+    few rows meet the suppliers.
+    """
+    kinds = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("bedrooms"))
+    lines = t.lineitem.select("l_partkey", "l_suppkey", F.year("l_shipdate").alias("year"))
+    counted = lines.join(kinds, "l_partkey").groupBy("l_suppkey", "year", "bedrooms").agg(
         F.count(F.lit(1)).alias("n")
     )
-    kinds = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("bedrooms"))
     nations = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey").alias("r_regionkey"))
     sellers = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     places_of = sellers.join(nations, "s_nationkey").join(t.region, "r_regionkey").select(
         "l_suppkey", F.col("r_name").alias("region")
     )
-    joined = counted.join(kinds, "l_partkey").join(places_of, "l_suppkey")
-    kept = joined.where("NOT (bedrooms = 'PROMO' AND region = 'ASIA')")
-    raw = kept.groupBy("region", "year", "bedrooms").agg(F.sum("n").cast("string").alias("fmr"))
+    joined = counted.join(places_of, "l_suppkey")
+    raw = joined.groupBy("region", "year", "bedrooms").agg(F.sum("n").cast("string").alias("fmr"))
     return housing.clean_market_rents(raw)
 
 
@@ -225,12 +232,7 @@ def agg_charlotte_ami_affordability_gap(t):
     return housing.affordability_gap(fact, rent, regions, bedrooms, levels)
 
 
-@query(
-    """SELECT 'ASIA' AS region_name, 1999 AS year, p_name AS occupation_name, CASE WHEN p_name LIKE '%widget' THEN 'Benchmark' ELSE 'Occupation' END AS category,
-      CAST(min(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) AS hourly_wage, CASE WHEN p_name LIKE '%widget' THEN NULL ELSE CAST(count(*) AS INTEGER) END AS employment
-    FROM part GROUP BY p_name"""
-)
-def agg_charlotte_occupation_housing_wage(t):
+def clean_jobs(t):
     widget = F.col("p_name").endswith("widget")
     raw = t.part.groupBy("p_name").agg(
         F.min(s.exact("p_retailprice", 12)).cast("string").alias("hourly_wage"),
@@ -241,15 +243,114 @@ def agg_charlotte_occupation_housing_wage(t):
         F.when(widget, "NA").otherwise(F.col("n")).alias("employment"),
         F.when(widget, " Benchmark").otherwise("Occupation").alias("category"),
     )
-    wages = housing.clean_wages(raw)
+    return housing.clean_wages(raw)
+
+
+@query(
+    """SELECT 'ASIA' AS region_name, 1999 AS year, p_name AS occupation_name, CASE WHEN p_name LIKE '%widget' THEN 'Benchmark' ELSE 'Occupation' END AS category,
+      CAST(min(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) AS hourly_wage, CASE WHEN p_name LIKE '%widget' THEN NULL ELSE CAST(count(*) AS INTEGER) END AS employment
+    FROM part GROUP BY p_name"""
+)
+def agg_charlotte_occupation_housing_wage(t):
+    wages = clean_jobs(t)
     regions = housing.region_dimension(t.region.select(F.col("r_name").alias("region")))
     occupations = housing.occupation_dimension(wages)
     fact = housing.wage_fact(wages, regions, occupations, "ASIA", 1999)
     return housing.occupation_wages(fact, regions, occupations)
 
 
+# -- keys of the star schema ---------------------------------------------------
+
+KEYED_SQL = f"""{GAP_SQL},
+    regions AS (SELECT row_number() OVER (ORDER BY region) AS region_key, region AS region_name FROM (SELECT DISTINCT region FROM market) m),
+    rooms AS (SELECT row_number() OVER (ORDER BY household_size, bedrooms) AS bedroom_key, bedrooms, household_size
+      FROM (SELECT DISTINCT bedrooms, household_size FROM gap) g),
+    levels AS (SELECT row_number() OVER (ORDER BY pct) AS ami_level_key, ami_level, pct FROM (SELECT DISTINCT ami_level, pct FROM gap) g)"""
+JOBS_SQL = """jobs AS (SELECT row_number() OVER (ORDER BY name, category) AS occupation_key, * FROM (
+      SELECT p_name AS name, CASE WHEN p_name LIKE '%widget' THEN 'Benchmark' ELSE 'Occupation' END AS category,
+        CAST(min(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) AS wage, CAST(count(*) AS INTEGER) AS n FROM part GROUP BY 1, 2) p)"""
+
+
+@query(f"WITH {KEYED_SQL} SELECT region_key, region_name FROM regions")
+def dim_region(t):
+    return housing.region_dimension(clean_market(t))
+
+
+@query(f"WITH {KEYED_SQL} SELECT bedroom_key, bedrooms AS bedroom_label, household_size AS assumed_household_size FROM rooms")
+def dim_bedrooms(t):
+    """Keys by size; of two kinds of one size the label decides."""
+    return housing.bedroom_dimension(clean_gap(t))
+
+
+@query(f"WITH {KEYED_SQL} SELECT ami_level_key, ami_level AS ami_level_label, pct AS ami_pct FROM levels")
+def dim_ami_level(t):
+    """Keys by percentage: 100 comes after 20."""
+    return housing.income_level_dimension(clean_gap(t))
+
+
+@query(f"WITH {JOBS_SQL} SELECT occupation_key, name AS occupation_name, category FROM jobs")
+def dim_occupation(t):
+    return housing.occupation_dimension(clean_jobs(t))
+
+
+@query(
+    f"""WITH {KEYED_SQL} SELECT region_key, yr AS year_key, bedroom_key, fmr FROM market
+    JOIN regions ON region_name = region JOIN rooms USING (bedrooms)"""
+)
+def fact_fair_market_rent(t):
+    market = durable(clean_market(t))
+    return housing.market_rent_fact(market, housing.region_dimension(market), housing.bedroom_dimension(clean_gap(t)))
+
+
+@query(
+    f"""WITH {KEYED_SQL} SELECT (SELECT region_key FROM regions WHERE region_name = 'EUROPE') AS region_key, 1999 AS year_key, bedroom_key, ami_level_key,
+      annual_income, max_rent AS max_affordable_rent, monthly_gap, CASE WHEN monthly_gap >= 0 THEN 'Affordable' ELSE 'Unaffordable' END AS affordability_status
+    FROM gap JOIN rooms USING (bedrooms, household_size) JOIN levels USING (ami_level)"""
+)
+def fact_ami_affordability_gap(t):
+    gap = durable(clean_gap(t))
+    regions = housing.region_dimension(clean_market(t))
+    bedrooms, levels = housing.bedroom_dimension(gap), housing.income_level_dimension(gap)
+    return housing.affordability_fact(gap, regions, bedrooms, levels, "EUROPE", 1999)
+
+
+@query(
+    f"""WITH {JOBS_SQL} SELECT (SELECT count(*) FROM region WHERE r_name <= 'ASIA') AS region_key, 1999 AS year_key, occupation_key, wage AS hourly_wage,
+      CASE WHEN category = 'Occupation' THEN n END AS employment FROM jobs"""
+)
+def fact_occupation_housing_wage(t):
+    wages = durable(clean_jobs(t))
+    regions = housing.region_dimension(t.region.select(F.col("r_name").alias("region")))
+    return housing.wage_fact(wages, regions, housing.occupation_dimension(wages), "ASIA", 1999)
+
+
+@query(
+    f"""WITH {HARDSHIP_SQL} SELECT place AS "place_GEOID", yr AS year_key, total_households, poverty_households, alice_households, above_alice_households FROM hardship"""
+)
+def fact_alice_town_household(t):
+    return housing.town_hardship_fact(housing.clean_town_hardship(raw_hardship(t, "town")), towns(t))
+
+
+@query(
+    f"""WITH {HARDSHIP_SQL} SELECT '37119' AS "county_GEOID", yr AS year_key, total_households, poverty_households, alice_households, above_alice_households FROM hardship"""
+)
+def fact_alice_county(t):
+    return housing.county_hardship_fact(housing.clean_county_hardship(raw_hardship(t, "county")))
+
+
+@query(f"""WITH {VALUES_SQL} SELECT place AS "place_GEOID", day AS date_key, kind AS housing_type, v AS home_value FROM home_values""")
+def fact_zillow_home_value(t):
+    return home_value_fact(t)
+
+
+@query(f"""WITH {RENTS_SQL} SELECT place AS "place_GEOID", day AS date_key, v AS rent_value FROM rents""")
+def fact_zillow_rent(t):
+    return rent_fact(t)
+
+
 # -- facilities and health measures ------------------------------------------
 
+# Labels of the facility types.
 FACILITIES_SQL = """
     facilities AS (SELECT s_name AS facility_name, 'Street ' || s_suppkey AS street1, NULL::VARCHAR AS street2, n_name AS city, 'NC' AS state, CAST(28000 + s_nationkey AS VARCHAR) AS zip,
       CASE WHEN s_nationkey = 3 THEN 'Unknown' WHEN s_nationkey < 9 THEN 'Mecklenburg' ELSE n_name END AS county, '704' AS phone, 'http://x' AS website,
@@ -295,30 +396,32 @@ def agg_mhsu_facility_detail(t):
     return health.facility_detail(facilities(t))
 
 
-CATEGORIES = {"click": "HLTHOUT", "error": "HLTHSTAT", "purchase": "PREVENT", "signup": "DISABLT", "view": "OTHER"}
+CATEGORIES = ["HLTHOUT", "HLTHSTAT", "PREVENT", "DISABLT", "RISKBEH", "SOCLNEED", "OTHER"]
 
 
 @query(
     f"""
     WITH raw AS (SELECT '37' || r_regionkey AS place, CAST(2018 + day(ts) // 7 AS INTEGER) AS yr,
-        CASE event_type {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CATEGORIES.items())} END AS category,
+        list_extract(['HLTHOUT', 'HLTHSTAT', 'PREVENT', 'DISABLT', 'RISKBEH', 'SOCLNEED', 'OTHER'], CAST(user_id % 7 AS INTEGER) + 1) AS category,
         lower(c_mktsegment) || '_' || CASE WHEN hour(ts) < 8 THEN 'ageadjprv' ELSE 'crdprv' END AS col_name, max(value) AS v
       FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
       WHERE hour(ts) < 16 GROUP BY 1, 2, 3, 4)
     SELECT CASE category WHEN 'HLTHOUT' THEN 'fact_health_outcomes_town' WHEN 'HLTHSTAT' THEN 'fact_health_status_town'
-        WHEN 'PREVENT' THEN 'fact_prevention_town' ELSE 'fact_disability_town' END AS table_name, col_name AS column_name, count(*) AS cells, CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS total
+        WHEN 'PREVENT' THEN 'fact_prevention_town' WHEN 'DISABLT' THEN 'fact_disability_town'
+        WHEN 'RISKBEH' THEN 'fact_risk_behaviors_town' ELSE 'fact_social_needs_town' END AS table_name, col_name AS column_name, count(*) AS cells, CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM raw WHERE category <> 'OTHER' GROUP BY 1, 2"""
 )
 def agg_town_cdc_measures(t):
     """Category tables of health measures; other value types and categories drop out."""
     people = customer_towns(t).withColumnRenamed("o_custkey", "user_id")
-    category = F.create_map(*[F.lit(v) for p in CATEGORIES.items() for v in p])[F.col("event_type")]
+    slot = (F.col("user_id") % len(CATEGORIES) + 1).cast("int")
+    category = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), slot).alias("category")
     hour = F.hour("ts")
     kind = F.when(hour < 8, "AgeAdjPrv").when(hour < 16, "CrdPrv").otherwise("Other").alias("kind")
     per_user = t.events.groupBy(
-        "user_id", "event_type", kind, F.floor(F.dayofmonth("ts") / 7).cast("int").alias("week")
+        "user_id", category, kind, F.floor(F.dayofmonth("ts") / 7).cast("int").alias("week")
     ).agg(F.max("value").alias("value"))
-    grouped = per_user.join(people, "user_id").groupBy("r_name", "c_mktsegment", "event_type", "kind", "week")
+    grouped = per_user.join(people, "user_id").groupBy("r_name", "c_mktsegment", "category", "kind", "week")
     named = grouped.agg(F.max("value").alias("value")).join(towns(t), F.col("r_name") == F.col("town_name"))
     blank = F.lit("x")
     raw = named.select(
@@ -327,7 +430,7 @@ def agg_town_cdc_measures(t):
         F.col("town_name").alias("LocationName"),
         F.col("place_GEOID").alias("LocationID"),
         blank.alias("DataSource"),
-        category.alias("CategoryID"),
+        F.col("category").alias("CategoryID"),
         F.col("c_mktsegment").alias("MeasureID"),
         F.col("kind").alias("DataValueTypeID"),
         blank.alias("Measure"),
@@ -337,7 +440,7 @@ def agg_town_cdc_measures(t):
         blank.alias("High_Confidence_Limit"),
         F.lit("12,345").alias("TotalPopulation"),
     )
-    facts = health.category_facts(health.clean_measures(raw), towns(t))
+    facts = health.category_facts(durable(health.clean_measures(raw)), towns(t))
     parts = []
     for name, fact in facts.items():
         keys = ["place_GEOID", "town_name", "year_key"]

@@ -147,11 +147,14 @@ def trend_lag(t):
 
 @query(
     """
-    SELECT event_id, event_type, value, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS previous FROM events"""
+    SELECT event_id, event_type, value, lag(value) OVER (PARTITION BY event_type ORDER BY ts NULLS LAST, event_id) AS previous
+    FROM (SELECT event_id, value, nullif(event_type, 'view') AS event_type, CASE WHEN event_type <> 'click' OR value > 10 THEN ts END AS ts FROM events) e"""
 )
 def trend_lag_events(t):
-    """Previous value per event type at event grain, where one type is a fifth of all rows."""
-    rows = t.events.select("event_id", "event_type", "ts", "value")
+    """Previous value per event type at event grain; one type is NULL, and so are some times."""
+    timed = F.when((F.col("event_type") != "click") | (F.col("value") > 10), F.col("ts"))
+    kind = F.nullif(F.col("event_type"), F.lit("view"))
+    rows = t.events.select("event_id", kind.alias("event_type"), timed.alias("ts"), "value")
     return metrics.previous_event(rows, ["event_type"], ["ts", "event_id"], "value", "previous").drop("ts")
 
 
@@ -159,20 +162,19 @@ def trend_lag_events(t):
     f"""
     WITH {MONTHLY_SQL},
     annual AS (SELECT segment, CAST(year(month_start) AS INTEGER) AS yr, CAST(sum(CAST(mean_price AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_price
-      FROM monthly WHERE year(month_start) < 2000 GROUP BY 1, 2),
+      FROM monthly GROUP BY 1, 2),
     balances AS (SELECT c_mktsegment AS segment, CAST(yr AS INTEGER) AS yr, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS balance
-      FROM customer, (SELECT DISTINCT year(o_orderdate) AS yr FROM orders) y GROUP BY 1, 2)
+      FROM customer, (SELECT DISTINCT year(o_orderdate) + 1 AS yr FROM orders) y GROUP BY 1, 2)
     SELECT segment, yr, round(mean_price, 4) AS mean_price, round(balance, 4) AS balance, round(mean_price / nullif(balance, 0), 2) AS price_to_balance
     FROM balances LEFT JOIN annual USING (segment, yr)"""
 )
 def annual_affordability(t):
-    """Yearly means joined to a base that keeps its years without prices."""
+    """Yearly means joined to a base of the years after an order, of which the last has no prices."""
     cents = F.sum(s.exact("mean_price"))
-    monthly = monthly_prices(t).where(F.year("month_start") < 2000)
-    annual = monthly.groupBy("segment", F.year("month_start").alias("yr")).agg(
+    annual = monthly_prices(t).groupBy("segment", F.year("month_start").alias("yr")).agg(
         s.safe_ratio(cents, F.count(F.lit(1))).alias("mean_price")
     )
-    years = t.orders.select(F.year("o_orderdate").alias("yr")).distinct()
+    years = t.orders.select((F.year("o_orderdate") + 1).alias("yr")).distinct()
     balances = t.customer.groupBy(F.col("c_mktsegment").alias("segment")).agg(
         s.safe_ratio(F.sum(s.exact("c_acctbal")), F.count(F.lit(1))).alias("balance")
     )

@@ -13,6 +13,7 @@ from pyspark.sql.types import (
 
 from civicloom.functions.parse import percent_of_label
 from civicloom.operators import model
+from civicloom.plans import places
 from civicloom.plans.layers import Warehouse
 from civicloom.queries.registry import query
 from civicloom.session import scratch_path
@@ -96,6 +97,36 @@ def insert_if_absent(t):
     return model.append_missing(known, twice, ["c_custkey"])
 
 
+@query("SELECT '37' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS \"county_GEOID\", n_name || ' County' AS county_name FROM nation")
+def dim_county(t):
+    """A stored dimension that takes in the counties it lacks, offered twice."""
+    root = scratch_path(t.spark, "counties")
+    house = Warehouse(t.spark, root, prefix=f"c{root[-8:]}_")
+    code = F.concat(F.lit("37"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0"))
+    named = F.concat("n_name", F.lit(" County"))
+    counties = t.nation.select(code.alias("county_GEOID"), named.alias("county_name"), "n_regionkey")
+    house.replace("gold", "dim_county", counties.where("n_regionkey = 2").drop("n_regionkey"))
+    for _ in range(2):
+        stored = house.insert("gold", "dim_county", counties.drop("n_regionkey"), ["county_GEOID"])
+    return stored
+
+
+@query(
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS "block_GEOID", c_name AS block_name, 'shape ' || c_custkey AS geometry FROM customer WHERE c_acctbal >= 0"""
+)
+def dim_block(t):
+    """Blocks of one county with their boundary."""
+    key = F.col("c_custkey").cast("string")
+    features = t.customer.select(
+        key.alias("GEOID20"),
+        F.col("c_name").alias("NAME20"),
+        F.when(F.col("c_acctbal") >= 0, "119").otherwise("025").alias("COUNTYFP20"),
+        F.concat(F.lit("shape "), key).alias("geometry"),
+    )
+    return places.block_dimension(places.clean_blocks(features))
+
+
 ORDER_SCHEMA = StructType(
     [
         StructField("order_key", LongType(), False),

@@ -15,6 +15,7 @@ from civicloom.operators.reshape import melt_columns, widen
 from civicloom.plans import reports, survey
 from civicloom.queries.joining import placed_orders
 from civicloom.queries.registry import QUERIES, query
+from civicloom.session import durable, scratch_path
 
 AREAS = {"place": ("r_regionkey", "37"), "block group": ("n_nationkey", "37119")}
 
@@ -60,7 +61,7 @@ def observations_sql(codes, geography):
     return f"""
     WITH obs AS (SELECT '{prefix}' || {area} AS geoid, CAST(year(o_orderdate) AS INTEGER) AS yr,
         list_extract({listed}, CAST((l_partkey * 7 + l_suppkey * 3 + l_linenumber) % {len(codes)} AS INTEGER) + 1) AS variable,
-        CASE WHEN max(l_quantity) < 9 THEN NULL ELSE CAST(count(*) AS DOUBLE) END AS estimate
+        CASE WHEN max(l_quantity) < 9 THEN NULL ELSE CAST(count(*) AS DOUBLE) END AS estimate, max(l_quantity) AS moe
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
       JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3)"""
 
@@ -146,7 +147,7 @@ _TRENDS = reports.TOWN_REPORTS["agg_town_economic_trends"]
 @query(QUERIES["agg_town_economic_trends"].sql, name="town_trends_by_fact_join")
 def town_trends_by_fact_join(t):
     """The same report by widening each published table and joining the facts."""
-    observations = survey.clean_observations(line_observations(t, _codes(_TRENDS), "place"))
+    observations = durable(survey.clean_observations(line_observations(t, _codes(_TRENDS), "place")))
     keyed = observations.withColumnRenamed("vintage_year", "year")
     facts = []
     for table in _TRENDS.requires:
@@ -168,12 +169,12 @@ _CODES = _codes(reports.TOWN_REPORTS["agg_town_housing_stability"])
 
 @query(
     f"""{observations_sql(_CODES, "place")}
-    SELECT geoid AS "GEOID", 'place ' || substr(geoid, 3) AS "NAME", variable, yr AS vintage_year, estimate FROM obs WHERE geoid IN ('371', '373')"""
+    SELECT geoid AS "GEOID", 'place ' || substr(geoid, 3) AS "NAME", variable, yr AS vintage_year, estimate, moe FROM obs WHERE geoid IN ('371', '373')"""
 )
 def clean_place_observations(t):
     """Silver: typed codes, no sentinels, only the wanted place names."""
     raw = line_observations(t, _CODES, "place")
-    return survey.clean_observations(raw, places="place 1|place 3").drop("moe")
+    return survey.clean_observations(raw, places="place 1|place 3")
 
 
 @query(
@@ -188,7 +189,7 @@ def concept_facts(t):
 
     The newest dictionary lacks one table, whose observations then have no fact.
     """
-    observations = survey.clean_observations(line_observations(t, _CODES, "place"))
+    observations = durable(survey.clean_observations(line_observations(t, _CODES, "place")))
     entries = [
         F.struct(
             F.lit(year).alias("year"),
@@ -201,7 +202,8 @@ def concept_facts(t):
         if year == 2023 or not code.startswith("B25004")
     ]
     metadata = t.spark.range(1).select(F.inline(F.array(*entries)))
-    made = survey.concept_facts(observations, survey.crosswalk(metadata, [observations]), "place_GEOID")
+    cross = survey.crosswalk(metadata, [observations])
+    made = survey.concept_facts(observations, cross, "place_GEOID", scratch_path(t.spark, "concepts"))
     parts = []
     for name, fact in made.tables.items():
         keys = ["place_GEOID", "year_key"]

@@ -3,7 +3,7 @@
 import pytest
 
 from civicloom.functions import semantics
-from civicloom.operators import metrics, reshape
+from civicloom.operators import geo, metrics, reshape
 from civicloom.plans import survey
 from civicloom.sources import files, payloads
 
@@ -86,3 +86,11 @@ def test_halves(spark):
     df = spark.sql("SELECT * FROM VALUES (2.5D, '2.5'), (4.5D, '4.5'), (-0.5D, '-0.5'), (3.5D, '3.5') t(d, s)")
     got = df.select(semantics.whole_number("d"), semantics.strict_int("s")).collect()
     assert [tuple(r) for r in got] == [(2, 3), (4, 5), (0, -1), (4, 4)]
+
+
+@pytest.mark.parametrize("text", ["shape", '{"type": "Point", "coordinates": [1, 2]}', '{"type": "Polygon"}'])
+def test_other_geometry_is_refused(spark, text):
+    df = spark.createDataFrame([("g", text), ("h", None)], "g string, geometry string")
+    with pytest.raises(Exception, match="no polygon"):
+        geo.outline_measures(df, "g", "geometry").collect()
+    assert geo.outline_measures(df.where("g = 'h'"), "g", "geometry").count() == 0
