@@ -104,7 +104,9 @@ def _town(name, report):
             F.concat(F.lit("37"), F.col("r_regionkey").cast("string")).alias("place_GEOID"),
             F.col("r_name").alias("town_name"),
         )
-        return reports.town_report(name, survey.clean_observations(raw, places="place"), towns)
+        # Stored, as a report of the warehouse finds them.
+        observations = durable(survey.clean_observations(raw, places="place"))
+        return reports.town_report(name, observations, towns)
 
     query(sql, name=name)(build)
 
@@ -128,7 +130,7 @@ def _hood(name, report):
     FROM {source} JOIN (VALUES {members}) m(geoid, hood, note) USING (geoid)"""
 
     def build(t):
-        observations = survey.clean_observations(line_observations(t, codes, "block group"))
+        observations = durable(survey.clean_observations(line_observations(t, codes, "block group")))
         members = reports.neighborhood_members(t.spark, HOODS, "GEOID", HOOD_NOTES)
         return reports.neighborhood_report(name, observations, members)
 

@@ -94,3 +94,14 @@ def test_other_geometry_is_refused(spark, text):
     with pytest.raises(Exception, match="no polygon"):
         geo.outline_measures(df, "g", "geometry").collect()
     assert geo.outline_measures(df.where("g = 'h'"), "g", "geometry").count() == 0
+
+
+def test_a_report_filters_in_the_reader(spark, rows, tmp_path):
+    seen = [("g", 2024, "B1_001", 4.0), ("g", 2024, "B2_002", 1.0), ("h", 2024, "B1_001", 3.0), ("g", 2024, "B11_001", 9.0)]
+    path = str(tmp_path / "observations")
+    spark.createDataFrame(seen, "GEOID string, year int, variable string, estimate double").write.parquet(path)
+    wanted = [metrics.total("people", "B1_001")]
+    table = metrics.indicators(spark.read.parquet(path), wanted, ["B1", "B2"], "GEOID", "year")
+    plan = table._jdf.queryExecution().toString()
+    assert "StringStartsWith(variable,B1_)" in plan and "StringStartsWith(variable,B2_)" in plan
+    assert rows(table) == [("g", 2024, 4.0)]
