@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from civicloom.llm.common import once, slices
 
-#: Pre-tokens of up to so many characters are remembered, and so many of them.
+#: Pre-tokens of up to so many characters are remembered, and so many of them in each of two generations.
 REMEMBERED_CHARS = 48
 REMEMBERED = 300_000
 #: Texts are split in one call up to so many characters, by an iterator beyond.
@@ -97,15 +97,23 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Pieces(dict):
-    """Pre-token -> its ids as little-endian unsigned 32-bit integers."""
+    """Pre-token -> its ids as little-endian unsigned 32-bit integers.
+
+    A full memory becomes the older generation, from which pre-tokens met again come
+    back, so the frequent ones are never merged anew.
+    """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I", merge(piece.encode(), self.ranks)).tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("I", merge(piece.encode(), self.ranks)).tobytes()
         if len(piece) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
