@@ -90,9 +90,8 @@ def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float
         model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(
             rows.select(F.array_append(F.slice(items, 1, 24), label).alias("items"))
         )
-        found = model.associationRules.where(
-            F.col("consequent")[0].startswith("label=") & (F.size("antecedent") <= 3)
-        ).select("antecedent", F.expr("substring(consequent[0], 7)").alias("label"), "confidence", "support")
+        found = model.associationRules.where(F.col("consequent")[0].startswith("label="))
+        found = found.select("antecedent", F.expr("substring(consequent[0], 7)").alias("label"), "confidence", "support")
         if found.limit(most_rules + 1).count() <= most_rules:
             break
         min_support *= 2

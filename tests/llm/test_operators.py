@@ -271,6 +271,14 @@ def test_rules_are_mined(spark):
     assert url_rules.decide(["h:c"], index) == ("allow", 0.0)
 
 
+def test_rules_of_four_tokens_are_mined(spark):
+    four = ["h:a", "p:b", "p:c", "p:d"]
+    rows = [(four, "block")] * 40 + [([t for t in four if t != gone], "allow") for gone in four for _ in range(40)]
+    rules = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, label string"), min_support=0.05)
+    assert (tuple(four), "block", 1.0, 0.2) in rules
+    assert url_rules.decide(four, url_rules.inverted_index(rules)) == ("block", 1.0)
+
+
 def test_packing(docs, rows, whole):
     from tokenizers import Tokenizer
 
