@@ -8,13 +8,18 @@ rules found there and takes the verdict of the most confident.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from dataclasses import dataclass
+from itertools import chain, combinations, product
 
 import pandas as pd
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicloom.llm.common import staged
+
 ALLOW, BLOCK = "allow", "block"
 
 
@@ -66,40 +71,73 @@ def tokens_of(host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(words(host, "h:"), words(path, "p:")))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8, most_rules: int = 20_000, most_rows: int = 500_000) -> list[tuple[tuple[str, ...], str, float, float]]:
-    """Rules (tokens, label, confidence, support) from rows (tokens, label).
+def grouped(rows: DataFrame, least: int) -> dict[str, str]:
+    """Token -> name of its group, for tokens of at least ``least`` of ``rows`` (row, tokens).
+
+    Tokens of exactly the same rows are one group: any of them, or several, make the same
+    rules.  Names sort by the number of rows, the rarest first.  Tokens under the support
+    cannot be in a rule, so the dictionary is bounded by tokens of a row / support.
+    """
+    cover = [F.sum(h.cast("decimal(38,0)")).alias(f"h{k}") for k, h in enumerate((F.xxhash64("row"), F.xxhash64(F.lit(1), "row")))]
+    tokens = rows.select("row", F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n"), *cover).where(F.col("n") >= least)
+    groups = tokens.groupBy("n", "h0", "h1").agg(F.sort_array(F.collect_list("t")).alias("own")).select("n", "own").collect()
+    return {t: f"{k:09d}" for k, r in enumerate(sorted(groups, key=lambda r: (r["n"], r["own"]))) for t in r["own"]}
+
+
+def mined(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8, most_rules: int = 20_000, most_rows: int = 500_000) -> tuple[DataFrame, dict[str, str]]:
+    """Rules (condition, label, confidence, support) from rows (tokens, label), and the groups of tokens.
 
+    A condition names groups; it stands for every choice of one token or more from each.
     The model is fitted on at most ``most_rows`` labelled rows, those of the smallest
-    hash of their tokens and a row number.  Tokens under the support are cut before
-    mining; where more than ``most_rules`` rules remain the support doubles, so what is
-    broadcast later has a size known here.  No labelled row: no rule.
+    hash of their tokens and a row number.  FP-growth gets all tokens of a row that have the
+    support, by group, so tokens that always occur together cost no more than one; where
+    more than ``most_rules`` rules remain the support doubles, so what is broadcast later
+    has a size known here.  No labelled row: no rule.
     """
-    rows = labelled.where(F.col("label").isNotNull()).select("tokens", "label")
+    spark = labelled.sparkSession
+    rows = labelled.where(F.col("label").isNotNull()).select(F.array_distinct("tokens").alias("tokens"), F.concat(F.lit("label="), "label").alias("label"))
     total = rows.count()
-    if not total:
-        return []
-    share = min(1.0, most_rows / total)
+    share = min(1.0, most_rows / max(total, 1))
     if share < 1:
         rows = rows.where(F.abs(F.xxhash64(F.concat_ws(" ", "tokens"), F.monotonically_increasing_id())) <= int(share * (2**63 - 1)))
-    label = F.concat(F.lit("label="), "label")
+    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "labelled")
+    total = rows.count()
+    if not total:
+        return spark.createDataFrame([], "condition array<string>, label string, confidence double, support double"), {}
+    groups = grouped(rows, math.ceil(min_support * total))
+    shared = spark.sparkContext.broadcast(groups)
+
+    @F.pandas_udf("array<string>")
+    def named(tokens: pd.Series) -> pd.Series:
+        return tokens.map(lambda own: sorted({shared.value[t] for t in own if t in shared.value}))
+
+    items = rows.select(F.array_append(named("tokens"), F.col("label")).alias("items"))
     while True:
-        least = max(2, int(min_support * total * share))
-        common = rows.select(F.explode("tokens").alias("t")).groupBy("t").count().where(F.col("count") >= least)
-        kept = [r["t"] for r in common.orderBy(F.desc("count"), "t").limit(most_rules).collect()]
-        items = F.array_intersect("tokens", F.lit(kept) if kept else F.array().cast("array<string>"))
-        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(
-            rows.select(F.array_append(F.slice(items, 1, 24), label).alias("items"))
-        )
+        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
         found = model.associationRules.where(F.col("consequent")[0].startswith("label="))
-        found = found.select("antecedent", F.expr("substring(consequent[0], 7)").alias("label"), "confidence", "support")
-        if found.limit(most_rules + 1).count() <= most_rules:
-            break
+        found = found.select(F.sort_array("antecedent").alias("condition"), F.expr("substring(consequent[0], 7)").alias("label"), "confidence", "support")
+        found = staged(found, "rules")
+        if found.count() <= most_rules:
+            return found, groups
         min_support *= 2
-    return sorted((tuple(sorted(r["antecedent"])), r["label"], r["confidence"], r["support"]) for r in found.collect())
 
 
-def inverted_index(rules) -> dict[str, list[tuple[frozenset, str, float, int]]]:
-    """Token -> rules filed under it: each rule under the token that fewest rules hold."""
+def mine(labelled: DataFrame, **mining) -> list[tuple[tuple[str, ...], str, float, float]]:
+    """The rules of ``mined`` token by token (tokens, label, confidence, support): for small tables."""
+    found, groups = mined(labelled, **mining)
+    choices: dict[str, list[tuple[str, ...]]] = {}
+    for name in set(groups.values()):
+        own = sorted(t for t in groups if groups[t] == name)
+        choices[name] = [c for n in range(1, len(own) + 1) for c in combinations(own, n)]
+    return sorted(
+        (tuple(sorted(chain.from_iterable(chosen))), r["label"], r["confidence"], r["support"])
+        for r in found.collect()
+        for chosen in product(*(choices[name] for name in r["condition"]))
+    )
+
+
+def inverted_index(rules) -> dict[str, list[tuple[tuple[str, ...], str, float]]]:
+    """Token or group -> rules filed under it: each rule under the one that fewest rules hold."""
     held: dict[str, int] = {}
     for condition, *_ in rules:
         for token in condition:
@@ -107,18 +145,24 @@ def inverted_index(rules) -> dict[str, list[tuple[frozenset, str, float, int]]]:
     index: dict[str, list] = {}
     for condition, label, confidence, _ in rules:
         key = min(condition, key=lambda t: (held[t], t))
-        index.setdefault(key, []).append((frozenset(condition), label, confidence, len(condition)))
+        index.setdefault(key, []).append((tuple(condition), label, confidence))
     return index
 
 
-def decide(tokens, index: dict, default: str = ALLOW) -> tuple[str, float]:
-    """Verdict and confidence of the best rule that holds; block wins a tie."""
-    own, best = set(tokens), (0.0, 0, False)
+def decide(tokens, index: dict, default: str = ALLOW, groups: dict[str, str] | None = None) -> tuple[str, float]:
+    """Verdict and confidence of the best rule that holds, by confidence and number of tokens; block wins a tie.
+
+    Where conditions name ``groups``, the longest choice of own tokens is the rule that counts.
+    """
+    names = groups or {}
+    own, best = Counter(names.get(t, t) for t in set(tokens)), (0.0, 0, False)
     verdict = default
     for token in own:
-        for condition, label, confidence, length in index.get(token, ()):
-            if condition <= own and (confidence, length, label == BLOCK) > best:
-                best, verdict = (confidence, length, label == BLOCK), label
+        for condition, label, confidence in index.get(token, ()):
+            if confidence >= best[0] and all(c in own for c in condition):
+                rank = (confidence, sum(own[c] for c in condition), label == BLOCK)
+                if rank > best:
+                    best, verdict = rank, label
     return verdict, best[0]
 
 
@@ -134,14 +178,15 @@ def filter_urls(pages: DataFrame, rules: list[HostRule], id_column: str = "page_
     cut = cut.select("id", host.alias("host"), path.alias("path"))
     name, verdict = matched(F.col("host"), F.col("path"), rules)
     cut = cut.select("id", "host", "path", name.alias("rule"), verdict.alias("label"), tokens_of(F.col("host"), F.col("path")).alias("tokens"))
-    index = cut.sparkSession.sparkContext.broadcast(inverted_index(mine(cut, **mining)))
+    found, groups = mined(cut, **mining)
+    shared = cut.sparkSession.sparkContext.broadcast((inverted_index(found.collect()), groups))
 
     @F.pandas_udf("verdict string, confidence double")
     def judged(tokens: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([decide(t, index.value) for t in tokens], columns=["verdict", "confidence"])
+        index, names = shared.value
+        return pd.DataFrame([decide(t, index, groups=names) for t in tokens], columns=["verdict", "confidence"])
 
-    mined = cut.withColumn("mined", judged("tokens"))
-    return mined.select(
+    return cut.withColumn("mined", judged("tokens")).select(
         F.col("id").alias(id_column),
         "host",
         "path",

@@ -5,6 +5,7 @@ import re
 import zlib
 from array import array
 from collections import Counter, defaultdict
+from itertools import combinations
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -111,3 +112,15 @@ def repeats(rows, least=50):
 
 def crc(ids):
     return zlib.crc32(array("I", ids).tobytes())
+
+
+def rules(rows, least, confidence):
+    """(tokens, label, confidence, support) of every combination of tokens, from rows (tokens, label)."""
+    held = Counter()
+    for tokens, label in rows:
+        for n in range(1, len(set(tokens)) + 1):
+            for c in combinations(sorted(set(tokens)), n):
+                held[c, None] += 1
+                held[c, label] += 1
+    found = [(c, label, k / held[c, None], k / len(rows)) for (c, label), k in held.items() if label and k >= least * len(rows)]
+    return [r for r in found if r[2] >= confidence]

@@ -279,6 +279,34 @@ def test_rules_of_four_tokens_are_mined(spark):
     assert url_rules.decide(four, url_rules.inverted_index(rules)) == ("block", 1.0)
 
 
+def test_last_tokens_of_long_urls_are_mined(spark):
+    r = random.Random(4)
+    rows = [([f"p:{w}" for w in r.sample(range(96), 24)] + [last], label) for last, label in (("p:bad", "block"), ("p:good", "allow")) for _ in range(100)]
+    index = url_rules.inverted_index(url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, label string"), min_support=0.15))
+    assert url_rules.decide(["p:bad"], index) == ("block", 1.0)
+
+
+def test_long_templates_are_mined_whole(spark):
+    path = "/".join(f"{c}{d}" for c in "abcdef" for d in "vwxyz")
+    urls = [f"http://x.net/{path}/end"] * 30 + ["http://x.org/fr/end"] * 30 + ["http://y.biz/end", f"http://y.biz/{path}", "http://y.biz/fr/av", "http://y.biz/fr/av/aw"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = by_id(url_rules.filter_urls(df, queries.HOST_RULES), "page_id")
+    assert [(got[i]["verdict"], got[i]["confidence"]) for i in range(60, 64)] == [("allow", 0.0), ("block", 1.0), ("block", 1.0), ("block", 1.0)]
+
+
+def test_groups_decide_as_their_tokens(spark):
+    r = random.Random(6)
+    rows = [([t for t in "abcdefgh" if r.random() < 0.6] + ["p:x", "p:y"] * (k % 3 == 0) + ["p:v", "p:w", "p:z"] * (k % 4 > 1), "block" if k % 3 == 0 or r.random() < 0.3 else "allow") for k in range(80)]
+    df = spark.createDataFrame(rows, "tokens array<string>, label string")
+    found, groups = url_rules.mined(df, min_support=0.05)
+    assert groups["p:x"] == groups["p:y"] != groups["p:v"]
+    compact, index = url_rules.inverted_index(found.collect()), url_rules.inverted_index(brute.rules(rows, 0.05, 0.8))
+    for _ in range(300):
+        url = r.sample([*"abcdefghi", "p:x", "p:y", "p:v", "p:w", "p:z"], r.randint(0, 9))
+        assert url_rules.decide(url, compact, groups=groups) == url_rules.decide(url, index), url
+    assert [x[:3] for x in url_rules.mine(df, min_support=0.05)] == [x[:3] for x in sorted(brute.rules(rows, 0.05, 0.8))]
+
+
 def test_packing(docs, rows, whole):
     from tokenizers import Tokenizer
 
