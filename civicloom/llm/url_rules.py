@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from civicloom.llm.common import staged
 
 ALLOW, BLOCK = "allow", "block"
+#: Rules of one key that are joined in one part.
+SALTED = 1_000
 
 
 @dataclass(frozen=True)
@@ -84,15 +86,14 @@ def grouped(rows: DataFrame, least: int) -> dict[str, str]:
     return {t: f"{k:09d}" for k, r in enumerate(sorted(groups, key=lambda r: (r["n"], r["own"]))) for t in r["own"]}
 
 
-def mined(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8, most_rules: int = 20_000, most_rows: int = 500_000) -> tuple[DataFrame, dict[str, str]]:
+def mined(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8, most_rows: int = 500_000) -> tuple[DataFrame, dict[str, str]]:
     """Rules (condition, label, confidence, support) from rows (tokens, label), and the groups of tokens.
 
     A condition names groups; it stands for every choice of one token or more from each.
     The model is fitted on at most ``most_rows`` labelled rows, those of the smallest
     hash of their tokens and a row number.  FP-growth gets all tokens of a row that have the
-    support, by group, so tokens that always occur together cost no more than one; where
-    more than ``most_rules`` rules remain the support doubles, so what is broadcast later
-    has a size known here.  No labelled row: no rule.
+    support, by group, so tokens that always occur together cost no more than one.  The
+    support is the one given, however many rules come out.  No labelled row: no rule.
     """
     spark = labelled.sparkSession
     rows = labelled.where(F.col("label").isNotNull()).select(F.array_distinct("tokens").alias("tokens"), F.concat(F.lit("label="), "label").alias("label"))
@@ -112,14 +113,10 @@ def mined(labelled: DataFrame, min_support: float = 0.002, min_confidence: float
         return tokens.map(lambda own: sorted({shared.value[t] for t in own if t in shared.value}))
 
     items = rows.select(F.array_append(named("tokens"), F.col("label")).alias("items"))
-    while True:
-        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-        found = model.associationRules.where(F.col("consequent")[0].startswith("label="))
-        found = found.select(F.sort_array("antecedent").alias("condition"), F.expr("substring(consequent[0], 7)").alias("label"), "confidence", "support")
-        found = staged(found, "rules")
-        if found.count() <= most_rules:
-            return found, groups
-        min_support *= 2
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    found = model.associationRules.where(F.col("consequent")[0].startswith("label="))
+    found = found.select(F.sort_array("antecedent").alias("condition"), F.expr("substring(consequent[0], 7)").alias("label"), "confidence", "support")
+    return staged(found, "rules"), groups
 
 
 def mine(labelled: DataFrame, **mining) -> list[tuple[tuple[str, ...], str, float, float]]:
@@ -166,12 +163,43 @@ def decide(tokens, index: dict, default: str = ALLOW, groups: dict[str, str] | N
     return verdict, best[0]
 
 
-def filter_urls(pages: DataFrame, rules: list[HostRule], id_column: str = "page_id", url_column: str = "url", **mining) -> DataFrame:
+def judged_by_join(pages: DataFrame, found: DataFrame, groups: dict[str, str]) -> DataFrame:
+    """``pages`` with ``mined`` (verdict, confidence) as ``decide`` gives it, for any number of rules.
+
+    Distinct sets of groups are judged, not pages.  A rule is filed under the rarest group
+    of its condition, and the rules of one group are dealt to salted parts, as many as it
+    needs; ``groups`` bounds the table of those numbers.
+    """
+    shared = pages.sparkSession.sparkContext.broadcast(groups)
+
+    @F.pandas_udf("array<struct<name: string, n: int>>")
+    def counted(tokens: pd.Series) -> pd.Series:
+        names = shared.value
+        return tokens.map(lambda own: [{"name": g, "n": n} for g, n in sorted(Counter(names[t] for t in own if t in names).items())])
+
+    keys = [F.xxhash64("own").alias("k1"), F.xxhash64(F.lit(1), "own").alias("k2")]
+    pages = pages.withColumn("own", counted("tokens")).select(*pages.columns, "own", *keys)
+    sets = staged(pages.where(F.col("label").isNull() & (F.size("own") > 0)).select("k1", "k2", "own").dropDuplicates(["k1", "k2"]), "sets")
+    filed = found.select("condition", F.col("label").alias("verdict"), "confidence", F.array_min("condition").alias("key"))
+    parts = F.broadcast(staged(filed.groupBy("key").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("parts")), "parts"))
+    filed = filed.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("condition", "verdict"), F.col("parts")).cast("int")).drop("parts")
+    asked = sets.select("k1", "k2", "own", F.explode("own.name").alias("key")).join(parts, "key")
+    asked = asked.select("k1", "k2", "own", "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    met = asked.join(filed, ["key", "part"]).where(F.size(F.array_intersect("condition", "own.name")) == F.size("condition"))
+    length = F.aggregate(F.filter("own", lambda o: F.array_contains("condition", o["name"])), F.lit(0), lambda n, o: n + o["n"])
+    rank = F.struct("confidence", length.alias("length"), (F.col("verdict") == BLOCK).alias("block"), "verdict")
+    best = met.select("k1", "k2", rank.alias("rank")).groupBy("k1", "k2").agg(F.max("rank").alias("rank"))
+    verdict = F.struct(F.coalesce("rank.verdict", F.lit(ALLOW)).alias("verdict"), F.coalesce("rank.confidence", F.lit(0.0)).alias("confidence"))
+    return pages.join(best, ["k1", "k2"], "left").withColumn("mined", verdict)
+
+
+def filter_urls(pages: DataFrame, rules: list[HostRule], id_column: str = "page_id", url_column: str = "url", most_rules: int = 20_000, **mining) -> DataFrame:
     """(id, host, path, rule, verdict, confidence): one row per input row.
 
     Host rules label the URLs they fit, and those labels are what is mined: a mined rule
     judges the other URLs, ``allow`` where none holds.  A null URL or one without ``://``
-    has an empty host and path and is allowed.  Other columns are not carried.
+    has an empty host and path and is allowed.  Up to ``most_rules`` mined rules are
+    broadcast, more are joined, with equal results.  Other columns are not carried.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     cut = pages.select(pages[id_column].alias("id"), pages[url_column].alias("url"))
@@ -179,14 +207,18 @@ def filter_urls(pages: DataFrame, rules: list[HostRule], id_column: str = "page_
     name, verdict = matched(F.col("host"), F.col("path"), rules)
     cut = cut.select("id", "host", "path", name.alias("rule"), verdict.alias("label"), tokens_of(F.col("host"), F.col("path")).alias("tokens"))
     found, groups = mined(cut, **mining)
-    shared = cut.sparkSession.sparkContext.broadcast((inverted_index(found.collect()), groups))
-
-    @F.pandas_udf("verdict string, confidence double")
-    def judged(tokens: pd.Series) -> pd.DataFrame:
-        index, names = shared.value
-        return pd.DataFrame([decide(t, index, groups=names) for t in tokens], columns=["verdict", "confidence"])
-
-    return cut.withColumn("mined", judged("tokens")).select(
+    if found.limit(most_rules + 1).count() > most_rules:
+        judged = judged_by_join(cut, found, groups)
+    else:
+        shared = cut.sparkSession.sparkContext.broadcast((inverted_index(found.collect()), groups))
+
+        @F.pandas_udf("verdict string, confidence double")
+        def decided(tokens: pd.Series) -> pd.DataFrame:
+            index, names = shared.value
+            return pd.DataFrame([decide(t, index, groups=names) for t in tokens], columns=["verdict", "confidence"])
+
+        judged = cut.withColumn("mined", decided("tokens"))
+    return judged.select(
         F.col("id").alias(id_column),
         "host",
         "path",

@@ -307,6 +307,20 @@ def test_groups_decide_as_their_tokens(spark):
     assert [x[:3] for x in url_rules.mine(df, min_support=0.05)] == [x[:3] for x in sorted(brute.rules(rows, 0.05, 0.8))]
 
 
+def test_support_holds_for_any_number_of_rules(spark, monkeypatch):
+    monkeypatch.setattr(url_rules, "SALTED", 5)
+    r = random.Random(7)
+    hot = [f"http://{r.choice(['big', 'huge'])}.net/" + "/".join(w for w in "abcdefghij" if r.random() < 0.7) for _ in range(300)]
+    urls = [*hot, *["http://rare.net/seldom/one"] * 4, "http://other.biz/seldom", "http://other.biz/a/b/c", "http://other.biz/none", "http://some.biz/j/i", None, ""]
+    df = spark.createDataFrame([(k % 290, u) for k, u in enumerate(urls)], "page_id long, url string")
+    rules = [*queries.HOST_RULES, url_rules.HostRule("huge.net", "/", url_rules.ALLOW)]
+    few = sorted(map(tuple, url_rules.filter_urls(df, rules, most_rules=10, min_support=0.01).collect()), key=repr)
+    many = sorted(map(tuple, url_rules.filter_urls(df, rules, most_rules=1_000_000, min_support=0.01).collect()), key=repr)
+    assert few == many and len(few) == len(urls)
+    verdicts = {(h, p): (v, c) for _, h, p, _, v, c in few}
+    assert verdicts["other.biz", "/seldom"] == ("block", 1.0) and verdicts["other.biz", "/none"] == ("allow", 0.0)
+
+
 def test_packing(docs, rows, whole):
     from tokenizers import Tokenizer
 
