@@ -179,6 +179,31 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     return fit([(np.frombuffer(r["features"], np.uint32), r["truth"]) for r in rows], (*categories, FINAL))
 
 
+def judge(model: Chain):
+    """A function from texts to (probabilities, rejected); texts without words are not rejected."""
+    known: dict[str, tuple[int, ...]] = {}
+    get = model.features.get
+
+    def judged(texts) -> tuple[np.ndarray, np.ndarray]:
+        rows = []
+        for text in texts:
+            found: set[int] = set()
+            for word in words_of(text):
+                own = known.get(word)
+                if own is None:
+                    own = tuple(j for j in map(get, cut(word)) if j is not None)
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[word] = own
+                if own:
+                    found.update(own)
+            rows.append(np.fromiter(found, np.int64, len(found)))
+        p = model.probabilities(rows)
+        return p, (p[:, -1] >= model.threshold) & np.array([len(r) > 0 for r in rows], bool)
+
+    return judged
+
+
 def score(docs: DataFrame, chain: Chain, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, p_<category>..., rejected, kept), one row per input row; texts without words are kept."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
@@ -187,25 +212,9 @@ def score(docs: DataFrame, chain: Chain, id_column: str = "doc_id", text_column:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        model = shared.value
-        known: dict[str, tuple[int, ...]] = {}
-        get = model.features.get
+        judged = judge(shared.value)
         for batch in slices(batches, "text"):
-            rows = []
-            for text in batch.column(1).to_pylist():
-                found: set[int] = set()
-                for word in words_of(text):
-                    own = known.get(word)
-                    if own is None:
-                        own = tuple(j for j in map(get, cut(word)) if j is not None)
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[word] = own
-                    if own:
-                        found.update(own)
-                rows.append(np.fromiter(found, np.int64, len(found)))
-            p = model.probabilities(rows)
-            bad = (p[:, -1] >= model.threshold) & np.array([len(r) > 0 for r in rows], bool)
+            p, bad = judged(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(p[:, i]) for i in range(p.shape[1])), pa.array(bad), pa.array(~bad)],
                 ["id", *columns, "rejected", "kept"],
@@ -214,3 +223,16 @@ def score(docs: DataFrame, chain: Chain, id_column: str = "doc_id", text_column:
     fields = ", ".join([f"id {kind}", *(f"{c} double" for c in columns), "rejected boolean", "kept boolean"])
     narrow = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
     return narrow.mapInArrow(run, fields).withColumnRenamed("id", id_column)
+
+
+def accepted(docs: DataFrame, chain: Chain, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``score`` keeps, each judged where it stands: nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(chain)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        judged = judge(shared.value)
+        for batch in slices(batches, text_column):
+            yield batch.filter(pa.array(~judged(batch.column(text_column).to_pylist())[1]))
+
+    return docs.mapInArrow(run, docs.schema)

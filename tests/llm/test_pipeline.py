@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from civicloom.llm import pii, toxicity
 from tests.llm import brute
+from tests.llm.test_operators import BASE, PASSAGE, TEXTS
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -70,6 +71,44 @@ def test_pieces_cover_every_text(stages):
     assert {r["doc_id"]: r["n"] for r in total} == want
 
 
+@pytest.fixture(scope="module")
+def odd(spark):
+    """(rows in the order of ids, table): repeated rows, one id with two texts, null ids; ``name`` tells rows apart."""
+    rows = [(i * 3 % 97, t) for i, t in enumerate(TEXTS)]
+    rows += [*rows[8:14], (rows[14][0], "another text"), (None, BASE), (None, None), (None, PASSAGE), (None, PASSAGE), (None, "you idiot"), (None, "good day"), (2000, "idiot"), (2000, "good")]
+    table = spark.createDataFrame([(i, t, str(k)) for k, (i, t) in enumerate(rows)], "doc_id long, text string, name string")
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k))
+    return [(str(k), *rows[k]) for k in order], table
+
+
+def test_each_odd_row_has_its_own_toxicity_verdict(spark, odd, monkeypatch, tmp_path):
+    rows, table = odd
+    example = toxicity.example
+    chain = toxicity.fit([example({"good"}, False, toxicity.CATEGORIES), example({"idiot"}, True, toxicity.CATEGORIES)] * 6, (*toxicity.CATEGORIES, toxicity.FINAL))
+    monkeypatch.setattr(toxicity, "train", lambda *_: chain)
+    table.selectExpr("doc_id", "1 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    left = {(r["name"], r["doc_id"], r["text"]) for r in corpus_pipeline.drop_toxic(spark, table, str(tmp_path)).collect()}
+    assert {"you idiot", "idiot"}.isdisjoint(t for *_, t in left)
+    assert {(i, t) for _, i, t in left} >= {(None, "good day"), (2000, "good"), (None, None)}
+
+
+def test_one_odd_row_of_each_group_stays(spark, odd):
+    rows, table = odd
+    _, component = brute.near_duplicates([(k, t) for k, (_, _, t) in enumerate(rows)], 5)
+    got = corpus_pipeline.drop_near_copies(spark, table, FOLDER)
+    assert got.columns == table.columns
+    assert sorted(r["name"] for r in got.collect()) == sorted(rows[k][0] for k in component if component[k] == k)
+
+
+def test_repeats_are_cut_from_each_odd_row(spark, odd):
+    rows, table = odd
+    want = brute.repeats([(k, t) for k, (_, _, t) in enumerate(rows)])
+    got = corpus_pipeline.cut_repeats(spark, table, FOLDER).collect()
+    assert len(got) == len(rows)
+    texts_of = {r["name"]: r["text"] for r in got}
+    assert texts_of == {name: None if t is None else want[k][1].decode("utf-8", "ignore") for k, (name, _, t) in enumerate(rows)}
+
+
 def test_run_on_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{FOLDER}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
