@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.llm import byte_bpe, histogram_shards, host_quality, minmax, packing, pca_tiles, pii, substrings, toxicity, url_rules
+from civicloom.llm import byte_bpe, hilbert_negatives, histogram_shards, host_quality, minmax, packing, pca_tiles, pii, prefix_trees, spelling, substrings, toxicity, url_rules
 from civicloom.llm.sql import SQL
 
 HOST_RULES = [
@@ -104,6 +104,20 @@ def op10_bwt_repeats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_prefix_trees(spark: SparkSession, folder: str) -> DataFrame:
+    kept = prefix_trees.remove_passages(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_hilbert_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hilbert_negatives.mine(table(spark, folder, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -117,5 +131,8 @@ QUERIES = {
         op8_binary_packing,
         op9_bitmap_bpe,
         op10_bwt_repeats,
+        op11_prefix_trees,
+        op12_hilbert_negatives,
+        op13_spelling_variants,
     )
 }

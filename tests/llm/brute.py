@@ -1,6 +1,7 @@
 """Plain Python answers for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from array import array
@@ -124,3 +125,80 @@ def rules(rows, least, confidence):
                 held[c, label] += 1
     found = [(c, label, k / held[c, None], k / len(rows)) for (c, label), k in held.items() if label and k >= least * len(rows)]
     return [r for r in found if r[2] >= confidence]
+
+
+def passages(rows, width=13):
+    """(id, words, kept) per row; a null id is larger than any other."""
+    key = {None: float("inf")}
+    first = {}
+    for i, text in rows:
+        i = key.get(i, i)
+        w = (text or "").encode().split()
+        for at in range(len(w) - width + 1):
+            s = tuple(w[at : at + width])
+            first[s] = min(first.get(s, i), i)
+    out = []
+    for i, text in rows:
+        w = (text or "").encode().split()
+        gone = bytearray(len(w))
+        for at in range(len(w) - width + 1):
+            if first[tuple(w[at : at + width])] < key.get(i, i):
+                gone[at : at + width] = b"\1" * width
+        out.append((i, len(w), b" ".join(x for x, g in zip(w, gone) if not g).decode()))
+    return out
+
+
+def hard_negatives(rows, every=100, first=5):
+    """Plain loops over (id, vector, label); ids are distinct."""
+    own = []
+    for i, v, label in rows:
+        if i is None or label is None or not v or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        own.append((i, (label + 1) % 10 if i % 7 == 0 else label, [math.floor(256 * x) for x in v]))
+    out = []
+    for a, label, v in own:
+        if a % every:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(v, w)), i, other) for i, other, w in own if i != a and len(w) == len(v))
+        for ps, p, _ in [s for s in scored if s[2] == label][:first]:
+            inside = [s for s in scored if s[2] != label and 80 * -ps <= 100 * -s[0] <= 100 * -ps]
+            out += [(a, p, k + 1, n, -ps, -ns) for k, (ns, n, _) in enumerate(inside[:first])]
+    return out
+
+
+def spellings(rows, ratio=10):
+    """(word, form, root, n, n_near, form_n) by comparing words through deletions."""
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    times = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = run.translate(low)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            times[run] += len(run) >= 7
+    times = {w: n for w, n in times.items() if n >= 2}
+    holes = defaultdict(set)
+    for w in times:
+        for p in range(len(w)):
+            holes[w[:p], w[p + 1 :]].add(w)
+    near = {w: set() for w in times}
+    for w in times:
+        for p in range(len(w)):
+            near[w] |= holes[w[:p], w[p + 1 :]]
+            if (short := w[:p] + w[p + 1 :]) in times:
+                near[w].add(short)
+                near[short].add(w)
+        near[w].discard(w)
+    form = {}
+    for w, own in near.items():
+        best = min(own, key=lambda x: (-times[x], x), default=None)
+        if best and times[best] >= ratio * times[w]:
+            form[w] = best
+    out = []
+    for w, n in times.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(near[w]), times[form[w]] if w in form else None))
+    return out
