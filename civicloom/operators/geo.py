@@ -1,22 +1,11 @@
-"""Boundaries kept as GeoJSON text, and their union per group.
-
-Exact for member polygons that tile the plane and share vertices along their
-common borders, as published census boundaries do.  A border shared by two
-members of a group appears once in each direction; removing such pairs leaves
-the outline of the group.
-"""
+"""Boundaries kept as GeoJSON text, and their union per group."""
 
 from __future__ import annotations
 
-import json
-from collections import defaultdict
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+
+from civicloom.operators import noding, rings
 
 RING = "array<array<double>>"
 
@@ -77,32 +66,24 @@ def member_edges(df: DataFrame, group: str, geometry: str) -> DataFrame:
     ).where("x1 != x2 OR y1 != y2")
 
 
+def _outline(df: DataFrame, group: str, geometry: str) -> DataFrame:
+    """Outline edges under ``g``, a struct of the group: it is equal to itself when its field is NULL."""
+    edges = member_edges(df, group, geometry)
+    ends = [noding.rounded(F.col(c)).alias(c) for c in ("x1", "y1", "x2", "y2")]
+    directed = edges.select(F.struct(group).alias("g"), *ends)
+    return noding.outside(noding.noded(noding.undirected(directed)))
+
+
 def outline_edges(df: DataFrame, group: str, geometry: str) -> DataFrame:
-    """Edges left on the outline of each group.
+    """Edges of the outline of each group's union, with the inside on the left.
 
-    An edge stays when only one of its directions occurs.  A member listed twice
-    changes nothing.  Map-side aggregation cancels pairs early and the shuffle
-    key holds the edge itself, so a hot group spreads over all tasks.
+    Members may overlap, touch or share borders without common vertices: edges are cut
+    where they meet and stay where one side alone is covered.  A member listed twice changes
+    nothing.  Shared borders cancel in a map-side aggregation keyed by the edge itself before
+    anything else, so members that tile the plane leave only their outline to be cut.
     """
-    edges = member_edges(df, group, geometry)
-    forward = F.struct("x1", "y1") < F.struct("x2", "y2")
-    ends = [
-        F.when(forward, F.col(a)).otherwise(F.col(b)).alias(name)
-        for name, a, b in (("ax", "x1", "x2"), ("ay", "y1", "y2"), ("bx", "x2", "x1"), ("by", "y2", "y1"))
-    ]
-    seen = edges.select(group, *ends, forward.alias("__forward"))
-    both = seen.groupBy(group, "ax", "ay", "bx", "by").agg(
-        F.max("__forward").alias("__there"), F.min("__forward").alias("__back")
-    )
-    kept = both.where(F.col("__there") == F.col("__back"))
-    ahead = F.col("__there")
-    return kept.select(
-        group,
-        *[
-            F.when(ahead, F.col(a)).otherwise(F.col(b)).alias(name)
-            for name, a, b in (("x1", "ax", "bx"), ("y1", "ay", "by"), ("x2", "bx", "ax"), ("y2", "by", "ay"))
-        ],
-    )
+    outline = _outline(df, group, geometry)
+    return outline.select(F.col("g")[group].alias(group), "x1", "y1", "x2", "y2")
 
 
 def outline_measures(df: DataFrame, group: str, geometry: str) -> DataFrame:
@@ -123,99 +104,9 @@ def outline_measures(df: DataFrame, group: str, geometry: str) -> DataFrame:
 def dissolve(df: DataFrame, group: str, geometry: str, name: str = "geometry") -> DataFrame:
     """Union of member polygons per group as GeoJSON text.
 
-    Only outline edges reach the assembly of a group; they are exactly the
-    vertices its single output cell has to hold.
+    The rings of a group meet only in the text itself, its one output cell.
     """
-    outline = outline_edges(df, group, geometry)
-    schema = StructType([df.schema[group], StructField(name, StringType())])
-
-    def assemble(part: pd.DataFrame) -> pd.DataFrame:
-        edges = part[["x1", "y1", "x2", "y2"]].itertuples(index=False, name=None)
-        text = json.dumps(_geometry(edges), separators=(",", ":"))
-        return pd.DataFrame({group: part[group].iloc[:1], name: [text]})
-
-    return outline.groupBy(group).applyInPandas(assemble, schema)
-
-
-# -- assembling one outline ------------------------------------------------
-
-
-def _geometry(edges: Iterator[tuple[float, float, float, float]]) -> dict:
-    rings = [simple for walk in _walks(edges) for simple in _split(walk)]
-    outers, holes = [], []
-    for ring in rings:
-        size = _area(ring)
-        (outers if size > 0 else holes).append((abs(size), ring))
-    outers.sort(key=lambda item: (item[0], item[1]))
-    members = [[ring] for _, ring in outers]
-    corners = [np.array(ring) for _, ring in outers]
-    low = np.array([c.min(axis=0) for c in corners])
-    high = np.array([c.max(axis=0) for c in corners])
-    for _, hole in sorted(holes, key=lambda item: item[1]):
-        spot = (np.array(hole[0]) + np.array(hole[1])) / 2
-        # The smallest outer ring around the hole is its owner.
-        boxed = np.flatnonzero(((low <= spot) & (spot <= high)).all(axis=1))
-        owner = next((i for i in boxed if _inside(spot, corners[i])), None)
-        if owner is None:
-            raise ValueError("hole outside every ring: the members do not tile the plane")
-        members[owner].append(hole)
-    shapes = [[[list(p) for p in ring] for ring in member] for member in members]
-    if len(shapes) == 1:
-        return {"type": "Polygon", "coordinates": shapes[0]}
-    return {"type": "MultiPolygon", "coordinates": shapes}
-
-
-def _walks(edges: Iterator[tuple[float, float, float, float]]) -> Iterator[list]:
-    """Closed walks along the edges; at a crossing the sharpest left turn is taken."""
-    leaving = defaultdict(list)
-    for x1, y1, x2, y2 in sorted(edges):
-        leaving[x1, y1].append((x2, y2))
-    for start in list(leaving):
-        while leaving[start]:
-            at, walk = leaving[start].pop(0), [start]
-            while at != start:
-                walk.append(at)
-                options = leaving[at]
-                pick = 0
-                if len(options) > 1:
-                    pick = max(range(len(options)), key=lambda i: _left(walk[-2], at, options[i]))
-                at = options.pop(pick)
-            walk.append(start)
-            yield walk
-
-
-def _left(came: tuple, at: tuple, to: tuple) -> tuple[int, float]:
-    """Sort key growing with how far left ``to`` turns from the way ``came`` -> ``at``."""
-    ux, uy, vx, vy = at[0] - came[0], at[1] - came[1], to[0] - at[0], to[1] - at[1]
-    cross, dot = ux * vy - uy * vx, ux * vx + uy * vy
-    cosine = dot / ((ux * ux + uy * uy) ** 0.5 * (vx * vx + vy * vy) ** 0.5)
-    return (1, -cosine) if cross > 0 else (0, cosine)
-
-
-def _split(walk: list) -> Iterator[list]:
-    """Cut a closed walk into rings that visit each vertex once."""
-    path, place = [], {}
-    for point in walk:
-        if point in place:
-            cut = place[point]
-            loop = path[cut:] + [point]
-            for gone in path[cut + 1 :]:
-                del place[gone]
-            del path[cut + 1 :]
-            yield loop
-        else:
-            place[point] = len(path)
-            path.append(point)
-
-
-def _area(ring: list) -> float:
-    return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:])) / 2
-
-
-def _inside(spot: np.ndarray, ring: np.ndarray) -> bool:
-    """Whether a ray to the right of ``spot`` crosses the ring an odd number of times."""
-    x, y = spot
-    above = ring[:, 1] > y
-    cut = np.flatnonzero(above[:-1] != above[1:])
-    (ax, ay), (bx, by) = ring[cut].T, ring[cut + 1].T
-    return bool((x < ax + (y - ay) / (by - ay) * (bx - ax)).sum() % 2)
+    shapes = rings.polygons(_outline(df, group, geometry))
+    single = geometry_text(F.lit("Polygon"), F.col("polygons")[0])
+    several = geometry_text(F.lit("MultiPolygon"), F.col("polygons"))
+    return shapes.select(F.col("g")[group].alias(group), F.when(F.size("polygons") == 1, single).otherwise(several).alias(name))

@@ -125,8 +125,12 @@ def clean(house: Warehouse) -> None:
     house.replace_all(
         "silver", {name: step(house.table("bronze", source)) for name, (source, step) in SILVER.items()}
     )
-    block_groups = survey.clean_observations(house.table("bronze", "acs_blockgroup"))
-    towns = survey.clean_observations(house.table("bronze", "acs_place"), places=survey.TOWN_PLACES)
+    raw = {name: house.table("bronze", name) for name in SURVEY_INPUTS}
+    if "acs_requested" in house.tables("bronze"):
+        asked, listed = house.table("bronze", "acs_requested"), house.table("bronze", "acs_metadata")
+        raw = {name: survey.listed_observations(df, asked, listed, SURVEY_INPUTS[name]) for name, df in raw.items()}
+    block_groups = survey.clean_observations(raw["acs_blockgroup"])
+    towns = survey.clean_observations(raw["acs_place"], places=survey.TOWN_PLACES)
     # Sorted by variable, a report's codes are few row groups of a file.
     stored = [
         house.replace("silver", name, df, sort_by=["variable"], partition_by=["vintage_year"])
@@ -195,13 +199,30 @@ def missing_variables(house: Warehouse) -> list[str]:
     return sorted(row[0] for row in lines.collect())
 
 
+class BrokenKeys(ValueError):
+    """Keys of a star schema that repeat, hold a NULL or point nowhere."""
+
+
 def model_star(house: Warehouse) -> tuple[list[str], list[str]]:
     """Gold: dimensions, fixed facts and one fact per concept and geography.
 
     Returns the concepts that had no rows and the labels that stand for several
-    variables, so none disappears unnoticed.
+    variables, so none disappears unnoticed.  The layer is built as a draft, its keys are
+    checked, and only then is it published; if anything fails, the old layer stays.
     """
-    house.reset("gold")
+    draft = house.draft("gold")
+    try:
+        made = _star(draft)
+        if broken := integrity(draft):
+            raise BrokenKeys(f"gold is not published: {broken[:20]}")
+    except BaseException:
+        draft.discard("gold")
+        raise
+    draft.publish("gold")
+    return made
+
+
+def _star(house: Warehouse) -> tuple[list[str], list[str]]:
     _dimensions(house)
 
     def silver(name: str) -> DataFrame:
@@ -215,7 +236,8 @@ def model_star(house: Warehouse) -> tuple[list[str], list[str]]:
     for source, suffix, key in (("acs_bg", "bg", "block_group_GEOID"), ("acs_place", "town", "place_GEOID")):
         stage = scratch_path(house.spark, f"staged-{suffix}")
         made = survey.concept_facts(silver(source), cross, key, stage_to=stage)
-        house.replace_all("gold", {f"{name}_{suffix}": fact for name, fact in made.tables.items()})
+        tables = {f"{name}_{suffix}": fact for name, fact in made.tables.items()}
+        house.replace_all("gold", tables, keys=dict.fromkeys(tables, [key, "year_key"]))
         skipped += [f"{name}_{suffix}" for name in made.skipped]
         shared += [f"{name}_{suffix}.{label}" for name, labels in made.shared_labels.items() for label in labels]
 
@@ -236,7 +258,7 @@ def model_star(house: Warehouse) -> tuple[list[str], list[str]]:
     }
     for name, source in SCHOOL_FACT_SOURCES.items():
         facts[name] = schools.school_fact(name, silver(source))
-    house.replace_all("gold", facts)
+    house.replace_all("gold", facts, keys=FACT_KEYS)
     return skipped, shared
 
 
@@ -295,7 +317,8 @@ def report(house: Warehouse) -> list[str]:
 
     school_facts = {n: gold(n) for n in (*SCHOOL_FACT_SOURCES, "fact_school_assessment_master")}
     tables |= schools.reports(school_facts, gold("dim_school"), gold("dim_subgroup"))
-    return house.replace_all("main", tables)
+    orders = {name: reports.stored_order(name, df.columns) for name, df in tables.items()}
+    return house.replace_all("main", tables, orders=orders)
 
 
 # Keys of the star schema, and the dimension each key column points to.
@@ -344,7 +367,9 @@ def broken_keys(house: Warehouse, table: str) -> DataFrame | None:
     key = [DIMENSION_KEYS[table]] if table in DIMENSION_KEYS else _fact_key(house, table)
     if key is None:
         return None
-    found = [(", ".join(key), model.key_violations(df, key), F.col("problem"))]
+    found = []
+    if ("gold", table) not in house.key_checks:  # else counted while it was written
+        found = [(", ".join(key), model.key_violations(df, key), F.col("problem"))]
     if table not in DIMENSION_KEYS:
         dimensions = {column: name for name, column in DIMENSION_KEYS.items()}
         for column in (c for c in df.columns if c in dimensions):
@@ -356,6 +381,8 @@ def broken_keys(house: Warehouse, table: str) -> DataFrame | None:
         )
         for name, problems, problem in found
     ]
+    if not counted:
+        return None
     return reduce(DataFrame.unionByName, counted).select(F.lit(table).alias("table_name"), "*")
 
 
@@ -368,7 +395,10 @@ def integrity(house: Warehouse) -> list[tuple]:
 
     def check(table: str) -> list[tuple]:
         problems = broken_keys(house, table)
-        return [] if problems is None else [tuple(row) for row in problems.collect()]
+        seen = house.key_checks.get(("gold", table), {})
+        names = {"repeated": "duplicate key", "null": "null key"}
+        written = [(table, ", ".join(_fact_key(house, table)), names[k], n) for k, n in seen.items() if n]
+        return written + ([] if problems is None else [tuple(row) for row in problems.collect()])
 
     with ThreadPoolExecutor(house.writers) as pool:
         return sorted(row for rows in pool.map(check, house.tables("gold")) for row in rows)

@@ -7,12 +7,13 @@ measures; ``civicloom.operators.metrics.indicators`` computes it in one pass.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicloom.functions.semantics import nulls_last
 from civicloom.operators import joins, metrics
 from civicloom.operators.metrics import Measure, lines, percent, ratio, total
 from civicloom.sources import relations
@@ -609,3 +610,27 @@ def neighborhood_report(name: str, observations: DataFrame, members: DataFrame)
     notes = ["disclaimer"] if name == "agg_neighborhood_demographics" else []
     columns = [f"`{m.name}`" for m in report.measures]
     return joined.select("neighborhood_name", *notes, "GEOID", "year", *columns)
+
+
+# The order in which reports are stored, by table or by the columns they have.
+STORED_ORDER = {
+    "agg_mhsu_facility_summary": ["-is_mecklenburg", "county", "facility_type_label"],
+    "agg_mhsu_facility_detail": ["-is_mecklenburg", "county", "facility_name"],
+    "agg_charlotte_fair_market_rent": ["region_name", "year", "assumed_household_size"],
+    "agg_charlotte_ami_affordability_gap": ["region_name", "assumed_household_size", "ami_pct"],
+    "agg_charlotte_occupation_housing_wage": ["region_name", "category", "occupation_name"],
+    "agg_town_home_value_trends": ["town", "housing_type", "date"],
+    "agg_town_rent_trends": ["town", "date"],
+    "agg_neighborhood_blocks": ["neighborhood_name", "block_GEOID"],
+    "agg_school_race_gap": ["school", "comparison_group"],
+    "agg_school_grade_level_proficiency": ["school", "subject_area", "grade_scope"],
+}
+ORDERED_COLUMNS = (
+    ["neighborhood_name", "GEOID", "year"], ["town", "year"], ["county", "year"], ["town_name", "year_key"], ["school"], ["town_name"],
+)
+
+
+def stored_order(name: str, columns: Sequence[str]) -> list[Column]:
+    """The order in which a report's rows are stored, missing values last; [] where there is none."""
+    order = STORED_ORDER.get(name) or next((o for o in ORDERED_COLUMNS if set(o) <= set(columns)), [])
+    return nulls_last(*order)

@@ -53,19 +53,35 @@ def missing_variables(
     return reduce(DataFrame.unionByName, parts)
 
 
+def listed_observations(
+    observations: DataFrame, requested: DataFrame, dictionaries: DataFrame, geography: str
+) -> DataFrame:
+    """Observations of requested codes that the dictionary of their vintage lists.
+
+    ``dictionaries`` is (year, name); subject codes are not asked for at block groups.  The
+    wanted codes are a few thousand rows, whatever the number of areas.
+    """
+    asked = payloads.published_at(requested, geography).select("variable")
+    coded = dictionaries.where(F.col("name").endswith("E")).select(
+        F.col("year").alias("vintage_year"), F.expr("substring(name, 1, length(name) - 1)").alias("variable")
+    )
+    wanted = coded.join(asked, "variable", "left_semi").distinct()
+    return observations.join(wanted, ["vintage_year", "variable"], "left_semi").select(observations.columns)
+
+
 def read_landed(spark: SparkSession, path: str, geography: str) -> DataFrame:
     """Landed responses of one geography to raw tidy observations.
 
     Subject tables are published without margins here, so theirs is NULL even where the
-    response names one.
+    response names one; block groups have no subject tables, so such rows do not land.
     """
     landed = payloads.read_payloads(spark, path).withColumn(
         "vintage_year", payloads.vintage_from_path("path")
     )
-    records = payloads.payload_rows(landed, "body", ["vintage_year"])
-    tidy = payloads.tidy_observations(records, GEO_PARTS[geography], ["vintage_year"])
+    tidy = payloads.tidy_observations(landed, "body", GEO_PARTS[geography], ["vintage_year"])
     moe = F.when(payloads.table_kind("variable") == "detailed", F.col("moe")).alias("moe")
-    return tidy.select("GEOID", "NAME", "variable", "estimate", moe, "vintage_year")
+    landed = payloads.published_at(tidy, geography)
+    return landed.select("GEOID", "NAME", "variable", "estimate", moe, "vintage_year")
 
 
 def read_dictionaries(spark: SparkSession, path: str) -> DataFrame:

@@ -55,6 +55,41 @@ def dissolve_polygons(t):
     return geo.outline_measures(union, "region", "geometry").select("region", "area", "perimeter")
 
 
+# Bricks three wide and two apart, odd rows moved by one: neighbours in a row overlap, and
+# corners of a row lie on the sides of the rows above and below.
+BRICKS_SQL = f"""
+    WITH {CELLS_SQL},
+    covered AS (SELECT DISTINCT region, 2 * x + y % 2 + dx AS x, y FROM cells, (VALUES (0), (1), (2)) d(dx)),
+    shared AS (SELECT a.region, count(*) AS n FROM covered a JOIN covered b ON a.region = b.region AND
+      ((b.x = a.x + 1 AND b.y = a.y) OR (b.x = a.x AND b.y = a.y + 1)) GROUP BY 1)
+    SELECT c.region, CAST(count(*) AS DOUBLE) AS area, CAST(4 * count(*) - 2 * coalesce(max(s.n), 0) AS DOUBLE) AS perimeter
+    FROM covered c LEFT JOIN shared s ON c.region = s.region GROUP BY 1"""
+
+
+def bricks(t):
+    """(region, geometry) overlapping bricks without common vertices."""
+    square = F.from_json(F.regexp_replace("geometry", "^.*?(\\[\\[[0-9].*?\\]\\]).*$", "$1"), geo.RING)
+    corner = cell_shapes(t).select("region", F.array_min(F.transform(square, lambda p: p[0])).alias("x"), F.array_min(F.transform(square, lambda p: p[1])).alias("y"))
+    left = 2 * F.col("x") + F.col("y") % 2
+    sides = corner.select("region", left.alias("x"), "y")
+    x, y = F.col("x"), F.col("y")
+    ring = F.array(F.array(x, y), F.array(x + 3, y), F.array(x + 3, y + 1), F.array(x, y + 1), F.array(x, y))
+    return sides.select("region", geo.geometry_text(F.lit("Polygon"), F.array(ring)).alias("geometry"))
+
+
+@query(BRICKS_SQL)
+def overlapping_outline(t):
+    """Area and perimeter of the union of overlapping members, straight from the noded edges."""
+    return geo.outline_measures(bricks(t), "region", "geometry").select("region", "area", "perimeter")
+
+
+@query(BRICKS_SQL)
+def dissolve_overlapping(t):
+    """Union of overlapping members as GeoJSON text, measured again from that text."""
+    union = geo.dissolve(bricks(t), "region", "geometry")
+    return geo.outline_measures(union, "region", "geometry").select("region", "area", "perimeter")
+
+
 @query(
     """
     SELECT CAST(o_custkey AS VARCHAR) AS bg, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE '[' || c_custkey || ']' END AS geometry

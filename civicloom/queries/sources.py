@@ -73,8 +73,7 @@ def payload_observations(t):
     second = row("total", "1", "*", "2", "37", "999")
     table = F.when(F.col("c_acctbal") >= 0, F.array(header, first, second)).otherwise(F.array(header))
     landed = t.customer.select("c_custkey", F.to_json(table).alias("body"))
-    records = payloads.payload_rows(landed, "body", ["c_custkey"])
-    return payloads.tidy_observations(records, ["state", "county"], ["c_custkey"])
+    return payloads.tidy_observations(landed, "body", ["state", "county"], ["c_custkey"])
 
 
 @query(
@@ -134,6 +133,27 @@ def boundary_features(t):
     )
 
 
+@query(
+    """
+    SELECT c_custkey AS id, CASE WHEN c_nationkey = 3 THEN 'no JSON object' ELSE 'no properties' END AS why
+    FROM customer WHERE c_nationkey IN (3, 5)"""
+)
+def rejected_features(t):
+    """Feature lines cut short or without properties, listed; the others are read."""
+    key = F.col("c_custkey").cast("string")
+    whole = F.to_json(F.struct(F.struct(key.alias("GEOID20")).alias("properties"), F.lit(None).cast("string").alias("geometry")))
+    bare = F.to_json(F.struct(key.alias("id"), F.lit("Feature").alias("type")))
+    cut = F.concat(F.lit('{"id":"'), key, F.lit('","properties":{"GEOID20"'))
+    line = F.when(F.col("c_nationkey") == 3, cut).when(F.col("c_nationkey") == 5, bare).otherwise(whole)
+    path = scratch_path(t.spark, "lines")
+    t.customer.select(line.alias("value")).write.text(path)
+    lines = boundaries.read_lines(t.spark, path)
+    read = boundaries.features(boundaries.accepted(lines, "line"), "line", {"GEOID20": "id"}).select(F.lit("read").alias("why"), F.col("id").cast("bigint").alias("id"))
+    listed = boundaries.rejected(lines, "line").select("why", F.regexp_extract("line", '"id":"([0-9]+)"', 1).cast("bigint").alias("id"))
+    twice = read.join(listed, "id", "left_semi")
+    return listed.unionByName(twice).select("id", "why")
+
+
 @query(
     """
     SELECT CAST(d AS DATE) AS date_key, CAST(year(d) AS INTEGER) AS calendar_year, CAST(quarter(d) AS INTEGER) AS calendar_quarter,

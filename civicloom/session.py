@@ -59,6 +59,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"civicloom-{label}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, label: str = "stored") -> DataFrame:
+    """``df`` written to shared storage once and read again; lineage ends there.
+
+    Unlike a checkpoint it is computed a single time, and later reads take the columns they need.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on shared storage and cut its lineage.
 

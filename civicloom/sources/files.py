@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from civicloom.functions.names import normalize_names
+from civicloom.sources.quoted import read_quoted_csv
 
 
 def read_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
@@ -25,10 +26,11 @@ def read_csv_text(
 ) -> DataFrame:
     """CSV of unknown header as strings under normalised column names.
 
-    ``line_breaks`` admits quoted line breaks in headers and cells; such a file
-    cannot be split, so one task reads each file.
+    ``line_breaks`` admits quoted line breaks in headers and cells.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": line_breaks}
+    if line_breaks:
+        return read_quoted_csv(spark, path)
+    options = {"header": True, "quote": '"', "escape": '"'}
     header = spark.read.csv(path, inferSchema=False, **options).schema
     # Every file's header is held against the first one's: another order is an error.
     raw = spark.read.csv(path, schema=header, enforceSchema=False, **options)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,73 +37,93 @@ def _refused(body: Column | str, broken: Column, why: str):
     return F.when(c.isNotNull() & (F.trim(c) != "") & broken, F.raise_error(sample))
 
 
-def payload_rows(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Array-of-arrays JSON to one row per record, as a header -> text map.
+def payload_rows(df: DataFrame, body: str, keep: Sequence[str] = (), layout: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Array-of-arrays JSON to one row per record: (keep, header, cells), both arrays of text.
 
     Element 0 is the header; a payload of a header only, or none, gives no rows.  A body
-    that is no array of arrays - cut short, an error object - is an error.
+    that is no array of arrays - cut short, an error object - is an error, and so is a record
+    that is not as long as its header.  ``layout`` of the header is worked out once per
+    payload and comes as a column of that name.
     """
-    table = F.from_json(body, "array<array<string>>")
-    broken = table.isNull() | F.exists(table, lambda r: r.isNull())
-    table = _refused(body, broken, "payload is no array of arrays").otherwise(table)
-    split = df.select(*keep, table.alias("__t")).where(F.size("__t") > 1)
-    records = split.select(
-        *keep,
-        F.element_at("__t", 1).alias("__header"),
-        F.explode(F.slice("__t", 2, F.size("__t") - 1)).alias("__record"),
-    )
-    return records.select(*keep, F.map_from_arrays("__header", "__record").alias("record"))
+    parsed = df.select(*keep, F.col(body).alias("__body"), F.try_parse_json(body).alias("__v"))
+    header = F.expr("try_variant_get(__v, '$[0]', 'array<string>')")
+    broken = F.col("__v").isNull() | (header.isNull() & (F.to_json("__v") != "[]"))
+    checked = _refused("__body", broken, "payload is no array of arrays").otherwise(F.lit(None).cast("variant"))
+    table = F.coalesce(checked, F.col("__v"))
+    laid = [] if layout is None else [layout(F.col("header")).alias("layout")]
+    tables = parsed.select(*keep, table.alias("__v"), header.alias("header")).select(*keep, "__v", "header", *laid)
+    records = tables.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("__v").outer())).where("pos > 0")
+    cells = F.expr("try_variant_get(value, '$', 'array<string>')")
+    whole = cells.isNotNull() & (F.size(cells) == F.size("header"))
+    uneven = F.raise_error(F.concat(F.lit("payload is no array of arrays: record "), F.col("pos").cast("string"))).cast("array<string>")
+    return records.select(*keep, "header", *(["layout"] if laid else []), F.when(whole, cells).otherwise(uneven).alias("cells"))
+
+
+def _layout(geo_parts: Sequence[str]) -> Callable[[Column], Column]:
+    """Where a header keeps the parts of a GEOID, NAME and the cells of every variable."""
+
+    def of(header: Column) -> Column:
+        def at(name: Column) -> Column:
+            return (F.array_position(header, name) - 1).cast("int")
+
+        placed = F.transform(header, lambda h, k: F.struct(h.alias("h"), k.alias("at")))
+        # The first of a repeated header counts.
+        estimates = F.filter(placed, lambda p: p["h"].endswith("E") & (p["h"] != "NAME") & (at(p["h"]) == p["at"]))
+
+        def variable(p: Column) -> Column:
+            code = F.substring(p["h"], F.lit(1), F.length(p["h"]) - 1)
+            return F.struct(code.alias("code"), p["at"].alias("e"), at(F.concat(code, F.lit("M"))).alias("m"))
+
+        parts = F.array(*[at(F.lit(p)) for p in geo_parts])
+        return F.struct(parts.alias("geo"), at(F.lit("NAME")).alias("name"), F.transform(estimates, variable).alias("variables"))
+
+    return of
 
 
 def tidy_observations(
-    records: DataFrame,
+    df: DataFrame,
+    body: str,
     geo_parts: Sequence[str],
     keep: Sequence[str] = (),
     with_moe: bool = True,
 ) -> DataFrame:
-    """Record maps to (GEOID, NAME, variable, estimate, moe) rows.
+    """Payload bodies to (keep, GEOID, NAME, variable, estimate, moe) rows.
 
-    Every header ``<code>E`` is a variable; ``<code>M`` is its margin of error,
-    NULL where absent or for tables published without margins.  All inside the
-    row: no shuffle and no join of the two measures.
+    Every header ``<code>E`` is a variable; ``<code>M`` is its margin of error, NULL where
+    absent or for tables published without margins.  The header is searched once per
+    payload; a record's cells are then taken by position, so its work grows with its length.
+    No shuffle and no join of the two measures.
     """
-    record = F.col("record")
-    geoid = F.concat(*[record[p] for p in geo_parts]).alias("GEOID")
-    headers = F.filter(
-        F.map_keys(record), lambda h: h.endswith("E") & (h != F.lit("NAME"))
-    )
-
-    def cell(header: Column) -> Column:
-        code = F.substring(header, F.lit(1), F.length(header) - 1)
-        moe = tolerant_double(F.element_at(record, F.concat(code, F.lit("M"))))
-        return F.struct(
-            code.alias("variable"),
-            tolerant_double(F.element_at(record, header)).alias("estimate"),
-            (moe if with_moe else F.lit(None).cast("double")).alias("moe"),
-        )
-
-    return records.select(
-        *keep, geoid, record["NAME"].alias("NAME"), F.inline(F.transform(headers, cell))
-    )
+    records = payload_rows(df, body, keep, _layout(geo_parts))
+
+    def cell(place: Column) -> Column:
+        return F.get(F.col("cells"), place)
+
+    def measured(v: Column) -> Column:
+        moe = tolerant_double(cell(v["m"])) if with_moe else F.lit(None).cast("double")
+        return F.struct(v["code"].alias("variable"), tolerant_double(cell(v["e"])).alias("estimate"), moe.alias("moe"))
+
+    geoid = F.concat(*[cell(F.col("layout.geo")[k]) for k in range(len(geo_parts))])
+    return records.select(*keep, geoid.alias("GEOID"), cell(F.col("layout.name")).alias("NAME"), F.inline(F.transform("layout.variables", measured)))
 
 
 def dictionary_rows(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame:
     """``{"variables": {code: {label, concept}}}`` to (name, label, concept) rows.
 
     The query keywords ``for`` and ``in`` are not variables; a missing label or
-    concept is the empty string; a body without variables is an error.
+    concept is the empty string; a body without variables, or one that names a variable
+    twice, is an error.
     """
-    shape = "variables map<string, struct<label: string, concept: string>>"
-    variables = F.from_json(body, shape)["variables"]
-    variables = _refused(body, variables.isNull(), "dictionary has no variables").otherwise(variables)
-    parsed = df.select(*keep, variables.alias("__v"))
-    entries = parsed.select(*keep, F.explode("__v").alias("name", "__entry"))
-    return entries.where(~F.col("name").isin("for", "in")).select(
-        *keep,
-        "name",
-        F.coalesce("__entry.label", F.lit("")).alias("label"),
-        F.coalesce("__entry.concept", F.lit("")).alias("concept"),
-    )
+    parsed = df.select(*keep, F.col(body).alias("__body"), F.expr(f"try_variant_get(try_parse_json({body}), '$.variables', 'variant')").alias("__v"))
+    object_ = F.expr("try_variant_get(__v, '$', 'map<string, variant>')").isNotNull()
+    checked = _refused("__body", ~object_, "dictionary has no variables").otherwise(F.lit(None).cast("variant"))
+    tables = parsed.select(*keep, F.coalesce(checked, F.col("__v")).alias("__v"))
+    entries = tables.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("__v").outer())).where(~F.col("key").isin("for", "in"))
+
+    def text(field: str) -> Column:
+        return F.coalesce(F.expr(f"try_variant_get(value, '$.{field}', 'string')"), F.lit(""))
+
+    return entries.select(*keep, F.col("key").alias("name"), text("label").alias("label"), text("concept").alias("concept"))
 
 
 def table_kind(code: Column | str) -> Column:

@@ -5,7 +5,7 @@ import pytest
 from civicloom.functions import semantics
 from civicloom.operators import geo, metrics, reshape
 from civicloom.plans import survey
-from civicloom.sources import files, payloads
+from civicloom.sources import boundaries, files, payloads
 
 
 @pytest.mark.parametrize("body", ['[["NAME"],["x"', '{"error": "limit"}', "not json"])
@@ -105,3 +105,37 @@ def test_a_report_filters_in_the_reader(spark, rows, tmp_path):
     plan = table._jdf.queryExecution().toString()
     assert "StringStartsWith(variable,B1_)" in plan and "StringStartsWith(variable,B2_)" in plan
     assert rows(table) == [("g", 2024, 4.0)]
+
+
+def test_lines_that_are_no_feature(spark, tmp_path):
+    lines = ['{"type":"Feature","properties":{"GEOID":"1"},"geometry":{"type":"Point"}}', "", '{"properties":{"GEOID":"2"},"geometry":null}']
+    broken = ['{"properties":{"GEOID":"3"},"geom', "[1, 2]", '{"type":"Feature"}', '{"properties":null}', "GEOID,3"]
+    (tmp_path / "good.jsonl").write_text("\n".join(lines))
+    good = boundaries.read_features(spark, str(tmp_path / "good.jsonl"), {"GEOID": "id"})
+    assert sorted(map(tuple, good.collect())) == [("1", '{"type":"Point"}'), ("2", None)]
+    (tmp_path / "bad.jsonl").write_text("\n".join([*lines, *broken]))
+    path = str(tmp_path / "bad.jsonl")
+    with pytest.raises(Exception, match="no feature"):
+        boundaries.read_features(spark, path, {"GEOID": "id"}).collect()
+    found = {r.line: r.why for r in boundaries.read_rejected(spark, path).collect()}
+    assert set(found) == set(broken) and found[broken[0]] == "no JSON object" and found[broken[2]] == "no properties"
+    kept = boundaries.features(boundaries.accepted(boundaries.read_lines(spark, path), "line"), "line", {"GEOID": "id"})
+    assert sorted(r.id for r in kept.collect()) == ["1", "2"]
+
+
+def test_payload_cells_by_position(spark):
+    body = '[["state","B1M","B1E","B1E","NAME","B2E"],["37","2","1.5","9","x",null],["37",null,"N/A","9","y",7]]'
+    df = spark.createDataFrame([(body,)], "body string")
+    got = sorted(tuple(r) for r in payloads.tidy_observations(df, "body", ["state"]).select("NAME", "variable", "estimate", "moe").collect())
+    assert got == [("x", "B1", 1.5, 2.0), ("x", "B2", None, None), ("y", "B1", None, None), ("y", "B2", 7.0, None)]
+    plan = payloads.tidy_observations(df, "body", ["state"])._jdf.queryExecution().executedPlan().toString()
+    assert "variant_explode" in plan and "map_from_arrays" not in plan and "from_json" not in plan
+    for uneven in ('[["a","b"],["c"]]', '[["a"],null]', "5", '["a"]'):
+        with pytest.raises(Exception, match="no array of arrays"):
+            payloads.payload_rows(spark.createDataFrame([(uneven,)], "body string"), "body").collect()
+
+
+def test_a_dictionary_that_names_a_variable_twice(spark):
+    df = spark.createDataFrame([('{"variables":{"B1E":{"label":"x"},"B1E":{"label":"y"}}}',)], "body string")
+    with pytest.raises(Exception, match="no variables"):
+        payloads.dictionary_rows(df, "body").collect()
