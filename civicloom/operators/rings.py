@@ -76,10 +76,12 @@ def ranked(edges: DataFrame, after: DataFrame) -> DataFrame:
     tiled = edges.join(sizes, "g").select("id", tile.alias("tile"))
     walked = tiled.join(after, "id").groupBy("tile").applyInPandas(_walked, "id long, head long, place long, goes_on long, size long")
     walked = stored(walked)
-    chains = walked.where("place = 0").select("head", "goes_on", "size")
-    state = stored(chains.where("goes_on IS NOT NULL").select("head", F.col("goes_on").alias("next"), F.col("head").alias("low"), F.lit(0).cast("long").alias("ahead"), F.col("size").alias("span")))
+    chains = walked.where("place = 0 AND goes_on IS NOT NULL").select("head", "goes_on", "size")
+    if chains.isEmpty():  # no ring leaves its tile
+        return walked.select("id", F.col("head").alias("ring"), F.lit(None).cast("long").alias("turn"), "place")
+    state = stored(chains.select("head", F.col("goes_on").alias("next"), F.col("head").alias("low"), F.lit(0).cast("long").alias("ahead"), F.col("size").alias("span")))
     # low: the least chain among the next 2**k, ahead: edges to its start, span: edges of all of them.
-    while not state.isEmpty():
+    while True:
         then = state.select(F.col("head").alias("next"), F.col("next").alias("next2"), F.col("low").alias("low2"), F.col("ahead").alias("ahead2"), F.col("span").alias("span2"))
         joined = state.join(then, "next")
         less = F.col("low2") < F.col("low")
@@ -101,7 +103,7 @@ def ranked(edges: DataFrame, after: DataFrame) -> DataFrame:
 
 def simple(edges: DataFrame) -> DataFrame:
     """``edges`` (g, id, x1, y1, x2, y2) with ring, turn and place of rings that visit no vertex twice."""
-    after = stored(following(edges))
+    after = following(edges)
     placed = stored(edges.join(ranked(edges, after), "id"))
     order = Window.partitionBy("g", "ring", "x1", "y1").orderBy("turn", "place")
     again = placed.groupBy("g", "ring", "x1", "y1").count().where("count > 1")

@@ -17,6 +17,7 @@ for _area in (
     "townships",
     "schooling",
     "living",
+    "cleaned",
 ):
     import_module(f"civicloom.queries.{_area}")
 
