@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicloom.llm.common import Trees, components, forget, merged, mix, same, slices, staged
+from civicloom.llm.common import Trees, components, forget, merged, mix, once, same, slices, staged
 
 #: Permutations of the signature, and of the finer one for documents that have candidates.
 PERMUTATIONS = 96
@@ -47,9 +47,6 @@ class _Words(dict):
         return value
 
 
-_words = _Words()
-
-
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the ``width``-word shingles of ``text``.
 
@@ -59,7 +56,7 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     words = text.encode().lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(once("words", _Words).__getitem__, words), np.uint64, len(words))
     if len(w) < width:
         return np.array([xxhash.xxh3_64_intdigest(w.tobytes(), seed=len(w))], np.uint64)
     n = len(w) - width + 1

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from civicloom.llm.common import once, slices
+from civicloom.llm.common import forget, once, slices
 
 #: Texts of these characters only are cut to words here, as the vocabulary file's own
 #: rules would cut them; any other text goes whole through the tokenizer.
@@ -114,6 +114,7 @@ def pack(docs: DataFrame, definition: str, limit: int = 4096, end_id: int = 2, i
     fields = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, bucket int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(besides=name)
         tokenizer, part = once(name, lambda: WordTokenizer(shared.value)), TaskContext.get().partitionId()
         next_of = [0] * limit.bit_length()
         for batch in slices(batches, "text", 4 << 20):

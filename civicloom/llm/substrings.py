@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicloom.llm.bwt import least_owner
-from civicloom.llm.common import forget, mix, same, shuffle_tasks, slices, staged
+from civicloom.llm.common import forget, lean, mix, same, shuffle_tasks, slices, staged
 
 GRAM = 24
 #: Windows of one document that are looked at together.
@@ -403,11 +403,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     bucketed = rows.select(F.pmod(h1, F.lit(buckets)).cast("int").alias("bucket"), "id", F.col("text").cast("binary").alias("text"))
     tasks = max(shuffle_tasks(docs), -(-total // (64 << 20)))
     dealt = _dealt(bucketed).repartition(tasks, "bucket")
-    grams = dealt.groupBy("bucket").applyInArrow(lambda t: _grams(t, least, bits), "part int, bucket int, names binary, held binary")
-    shared = grams.groupBy("part").applyInArrow(_shared, "bucket int, part int, names binary, hot binary")
-    cut = dealt.groupBy("bucket").cogroup(shared.groupBy("bucket")).applyInArrow(lambda t, k: _cut_out(t, k, least, bits, parts), PIECES)
-    removals = cut.groupBy("part").applyInArrow(lambda t: _judge(t, least), REMOVALS)
-    first = dealt.groupBy("bucket").cogroup(removals.groupBy("bucket")).applyInArrow(_apply, "id long, n_bytes long, kept binary, spans array<struct<start: long, end: long>>")
+    grams = dealt.groupBy("bucket").applyInArrow(lean(lambda t: _grams(t, least, bits)), "part int, bucket int, names binary, held binary")
+    shared = grams.groupBy("part").applyInArrow(lean(_shared), "bucket int, part int, names binary, hot binary")
+    cut = dealt.groupBy("bucket").cogroup(shared.groupBy("bucket")).applyInArrow(lean(lambda t, k: _cut_out(t, k, least, bits, parts)), PIECES)
+    removals = cut.groupBy("part").applyInArrow(lean(lambda t: _judge(t, least)), REMOVALS)
+    first = dealt.groupBy("bucket").cogroup(removals.groupBy("bucket")).applyInArrow(lean(_apply), "id long, n_bytes long, kept binary, spans array<struct<start: long, end: long>>")
 
     least_id = narrow.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
     copies = narrow.join(least_id, ["h1", "h2"]).where("id > rep")
