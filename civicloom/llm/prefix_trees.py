@@ -209,14 +209,14 @@ def _split_part(table: pa.Table, group: int) -> pa.Table:
     return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "names", "lengths"])
 
 
-PIECES = "part int, bucket int, groups binary, words binary, sizes binary, cuts binary, owners binary, numbers binary, starts binary, window binary, ids array<long>, places array<struct<number: int, start: int>>"
+WINDOWS = "array<struct<window: binary, own: long, places: array<struct<number: int, start: int>>>>"
+PIECES = f"part int, bucket int, groups binary, words binary, sizes binary, cuts binary, owners binary, numbers binary, starts binary, whole {WINDOWS}"
 _PIECES = pa.schema(
     [
         ("part", pa.int32()),
         ("bucket", pa.int32()),
-        *((n, pa.binary()) for n in ("groups", "words", "sizes", "cuts", "owners", "numbers", "starts", "window")),
-        ("ids", pa.list_(pa.int64())),
-        ("places", pa.list_(pa.struct([("number", pa.int32()), ("start", pa.int32())]))),
+        *((n, pa.binary()) for n in ("groups", "words", "sizes", "cuts", "owners", "numbers", "starts")),
+        ("whole", pa.list_(pa.struct([("window", pa.binary()), ("own", pa.int64()), ("places", pa.list_(pa.struct([("number", pa.int32()), ("start", pa.int32())])))]))),
     ]
 )
 
@@ -267,9 +267,10 @@ def _cut_out(table: pa.Table, known: pa.Table, width: int, parts: int) -> pa.Tab
         columns = (group, None, size.astype(np.uint8), (cut - first).astype(np.uint8), ids[number[first]], number[first].astype("<u4"), place[first].astype("<u4"))
         for p, a, b in zip(to.tolist(), lo.tolist(), hi.tolist()):
             rows.setdefault(p, []).append([data[edge[a] : edge[b]] if c is None else c[a:b].tobytes() for c in columns])
-    out = [[p for p in rows], [bucket] * len(rows), *([b"".join(x[k] for x in v) for v in rows.values()] for k in range(7)), [None] * len(rows), [None] * len(rows), [None] * len(rows)]
-    for window, places in whole.items():
-        for column, value in zip(out, [-1 - bucket, bucket, *[None] * 7, window, [p[0] for p in places], [{"number": p[1], "start": p[2]} for p in places]]):
+    out = [[p for p in rows], [bucket] * len(rows), *([b"".join(x[k] for x in v) for v in rows.values()] for k in range(7)), [None] * len(rows)]
+    if whole:  # a row of its own, which no part sorts
+        listed = [{"window": w, "own": min(p[0] for p in places), "places": [{"number": p[1], "start": p[2]} for p in places]} for w, places in whole.items()]
+        for column, value in zip(out, [-1 - bucket, bucket, *[None] * 7, listed]):
             column.append(value)
     return pa.table([pa.array(c, f.type) for c, f in zip(out, _PIECES)], schema=_PIECES)
 
@@ -359,7 +360,7 @@ def _judge(table: pa.Table, width: int) -> pa.Table:
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows that are prefixes themselves."""
     for batch in batches:
-        yield batch.filter(pc.is_valid(batch.column("window"))).select(["bucket", "window", "ids", "places"])
+        yield batch.filter(pc.is_valid(batch.column("whole"))).select(["bucket", "whole"])
 
 
 def _apply(table: pa.Table, removals: pa.Table, width: int) -> pa.Table:
@@ -432,8 +433,7 @@ def remove_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str
     cut = dealt.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(lambda t, k: _cut_out(t, k, width, parts), PIECES)
     cut = cut.repartition(tasks, "part")  # computed once for the three that read it
     judged = cut.groupBy("part").applyInArrow(lambda t: _judge(t, width), REMOVALS)
-    whole = cut.mapInArrow(_whole, "bucket int, window binary, ids array<long>, places array<struct<number: int, start: int>>")
-    own = whole.select("bucket", "window", F.array_min("ids").alias("own"), "places")
+    own = cut.mapInArrow(_whole, f"bucket int, whole {WINDOWS}").select("bucket", F.inline("whole"))
     least = own.groupBy("window").agg(F.min("own").alias("least"))
     nodes = own.join(least, "window").select("bucket", F.col("places.number").alias("numbers"), F.col("places.start").alias("starts"), "least")
     removals = judged.union(nodes)
