@@ -66,32 +66,35 @@ def member_edges(df: DataFrame, group: str, geometry: str) -> DataFrame:
     ).where("x1 != x2 OR y1 != y2")
 
 
-def _outline(df: DataFrame, group: str, geometry: str) -> DataFrame:
+def _outline(df: DataFrame, group: str, geometry: str, noded: bool) -> DataFrame:
     """Outline edges under ``g``, a struct of the group: it is equal to itself when its field is NULL."""
     edges = member_edges(df, group, geometry)
     ends = [noding.rounded(F.col(c)).alias(c) for c in ("x1", "y1", "x2", "y2")]
-    directed = edges.select(F.struct(group).alias("g"), *ends)
-    return noding.outside(noding.noded(noding.undirected(directed)))
+    signed = noding.undirected(edges.select(F.struct(group).alias("g"), *ends))
+    return noding.one_sided(signed) if noded else noding.outside(noding.noded(signed))
 
 
-def outline_edges(df: DataFrame, group: str, geometry: str) -> DataFrame:
+def outline_edges(df: DataFrame, group: str, geometry: str, noded: bool = False) -> DataFrame:
     """Edges of the outline of each group's union, with the inside on the left.
 
     Members may overlap, touch or share borders without common vertices: edges are cut
     where they meet and stay where one side alone is covered.  A member listed twice changes
     nothing.  Shared borders cancel in a map-side aggregation keyed by the edge itself before
     anything else, so members that tile the plane leave only their outline to be cut.
+
+    ``noded`` says that the members do not overlap and share the vertices of their common
+    borders; then what does not cancel is the outline, and nothing is cut.
     """
-    outline = _outline(df, group, geometry)
+    outline = _outline(df, group, geometry, noded)
     return outline.select(F.col("g")[group].alias(group), "x1", "y1", "x2", "y2")
 
 
-def outline_measures(df: DataFrame, group: str, geometry: str) -> DataFrame:
+def outline_measures(df: DataFrame, group: str, geometry: str, noded: bool = False) -> DataFrame:
     """Area, perimeter and edge count of each group's outline, without assembling it."""
     length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
     doubled = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
     return (
-        outline_edges(df, group, geometry)
+        outline_edges(df, group, geometry, noded)
         .groupBy(group)
         .agg(
             (F.sum(doubled) / 2).alias("area"),
@@ -101,12 +104,13 @@ def outline_measures(df: DataFrame, group: str, geometry: str) -> DataFrame:
     )
 
 
-def dissolve(df: DataFrame, group: str, geometry: str, name: str = "geometry") -> DataFrame:
+def dissolve(df: DataFrame, group: str, geometry: str, name: str = "geometry", noded: bool = False) -> DataFrame:
     """Union of member polygons per group as GeoJSON text.
 
-    The rings of a group meet only in the text itself, its one output cell.
+    The rings of a group meet only in the text itself, its one output cell.  ``noded`` as
+    for ``outline_edges``.
     """
-    shapes = rings.polygons(_outline(df, group, geometry))
+    shapes = rings.polygons(_outline(df, group, geometry, noded))
     single = geometry_text(F.lit("Polygon"), F.col("polygons")[0])
     several = geometry_text(F.lit("MultiPolygon"), F.col("polygons"))
     return shapes.select(F.col("g")[group].alias(group), F.when(F.size("polygons") == 1, single).otherwise(several).alias(name))

@@ -55,6 +55,11 @@ def _row(y: Column) -> Column:
     return F.floor((y - F.col("y0")) / F.col("side"))
 
 
+def _cell() -> Column:
+    """One number to join on for (g, col, row); those decide where two cells share it."""
+    return F.xxhash64("g", "col", "row")
+
+
 def celled(placed: DataFrame) -> DataFrame:
     """Edges with their grid (x0, y0, side), once for every cell (col, row) they pass through."""
     ax, ay, bx, by, side = (F.col(c) for c in (*EDGE, "side"))
@@ -71,59 +76,83 @@ def celled(placed: DataFrame) -> DataFrame:
     one, two = height(left, ay), height(right, by)
     pad = NEAR + side * 1e-9
     rows = F.sequence(_row(F.least(one, two) - pad), _row(F.greatest(one, two) + pad))
-    return spread.withColumn("row", F.explode(rows))
+    return spread.withColumn("row", F.explode(rows)).withColumn("cell", _cell())
 
 
-def _touches(point: str, edge: str) -> Column:
-    """Whether a point is on an edge between its ends."""
-    px, py = F.col(f"{point}x"), F.col(f"{point}y")
-    ax, ay, bx, by = (F.col(f"{edge}.{c}") for c in EDGE)
-    dx, dy = bx - ax, by - ay
-    along = (px - ax) * dx + (py - ay) * dy
-    length = dx * dx + dy * dy
-    off = F.abs((px - ax) * dy - (py - ay) * dx) <= NEAR * F.sqrt(length)
-    end = ((px == ax) & (py == ay)) | ((px == bx) & (py == by))
-    return off & (along > 0) & (along < length) & ~end
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to as many tasks as run side by side.
+
+    The rows of a cell are few bytes and much arithmetic, so partitions sized by bytes would
+    leave most of a cluster idle.
+    """
+    session = df.sparkSession
+    tasks = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *keys)
+
+
+CELL = ["cell", "g", "col", "row"]
 
 
-def _meetings(edges: DataFrame, cells: DataFrame) -> DataFrame:
+def _other(df: DataFrame) -> DataFrame:
+    """``df`` with the columns of its cell, but for the join key, under other names."""
+    return df.withColumnsRenamed({c: f"o_{c}" for c in CELL[1:]})
+
+
+def _one_cell() -> Column:
+    """The rest of the join: written so that rows are sorted by the key alone."""
+    return F.array_contains(F.array("o_g"), F.col("g")) & (F.col("o_col") - F.col("col") == 0) & (F.col("o_row") - F.col("row") == 0)
+
+
+def _touching(edges: DataFrame, sized: DataFrame, cells: DataFrame) -> DataFrame:
+    """(g, ax, ay, bx, by, x, y): ends of other edges that lie on an edge between its own ends."""
+    ends = edges.select("g", F.explode(F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))).alias("s"))
+    points = ends.select("g", "s.x", "s.y").join(sized, "g")
+    points = points.select("g", _column(F.col("x")).alias("col"), _row(F.col("y")).alias("row"), "x", "y").withColumn("cell", _cell())
+    met = _other(spread(points, "cell")).join(cells, "cell").where(_one_cell())
+    x, y, ax, ay, bx, by = (F.col(c) for c in ("x", "y", *EDGE))
+    dx, dy = bx - ax, by - ay
+    along = (x - ax) * dx + (y - ay) * dy
+    off = F.abs((x - ax) * dy - (y - ay) * dx)
+    inside = (along > 0) & (along < dx * dx + dy * dy) & (off * off <= (dx * dx + dy * dy) * NEAR**2)
+    near = (x >= ax - NEAR) & (x <= bx + NEAR) & (y >= F.least(ay, by) - NEAR) & (y <= F.greatest(ay, by) + NEAR)
+    apart = ((x != ax) | (y != ay)) & ((x != bx) | (y != by))
+    return met.where(near & apart & inside).select("g", *EDGE, "x", "y")
+
+
+def _crossing(cells: DataFrame) -> DataFrame:
+    """(g, ax, ay, bx, by, x, y): where two edges cross, away from the ends of both."""
+    p = _other(cells.select(*CELL, *[F.col(c).alias(f"p{c}") for c in EDGE]))
+    q = cells.select(*CELL, *[F.col(c).alias(f"q{c}") for c in EDGE])
+    pax, pay, pbx, pby, qax, qay, qbx, qby = (F.col(f"{e}{c}") for e in "pq" for c in EDGE)
+    # Each pair once; a pair whose boxes are apart, or touch, does not cross.
+    first = (pax < qax) | ((pax == qax) & (F.struct(pay, pbx, pby) < F.struct(qay, qbx, qby)))
+    near = (pbx > qax) & (F.greatest(pay, pby) > F.least(qay, qby)) & (F.greatest(qay, qby) > F.least(pay, pby))
+    pairs = p.join(q, "cell").where(first & near & _one_cell())
+    ux, uy, vx, vy, wx, wy = pbx - pax, pby - pay, qbx - qax, qby - qay, qax - pax, qay - pay
+    pairs = pairs.select("g", *[f"{e}{c}" for e in "pq" for c in EDGE], (ux * vy - uy * vx).alias("cross"), (wx * vy - wy * vx).alias("along"), (wx * uy - wy * ux).alias("other"))
+    cross, along, other = F.col("cross"), F.col("along"), F.col("other")
+    inner = (cross != 0) & (along * cross > 0) & (F.abs(along) < F.abs(cross)) & (other * cross > 0) & (F.abs(other) < F.abs(cross))
+    step = along / F.when(cross != 0, cross)
+    found = pairs.where(inner).select("g", *[f"{e}{c}" for e in "pq" for c in EDGE], rounded(pax + step * (pbx - pax)).alias("x"), rounded(pay + step * (pby - pay)).alias("y"))
+    for end in ("pa", "pb", "qa", "qb"):  # else an end touches the other edge
+        found = found.where((F.abs(F.col("x") - F.col(f"{end}x")) > NEAR) | (F.abs(F.col("y") - F.col(f"{end}y")) > NEAR))
+    both = F.array(*[F.struct(*[F.col(f"{e}{c}").alias(c) for c in EDGE]) for e in "pq"])
+    return found.select("g", F.explode(both).alias("e"), "x", "y").select("g", "e.*", "x", "y")
+
+
+def _meetings(edges: DataFrame) -> DataFrame:
     """(g, ax, ay, bx, by, x, y): points between the ends of an edge where another edge meets it."""
-    cells = cells.select("g", "col", "row", *EDGE)
-    p = cells.select("g", "col", "row", F.struct(*EDGE).alias("p"))
-    q = cells.select("g", "col", "row", F.struct(*EDGE).alias("q"))
-    near = (
-        (F.col("p") < F.col("q"))
-        & (F.col("p.bx") + NEAR >= F.col("q.ax"))
-        & (F.greatest("p.ay", "p.by") + NEAR >= F.least("q.ay", "q.by"))
-        & (F.greatest("q.ay", "q.by") + NEAR >= F.least("p.ay", "p.by"))
-    )
-    pairs = p.join(q, ["g", "col", "row"]).where(near)
-    touch = {(point, edge): _touches(point, edge) for point, edge in (("q.a", "p"), ("q.b", "p"), ("p.a", "q"), ("p.b", "q"))}
-    ux, uy = F.col("p.bx") - F.col("p.ax"), F.col("p.by") - F.col("p.ay")
-    vx, vy = F.col("q.bx") - F.col("q.ax"), F.col("q.by") - F.col("q.ay")
-    wx, wy = F.col("q.ax") - F.col("p.ax"), F.col("q.ay") - F.col("p.ay")
-    cross = ux * vy - uy * vx
-    along, other = wx * vy - wy * vx, wx * uy - wy * ux
-    inner = (cross != 0) & (along * F.signum(cross) > 0) & (F.abs(along) < F.abs(cross)) & (other * F.signum(cross) > 0) & (F.abs(other) < F.abs(cross))
-    step = F.when(cross != 0, along / cross)
-    pairs = pairs.select("g", "p", "q", *[F.coalesce(t, F.lit(False)).alias(f"t{k}") for k, t in enumerate(touch.values())], inner.alias("inner"), rounded(F.col("p.ax") + step * ux).alias("x"), rounded(F.col("p.ay") + step * uy).alias("y"))
-    crossing = F.col("inner") & ~(F.col("t0") | F.col("t1") | F.col("t2") | F.col("t3"))
-
-    def point(edge: str, x: str, y: str) -> Column:
-        return F.struct(*[F.col(f"{edge}.{c}").alias(c) for c in EDGE], F.col(x).alias("x"), F.col(y).alias("y"))
-
-    found = [F.when(F.col(f"t{k}"), point(edge, f"{at}x", f"{at}y")) for k, (at, edge) in enumerate(touch)]
-    found += [F.when(crossing, point(edge, "x", "y")) for edge in ("p", "q")]
-    each = pairs.where(crossing | F.col("t0") | F.col("t1") | F.col("t2") | F.col("t3")).select("g", F.explode(F.array_compact(F.array(*found))).alias("s")).select("g", "s.*")
-    return each.where("NOT (x = ax AND y = ay) AND NOT (x = bx AND y = by)").distinct()
+    sized = grid(edges)
+    cells = spread(celled(edges.join(sized, "g")).select(*CELL, *EDGE), "cell")
+    # The same point may come from several cells and edges; pieces without length are left out later.
+    return _touching(edges, sized, cells).union(_crossing(cells))
 
 
 def noded(edges: DataFrame) -> DataFrame:
     """``edges`` (g, ax, ay, bx, by, times) cut until none meets another between its ends."""
     edges = stored(edges)
     while True:
-        cells = celled(edges.join(grid(edges), "g"))
-        meetings = stored(_meetings(edges, cells))
+        meetings = stored(_meetings(edges))
         if meetings.isEmpty():
             return edges
         cut = edges.join(meetings.select("g", *EDGE).distinct(), ["g", *EDGE])
@@ -137,6 +166,13 @@ def noded(edges: DataFrame) -> DataFrame:
         edges = stored(undirected(parts.where("x2 IS NOT NULL").union(kept), F.col("times")))
 
 
+def one_sided(edges: DataFrame) -> DataFrame:
+    """Edges (g, x1, y1, x2, y2) of shapes that do not overlap, with the inside on the left."""
+    ahead = F.col("times") > 0
+    ends = [F.when(ahead, F.col(p)).otherwise(F.col(q)).alias(n) for n, p, q in zip(("x1", "y1", "x2", "y2"), EDGE, ("bx", "by", "ax", "ay"))]
+    return edges.select("g", *ends)
+
+
 def outside(edges: DataFrame) -> DataFrame:
     """Of noded edges, those with a shape on one side only, as (g, x1, y1, x2, y2) with it on the left.
 
@@ -146,7 +182,7 @@ def outside(edges: DataFrame) -> DataFrame:
     edges of one cell only.
     """
     ax, ay, bx, by, side = (F.col(c) for c in (*EDGE, "side"))
-    placed = stored(edges.join(grid(edges), "g"))
+    placed = edges.join(grid(edges), "g")
     floor_y = F.col("y0") + F.col("row") * side
     crosses = (ay <= floor_y) != (by <= floor_y)
     at = ax + (floor_y - ay) * (bx - ax) / F.when(by != ay, by - ay)
@@ -157,14 +193,14 @@ def outside(edges: DataFrame) -> DataFrame:
     borders = borders.groupBy("g", "row", "col").agg(F.sum(gain).alias("gain"))
     middle = [((ax + bx) / 2).alias("mx"), ((ay + by) / 2).alias("my")]
     mids = placed.select("g", "x0", "y0", "side", *[F.col(c).alias(f"m_{c}") for c in (*EDGE, "times")], *middle)
-    mids = mids.select("*", _column(F.col("mx")).alias("col"), _row(F.col("my")).alias("row"))
+    mids = mids.select("*", _column(F.col("mx")).alias("col"), _row(F.col("my")).alias("row")).withColumn("cell", _cell())
     asked = mids.select("g", "row", "col").distinct()
     along = Window.partitionBy("g", "row").orderBy("col").rangeBetween(Window.unboundedPreceding, -1)
     both = borders.withColumn("asked", F.lit(False)).unionByName(asked.select("*", F.lit(0).cast("long").alias("gain"), F.lit(True).alias("asked")))
     corners = both.withColumn("corner", F.coalesce(F.sum("gain").over(along), F.lit(0))).where("asked").select("g", "row", "col", "corner")
 
-    local = celled(placed).select("g", "col", "row", *EDGE, "times")
-    met = mids.join(local, ["g", "col", "row"])
+    local = spread(celled(placed).select(*CELL, *EDGE, "times"), "cell")
+    met = spread(mids, "cell").join(_other(local), "cell").where(_one_cell())
     mx, my = F.col("mx"), F.col("my")
     in_border = F.coalesce(crosses & (_column(at) == F.col("col")) & (at <= mx), F.lit(False))
     upward = ay + (mx - ax) * (by - ay) / F.when(bx != ax, bx - ax)
@@ -173,7 +209,7 @@ def outside(edges: DataFrame) -> DataFrame:
         own &= F.col(c) == F.col(f"m_{c}")
     above = F.coalesce(((ax <= mx) != (bx <= mx)) & (upward > floor_y) & (upward < my) & ~own, F.lit(False))
     step = F.when(in_border, gain).otherwise(0) + F.when(above, F.col("times")).otherwise(0)
-    key = ["g", "col", "row", *[f"m_{c}" for c in (*EDGE, "times")]]
+    key = [*CELL, *[f"m_{c}" for c in (*EDGE, "times")]]
     right = met.groupBy(*key).agg(F.sum(step).alias("step")).join(corners, ["g", "row", "col"])
     shapes = F.col("corner") + F.col("step")  # to the right of a -> b
     left = shapes + F.col("m_times")

@@ -207,6 +207,21 @@ def fan_out(
     written once, partitioned by table, so every table reads only its own folder.
     """
     measures = measures or {"estimate": "", "moe": "_moe"}
+    columns, skipped, shared = _planned(observations, crosswalk, code)
+    source = observations
+    if stage_to is not None:
+        source = _staged(observations, columns, code, stage_to)
+    tables = {}
+    for table, cells in columns.items():
+        rows = source if stage_to is None else source.where(F.col("table_name") == table)
+        tables[table] = widen(rows, keys, code, cells, measures)
+    return FanOut(tables, skipped, shared)
+
+
+def _planned(
+    observations: DataFrame, crosswalk: DataFrame, code: str
+) -> tuple[dict[str, dict[str, list[str]]], list[str], dict[str, list[str]]]:
+    """Columns by table (name -> its one code), tables without rows, and shared labels by table."""
     named = crosswalk.where(F.col("table_name").isNotNull())
     occurring = observations.select(code).distinct()
     present = (
@@ -224,15 +239,43 @@ def fan_out(
             shared[table] = twice
         if len(columns[table]) > bound:
             raise ValueError(f"{table} has more than {bound} columns")
+    return columns, sorted(set(wanted) - set(columns)), shared
 
-    source = observations
-    if stage_to is not None:
-        source = _staged(observations, columns, code, stage_to)
+
+def fan_out_at_once(
+    observations: DataFrame,
+    crosswalk: DataFrame,
+    keys: Sequence[str],
+    path: str,
+    measures: Mapping[str, str] | None = None,
+    code: str = "variable",
+) -> FanOut:
+    """``fan_out`` by one aggregation and one write, however many concepts there are.
+
+    A code becomes its table and its place among the columns of that table; one pivot on
+    the place, keyed by (table, ``keys``), makes every wide row, and one write puts each
+    table into a folder of its own under ``path``.  A table is then a projection of its
+    folder that gives the places their names; nothing runs for it until it is read.
+    """
+    measures = measures or {"estimate": "", "moe": "_moe"}
+    columns, skipped, shared = _planned(observations, crosswalk, code)
+    spark = observations.sparkSession
+    places = [(codes[0], table, n) for table, cells in columns.items() for n, codes in enumerate(cells.values())]
+    if not places:
+        return FanOut({}, skipped, shared)
+    # As many rows as the driver holds to name the columns.
+    placed = F.broadcast(spark.createDataFrame(places, f"{code} string, table_name string, __place int"))
+    width = max(map(len, columns.values()))
+    tagged = observations.join(placed, code)
+    wide = pivoted(tagged, ["table_name", *keys], "__place", list(range(width)), {value: F.max(value) for value in measures})
+    wide.hint("rebalance", "table_name").write.mode("overwrite").partitionBy("table_name").parquet(path)
+    stored = spark.read.schema(wide.schema).parquet(path)
     tables = {}
     for table, cells in columns.items():
-        rows = source if stage_to is None else source.where(F.col("table_name") == table)
-        tables[table] = widen(rows, keys, code, cells, measures)
-    return FanOut(tables, sorted(set(wanted) - set(tables)), shared)
+        rows = stored.where(F.col("table_name") == table)
+        named = [cell(str(n), value).alias(f"{name}{suffix}") for value, suffix in measures.items() for n, name in enumerate(cells)]
+        tables[table] = rows.select(*keys, *named)
+    return FanOut(tables, skipped, shared)
 
 
 def _column_names(labels: Mapping[str, list[str]]) -> tuple[dict[str, list[str]], list[str]]:

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicloom.operators.noding import spread
 from civicloom.session import stored
 
 #: Edges of a group that one task walks; more are cut into tiles of about as many.
@@ -27,7 +28,7 @@ def following(edges: DataFrame) -> DataFrame:
         angle = F.atan2(F.col(to_y) - F.col(y), F.col(to_x) - F.col(x))
         return edges.select("g", F.col(x).alias("x"), F.col(y).alias("y"), angle.alias("angle"), "id", F.lit(comes).alias("comes"))
 
-    rays = ray("x1", "y1", "x2", "y2", False).union(ray("x2", "y2", "x1", "y1", True))
+    rays = spread(ray("x1", "y1", "x2", "y2", False).union(ray("x2", "y2", "x1", "y1", True)), "g", "x", "y")
     around = Window.partitionBy("g", "x", "y").orderBy("angle", "comes")
     last = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     turn = F.struct("id", "comes")
@@ -38,42 +39,56 @@ def following(edges: DataFrame) -> DataFrame:
 
 
 def _walked(part: pd.DataFrame) -> pd.DataFrame:
-    """Chains of a tile: every edge with the first of its chain and its place; where the chain goes on, if it is open."""
-    ids, after = part["id"].to_numpy(), part["next"].to_numpy()
-    follows = dict(zip(ids.tolist(), after.tolist()))
-    heads = set(ids.tolist()) - set(after.tolist())
-    head, place, on, size = {}, {}, {}, {}
-
-    def walk(start: int) -> None:
-        at, n = start, 0
-        while at in follows and at not in head:
-            head[at], place[at] = start, n
-            at, n = follows[at], n + 1
-        on[start], size[start] = (None if at == start else at), n
-
-    for start in sorted(heads):
-        walk(start)
-    for start in sorted(follows):  # closed inside the tile
-        if start not in head:
-            walk(start)
-    first = [head[i] for i in ids.tolist()]
-    return pd.DataFrame(
-        {
-            "id": ids,
-            "head": first,
-            "place": [place[i] for i in ids.tolist()],
-            "goes_on": pd.array([on[h] for h in first], "Int64"),
-            "size": [size[h] for h in first],
-        }
-    )
+    """Chains of a tile: every edge with the first of its chain and its place; where the chain goes on, if it is open.
+
+    A chain that closes inside the tile is cut into rings that visit no vertex twice.
+    """
+    ids = part["id"].tolist()
+    follows = dict(zip(ids, part["next"].tolist()))
+    start = dict(zip(ids, zip(part["x1"].tolist(), part["y1"].tolist())))
+    out: list[tuple[int, int, int, int | None, int]] = []
+
+    def put(chain: list[int], on: int | None) -> None:
+        first = chain[0] if on is not None else min(chain)
+        out.extend((edge, first, n, on, len(chain)) for n, edge in enumerate(chain))
+
+    seen: set[int] = set()
+    for head in sorted(set(ids) - set(follows.values())):
+        chain, at = [], head
+        while at in follows:
+            chain.append(at)
+            at = follows[at]
+        seen.update(chain)
+        put(chain, at)
+    for head in sorted(ids):
+        path: list[int] = []
+        place: dict[tuple[float, float], int] = {}
+        at = head
+        while at not in seen:
+            seen.add(at)
+            corner = start[at]
+            if corner in place:
+                loop = path[place[corner] :]
+                del path[place[corner] :]
+                for edge in loop:
+                    del place[start[edge]]
+                put(loop, None)
+            place[corner] = len(path)
+            path.append(at)
+            at = follows[at]
+        if path:
+            put(path, None)
+    made = pd.DataFrame(out, columns=["id", "head", "place", "goes_on", "size"])
+    return made.astype({"goes_on": "Int64"})
 
 
 def ranked(edges: DataFrame, after: DataFrame) -> DataFrame:
     """(id, ring, turn, place) of edges (g, id, x1, y1, ...): order by turn, then place, goes round a ring once."""
     sizes = edges.groupBy("g").agg(F.count("*").alias("n"), F.min("x1").alias("left"), F.min("y1").alias("down"), F.greatest(F.max("x1") - F.min("x1"), F.max("y1") - F.min("y1")).alias("reach"))
-    side = F.greatest(F.col("reach") / F.ceil(F.sqrt(F.col("n") / TILE)), F.lit(1e-300))
+    # A little over its share, so that the last vertex is no tile of its own.
+    side = F.greatest(F.col("reach") / F.ceil(F.sqrt(F.col("n") / TILE)) * (1 + 1e-9), F.lit(1e-300))
     tile = F.xxhash64("g", F.floor((F.col("x1") - F.col("left")) / side), F.floor((F.col("y1") - F.col("down")) / side))
-    tiled = edges.join(sizes, "g").select("id", tile.alias("tile"))
+    tiled = edges.join(sizes, "g").select("id", tile.alias("tile"), "x1", "y1")
     walked = tiled.join(after, "id").groupBy("tile").applyInPandas(_walked, "id long, head long, place long, goes_on long, size long")
     walked = stored(walked)
     chains = walked.where("place = 0 AND goes_on IS NOT NULL").select("head", "goes_on", "size")

@@ -136,7 +136,10 @@ def crosswalk(metadata: DataFrame, observations: Sequence[DataFrame]) -> DataFra
 def concept_facts(
     observations: DataFrame, cross: DataFrame, geo_key: str, stage_to: str | None = None
 ) -> FanOut:
-    """One wide fact per concept of the newest dictionary vintage, keyed (geo, year)."""
+    """One wide fact per concept of the newest dictionary vintage, keyed (geo, year).
+
+    With ``stage_to`` all of them are made and written there at once.
+    """
     naming = joins.latest_only(cross, "year").select(
         "variable", F.col("label_clean").alias("label"), "table_name"
     )
@@ -147,7 +150,8 @@ def concept_facts(
         "estimate",
         "moe",
     )
-    return reshape.fan_out(keyed, naming, [geo_key, "year_key"], stage_to=stage_to)
+    keys = [geo_key, "year_key"]
+    return reshape.fan_out(keyed, naming, keys) if stage_to is None else reshape.fan_out_at_once(keyed, naming, keys, stage_to)
 
 
 def town_dimension(place_observations: DataFrame) -> DataFrame:

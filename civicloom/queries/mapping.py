@@ -43,7 +43,7 @@ def cell_shapes(t):
 @query(OUTLINE_SQL)
 def outline_measures(t):
     """Area and perimeter of each region straight from the surviving edges."""
-    return geo.outline_measures(cell_shapes(t), "region", "geometry").select(
+    return geo.outline_measures(cell_shapes(t), "region", "geometry", noded=True).select(
         "region", "area", "perimeter"
     )
 
@@ -51,8 +51,8 @@ def outline_measures(t):
 @query(OUTLINE_SQL)
 def dissolve_polygons(t):
     """Union per region as GeoJSON text, measured again from that text."""
-    union = geo.dissolve(cell_shapes(t), "region", "geometry")
-    return geo.outline_measures(union, "region", "geometry").select("region", "area", "perimeter")
+    union = geo.dissolve(cell_shapes(t), "region", "geometry", noded=True)
+    return geo.outline_measures(union, "region", "geometry", noded=True).select("region", "area", "perimeter")
 
 
 # Bricks three wide and two apart, odd rows moved by one: neighbours in a row overlap, and

@@ -141,6 +141,15 @@ def concept_fan_out_staged(t):
     return _described(made.tables)
 
 
+@query(FAN_OUT_SQL)
+def concept_fan_out_at_once(t):
+    """All wide tables by one aggregation and one write."""
+    made = reshape.fan_out_at_once(order_observations(t), _naming(t), ["geoid", "vintage_year"], scratch_path(t.spark, "wide"))
+    if made.skipped != ["fact_never_published"]:
+        raise AssertionError(f"unexpected empty concepts: {made.skipped}")
+    return _described(made.tables)
+
+
 @query(
     """
     SELECT user_id, CAST(max(ts) AS DATE) AS last_day, max(CASE WHEN event_type = 'click' THEN value END) AS click_top,

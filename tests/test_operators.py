@@ -62,14 +62,34 @@ def test_fan_out_names_tables_and_reports_empty_ones(spark, rows, tmp_path):
         [("A_1", "total", "fact_a"), ("A_2", "male", "fact_a"), ("B_1", "total", "fact_b"), ("C_1", "x", "fact_c")],
         "variable string, label string, table_name string",
     )
-    for stage in (None, str(tmp_path / "stage")):
-        made = reshape.fan_out(observations, crosswalk, ["geo", "year"], stage_to=stage)
+    keys = ["geo", "year"]
+    for made in (
+        reshape.fan_out(observations, crosswalk, keys),
+        reshape.fan_out(observations, crosswalk, keys, stage_to=str(tmp_path / "stage")),
+        reshape.fan_out_at_once(observations, crosswalk, keys, str(tmp_path / "wide")),
+    ):
         assert sorted(made.tables) == ["fact_a", "fact_b"] and made.skipped == ["fact_c"]
         assert made.tables["fact_a"].columns == ["geo", "year", "male", "total", "male_moe", "total_moe"]
         assert rows(made.tables["fact_a"]) == [("g", 1, 2.0, 1.0, 0.2, 0.1)]
         assert rows(made.tables["fact_b"]) == [("g", 2, 3.0, 0.3)]
 
 
+def test_fan_out_takes_as_many_jobs_for_any_number_of_concepts(spark, tmp_path):
+    jobs, counts = spark.sparkContext.statusTracker(), []
+    for n in (2, 12):
+        codes = [(f"C{k}_{i}", f"line {i}", f"fact_{k}") for k in range(n) for i in range(1 + k % 3)]
+        crosswalk = spark.createDataFrame(codes, "variable string, label string, table_name string")
+        seen = [(f"g{g}", y, c, float(g * y), None) for g in range(3) for y in (1, 2) for c, *_ in codes]
+        observations = spark.createDataFrame(seen, "geo string, year int, variable string, estimate double, moe double")
+        spark.sparkContext.setJobGroup(f"fan-{n}", "")
+        made = reshape.fan_out_at_once(observations, crosswalk, ["geo", "year"], str(tmp_path / f"w{n}"))
+        counts.append(len(jobs.getJobIdsForGroup(f"fan-{n}")))
+        spark.sparkContext.setJobGroup("rest", "")
+        assert len(made.tables) == n and all(df.count() == 6 for df in made.tables.values())
+        assert made.tables["fact_1"].columns == ["geo", "year", "line 0", "line 1", "line 0_moe", "line 1_moe"]
+    assert counts[0] == counts[1]
+
+
 def test_constant_dimension_checks_for_one_row(spark, rows):
     fact = spark.range(2)
     dim = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "k int, name string")
