@@ -260,10 +260,8 @@ def _cut_out(table: pa.Table, known: pa.Table, least: int, bits: int, parts: int
     place_at = np.concatenate([[0], np.cumsum(counts)])
     places, holders = start[order[mine]].astype("<u4"), number[order[mine]].astype("<u4")
     done = order[~mine]
-    done_part, done_numbers, done_starts, done_lengths = part[done], number[done].astype("<u4"), start[done].astype("<u4"), length[done].astype("<u4")
     own_parts = np.unique(part)
     lo, hi = np.searchsorted(part[heads], own_parts), np.searchsorted(part[heads], own_parts, side="right")
-    dlo, dhi = np.searchsorted(done_part, own_parts), np.searchsorted(done_part, own_parts, side="right")
     short, owners = length[heads].astype(np.uint8), ids[number[heads]]
     rows = [
         own_parts.tolist(),
@@ -274,10 +272,12 @@ def _cut_out(table: pa.Table, known: pa.Table, least: int, bits: int, parts: int
         [counts[a:b].astype("<u4").tobytes() for a, b in zip(lo, hi)],
         [holders[place_at[a] : place_at[b]].tobytes() for a, b in zip(lo, hi)],
         [places[place_at[a] : place_at[b]].tobytes() for a, b in zip(lo, hi)],
-        [done_numbers[a:b].tobytes() for a, b in zip(dlo, dhi)],
-        [done_starts[a:b].tobytes() for a, b in zip(dlo, dhi)],
-        [done_lengths[a:b].tobytes() for a, b in zip(dlo, dhi)],
+        *([b""] * len(own_parts) for _ in range(3)),
     ]
+    if len(done):  # settled: a row of its own, so no part gathers the places of a passage that is everywhere
+        settled = [v.astype("<u4").tobytes() for v in (number[done], start[done], length[done])]
+        for row, value in zip(rows, [-1 - table["bucket"][0].as_py(), table["bucket"][0].as_py(), *[b""] * 6, *settled]):
+            row.append(value)
     return pa.table([pa.array(r, f.type) for r, f in zip(rows, schema)], schema=schema)
 
 
@@ -290,6 +290,8 @@ def _judge(table: pa.Table, least: int) -> pa.Table:
     def joined(column: str, kind: str) -> np.ndarray:
         return np.frombuffer(b"".join(table[column].to_pylist()), kind)
 
+    if table["part"][0].as_py() < 0:
+        return pa.table([table[c] for c in ("bucket", "done_numbers", "done_starts", "done_lengths")], names=["bucket", "numbers", "starts", "lengths"])
     buckets = table["bucket"].to_numpy()
     per_row = np.array([len(x) for x in table["lengths"].to_pylist()])
     data, length = joined("data", "u1"), joined("lengths", "u1").astype(np.int64)
@@ -325,11 +327,10 @@ def _judge(table: pa.Table, least: int) -> pa.Table:
     runs = np.diff(run_at)[group[item]] * ~whole
     again = np.repeat(np.arange(len(item)), runs)
     run = np.arange(len(again)) - np.repeat(np.cumsum(runs) - runs, runs) + run_at[:-1][group[item[again]]]
-    done = [np.frombuffer(x, "<u4") for x in table["done_numbers"].to_pylist()]
-    out_bucket = np.concatenate([bucket[item[whole]], bucket[item[again]], np.repeat(buckets, [len(d) for d in done])])
-    out_number = np.concatenate([numbers[whole], numbers[again], *done])
-    out_start = np.concatenate([starts[whole], starts[again] + run_start[run], joined("done_starts", "<u4")])
-    out_length = np.concatenate([length[item[whole]], run_length[run], joined("done_lengths", "<u4")])
+    out_bucket = np.concatenate([bucket[item[whole]], bucket[item[again]]])
+    out_number = np.concatenate([numbers[whole], numbers[again]])
+    out_start = np.concatenate([starts[whole], starts[again] + run_start[run]])
+    out_length = np.concatenate([length[item[whole]], run_length[run]])
     order = np.argsort(out_bucket, kind="stable")
     own = np.unique(out_bucket)
     lo, hi = np.searchsorted(out_bucket[order], own), np.searchsorted(out_bucket[order], own, side="right")
