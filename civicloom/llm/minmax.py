@@ -2,8 +2,8 @@
 
 Each permutation of the shingle space gives two signature values, its minimum and its
 maximum over a document's shingles, so n values cost n / 2 hash evaluations.  Bands of
-three minima and three maxima of other permutations find candidates, the whole signature
-drops hopeless ones, and full shingle sets confirm the rest.
+the minima and maxima of two permutations find candidates, the whole signature drops
+hopeless ones, and full shingle sets confirm the rest.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from civicloom.llm.common import Trees, components, forget, merged, mix, once, s
 #: Permutations of the signature, and of the finer one for documents that have candidates.
 PERMUTATIONS = 96
 FINE = 256
-#: Bands of ROWS minima and ROWS maxima: sets of similarity 0.8 meet with probability 0.9999.
+#: Bands of ROWS minima and as many maxima of the same permutations: sets of similarity 0.8 meet with probability 0.9999.
 BANDS = 18
 ROWS = 2
 _seed = np.random.default_rng(20240501)
@@ -78,10 +78,10 @@ def signature(h: np.ndarray, n: int = PERMUTATIONS) -> tuple[np.ndarray, np.ndar
 
 
 def band_keys(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """One key per band, from ROWS minima and as many maxima of other permutations."""
+    """One key per band, from both ends of ROWS permutations."""
     used = BANDS * ROWS
     key = np.arange(BANDS, dtype=np.uint64)
-    for values in (low[:used], high[used : 2 * used]):
+    for values in (low[:used], high[:used]):
         for r in range(ROWS):
             key = mix(key + values.reshape(BANDS, ROWS)[:, r].astype(np.uint64) + np.uint64(1))
     return key.view(np.int64)
