@@ -156,7 +156,7 @@ def land_everything(root: Path) -> dict[str, str]:
         "housing_wage": write_csv(root / "wage.csv", ["occupation", "hourly_wage", "employment", "category"], [["Wage Needed", 35.08, "NA", "Benchmark"], ["Teacher", 25.5, 1200, "Occupation"]]),
         "rent_by_bedroom": write_csv(root / "fmr.csv", ["region", "year", "bedrooms", "fmr"], [[r, y, b, 900 + i] for r in ("Charlotte-Concord-Gastonia", "Anson") for y in (2024, 2025) for i, b in enumerate(bedrooms[:2])]),
         "mh_su_facilities": write_csv(root / "mh.csv", ["name1", "street1", "street2", "city", "state", "zip", "county", "phone", "website", "latitude", "longitude", "type_facility", "payment_accepted", "services"], [["A", "1 St", "", "C", "NC", "28000", "Mecklenburg", "1", "w", "35.1", "x", "MH", "cash", "s"], ["B", "2 St", "", "C", "NC", "28001", "", "1", "w", "", "-80", "ZZ", "", ""]]),
-        "cdc_places": write_csv(root / "cdc.csv", ["Year", "StateAbbr", "LocationName", "LocationID", "DataSource", "CategoryID", "MeasureID", "DataValueTypeID", "Measure", "Short_Question_Text", "Data_Value", "Low_Confidence_Limit", "High_Confidence_Limit", "TotalPopulation"], [["2023", "NC", "Davidson", "37001", "B", c, m, t, "m", "q", "12.5", "1", "2", "15,106"] for c, m in (("HLTHOUT", "ARTHRITIS"), ("HLTHOUT", "CANCER"), ("PREVENT", "DENTAL"), ("RISKBEH", "CSMOKING"), ("SOCLNEED", "FOODSTAMP")) for t in ("AgeAdjPrv", "CrdPrv", "Other")]),
+        "cdc_places": write_csv(root / "cdc.csv", ["Year", "StateAbbr", "LocationName", "LocationID", "DataSource", "CategoryID", "MeasureID", "DataValueTypeID", "Measure", "Short_Question_Text", "Data_Value", "Low_Confidence_Limit", "High_Confidence_Limit", "TotalPopulation"], [["2023", "NC", "Davidson", "37001", "B", c, m, t, "m", "q", "12.5", "1", "2", "15,106"] for c, m in (("HLTHOUT", "ARTHRITIS"), ("HLTHOUT", "CANCER"), ("PREVENT", "DENTAL"), ("RISKBEH", "CSMOKING"), ("SOCLNEED", "FOODSTAMP"), ("HLTHSTAT", "GHLTH"), ("DISABLT", "HEARING")) for t in ("AgeAdjPrv", "CrdPrv", "Other")]),
         **_schools(root / "schools"),
     }
     return inputs
