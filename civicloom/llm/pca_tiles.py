@@ -11,6 +11,7 @@ as given.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -101,9 +102,11 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
     """(id, n_links, component_id, kept), one row per input row.
 
     Vectors of one label link where their cosine in double precision is at least ``least``.
-    Null labels and vectors, vectors with null or non-finite components, zero vectors and
-    vectors of another length than most link with nothing.  Equal vectors of one label
-    link and go on as one, with their number.  A null id counts as a link of others but is
+    Null labels and vectors, vectors with null or non-finite components and zero vectors
+    link with nothing; a vector links with those of its own length only, and every length is
+    gone through on its own.  Equal vectors of one label link and go on as one, with their
+    number.  Vectors are first scaled by a power of two to a largest component from 1 to 2,
+    which changes no cosine, so that tiny and huge ones keep theirs.  A null id counts as a link of others but is
     kept, without a component.  Other columns are not carried.
 
     Tiles hold ``tile_rows`` distinct vectors in the order of their cell on the first axes.
@@ -115,15 +118,22 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
     usable = F.coalesce(F.col("label").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0), F.lit(False))
     # -0.0 and 0.0 are one value.
     rows = rows.withColumn("v", F.when(usable, F.transform("v", lambda x: x + F.lit(0.0))))
-    real = rows.where("v IS NOT NULL")
-    widths = real.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    alone = rows.select(F.col("id").alias(id_column), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    if widths is None:
-        return alone
-    width = widths["w"]
-    real = real.where(F.size("v") == width)
+    largest = F.array_max(F.transform("v", F.abs))
+    rows = rows.withColumn("v", F.transform("v", lambda x: x / F.pow(F.lit(2.0), F.floor(F.log2(largest)))))
+    rows = staged(rows.withColumn("w", F.size("v")), "rows")
+    widths = [r["w"] for r in rows.where("v IS NOT NULL").groupBy("w").count().orderBy("w").collect()]
+    parts = [_of_width(rows.where(F.col("w") == w), w, least, tile_rows) for w in widths]
+    alone = rows.where("v IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    whole = reduce(DataFrame.union, parts, alone)
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    return whole.select(F.col("id").alias(id_column), "n_links", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+def _of_width(rows: DataFrame, width: int, least: float, tile_rows: int) -> DataFrame:
+    """(id, n_links, component) of usable ``rows`` (id, label, v) of one length."""
+    vectors = rows
     hashes = [F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2")]
-    real = real.select("id", "label", "v", *hashes)
+    real = rows.select("id", "label", "v", *hashes)
     groups = staged(real.groupBy("label", "h1", "h2").agg(F.coalesce(F.min("id"), F.lit((1 << 63) - 1)).alias("rep"), F.count("*").alias("times"), F.first("v").alias("v")), "vectors")
     values, axes = np.linalg.eigh(_moments(groups, width))
     axes = axes[:, np.argsort(-values, kind="stable")]
@@ -195,12 +205,5 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
     classes = components(tree.select(F.col("p").alias("a"), F.col("q").alias("b")))
     known = names.join(counts, "name", "left").join(classes.withColumnRenamed("id", "rep"), "rep", "left")
     known = known.select("label", "h1", "h2", (F.coalesce("others", F.lit(0)) + F.col("times") - 1).alias("links"), F.coalesce("component", "rep").alias("c"))
-    keyed = rows.select("id", F.when(F.size("v") == width, F.col("label")).alias("label"), *hashes)
-    whole = keyed.join(known, ["label", "h1", "h2"], "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("c", "id"))
-    return whole.select(
-        F.col("id").alias(id_column),
-        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-    )
+    whole = rows.select("id", "label", *hashes).join(known, ["label", "h1", "h2"])
+    return whole.select("id", F.col("links").cast("long").alias("n_links"), F.col("c").alias("component"))

@@ -84,7 +84,7 @@ def odd(spark):
 def test_each_odd_row_has_its_own_toxicity_verdict(spark, odd, monkeypatch, tmp_path):
     rows, table = odd
     example = toxicity.example
-    chain = toxicity.fit([example({"good"}, False, toxicity.CATEGORIES), example({"idiot"}, True, toxicity.CATEGORIES)] * 6, (*toxicity.CATEGORIES, toxicity.FINAL))
+    chain = toxicity.fit([(example({"good"}), False), (example({"idiot"}), True)] * 6)
     monkeypatch.setattr(toxicity, "train", lambda *_: chain)
     table.selectExpr("doc_id", "1 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
     left = {(r["name"], r["doc_id"], r["text"]) for r in corpus_pipeline.drop_toxic(spark, table, str(tmp_path)).collect()}
