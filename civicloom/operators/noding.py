@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicloom.session import stored
+from civicloom.session import stored, stored_with
 
 #: Decimals that tell points apart: a tenth of a millimetre in degrees.
 DIGITS = 9
@@ -152,8 +152,8 @@ def noded(edges: DataFrame) -> DataFrame:
     """``edges`` (g, ax, ay, bx, by, times) cut until none meets another between its ends."""
     edges = stored(edges)
     while True:
-        meetings = stored(_meetings(edges))
-        if meetings.isEmpty():
+        meetings, found = stored_with(_meetings(edges), F.count(F.lit(1)))
+        if not found:
             return edges
         cut = edges.join(meetings.select("g", *EDGE).distinct(), ["g", *EDGE])
         whole = edges.join(meetings.select("g", *EDGE).distinct(), ["g", *EDGE], "left_anti")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicloom.operators.noding import spread
-from civicloom.session import stored
+from civicloom.session import stored, stored_with
 
 #: Edges of a group that one task walks; more are cut into tiles of about as many.
 TILE = 1 << 16
@@ -90,9 +90,9 @@ def ranked(edges: DataFrame, after: DataFrame) -> DataFrame:
     tile = F.xxhash64("g", F.floor((F.col("x1") - F.col("left")) / side), F.floor((F.col("y1") - F.col("down")) / side))
     tiled = edges.join(sizes, "g").select("id", tile.alias("tile"), "x1", "y1")
     walked = tiled.join(after, "id").groupBy("tile").applyInPandas(_walked, "id long, head long, place long, goes_on long, size long")
-    walked = stored(walked)
+    walked, leave = stored_with(walked, F.count("goes_on"))
     chains = walked.where("place = 0 AND goes_on IS NOT NULL").select("head", "goes_on", "size")
-    if chains.isEmpty():  # no ring leaves its tile
+    if not leave:  # no ring leaves its tile
         return walked.select("id", F.col("head").alias("ring"), F.lit(None).cast("long").alias("turn"), "place")
     state = stored(chains.select("head", F.col("goes_on").alias("next"), F.col("head").alias("low"), F.lit(0).cast("long").alias("ahead"), F.col("size").alias("span")))
     # low: the least chain among the next 2**k, ahead: edges to its start, span: edges of all of them.
@@ -100,7 +100,7 @@ def ranked(edges: DataFrame, after: DataFrame) -> DataFrame:
         then = state.select(F.col("head").alias("next"), F.col("next").alias("next2"), F.col("low").alias("low2"), F.col("ahead").alias("ahead2"), F.col("span").alias("span2"))
         joined = state.join(then, "next")
         less = F.col("low2") < F.col("low")
-        state = stored(
+        state, moved = stored_with(
             joined.select(
                 "head",
                 F.col("next2").alias("next"),
@@ -108,9 +108,10 @@ def ranked(edges: DataFrame, after: DataFrame) -> DataFrame:
                 F.when(less, F.col("span") + F.col("ahead2")).otherwise(F.col("ahead")).alias("ahead"),
                 (F.col("span") + F.col("span2")).alias("span"),
                 less.alias("less"),
-            )
+            ),
+            F.count(F.when(F.col("less"), 1)),
         )
-        if state.where("less").isEmpty():
+        if not moved:
             break
     places = state.select("head", F.col("low").alias("ring"), F.when(F.col("ahead") == 0, F.lit(None).cast("long")).otherwise(-F.col("ahead")).alias("turn"))
     return walked.join(places, "head", "left").select("id", F.coalesce("ring", "head").alias("ring"), "turn", "place")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: Settings every civicloom job wants.  Nothing here depends on the data size:
 #: AQE sizes shuffle partitions, splits skewed join partitions and turns a
@@ -69,6 +69,13 @@ def stored(df: DataFrame, label: str = "stored") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_with(df: DataFrame, aggregate: Column, label: str = "stored") -> tuple[DataFrame, object]:
+    """``stored``, and an aggregate over the rows that is taken while they are written."""
+    seen = Observation()
+    out = stored(df.observe(seen, aggregate.alias("value")), label)
+    return out, seen.get["value"]
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on shared storage and cut its lineage.
 
