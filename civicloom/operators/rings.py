@@ -82,8 +82,11 @@ def _walked(part: pd.DataFrame) -> pd.DataFrame:
     return made.astype({"goes_on": "Int64"})
 
 
-def ranked(edges: DataFrame, after: DataFrame) -> DataFrame:
-    """(id, ring, turn, place) of edges (g, id, x1, y1, ...): order by turn, then place, goes round a ring once."""
+def ranked(edges: DataFrame, after: DataFrame) -> tuple[DataFrame, bool]:
+    """(id, ring, turn, place) of edges (g, id, x1, y1, ...): order by turn, then place, goes round a ring once.
+
+    And whether every ring closed inside its tile, where it was cut to simple ones.
+    """
     sizes = edges.groupBy("g").agg(F.count("*").alias("n"), F.min("x1").alias("left"), F.min("y1").alias("down"), F.greatest(F.max("x1") - F.min("x1"), F.max("y1") - F.min("y1")).alias("reach"))
     # A little over its share, so that the last vertex is no tile of its own.
     side = F.greatest(F.col("reach") / F.ceil(F.sqrt(F.col("n") / TILE)) * (1 + 1e-9), F.lit(1e-300))
@@ -93,7 +96,7 @@ def ranked(edges: DataFrame, after: DataFrame) -> DataFrame:
     walked, leave = stored_with(walked, F.count("goes_on"))
     chains = walked.where("place = 0 AND goes_on IS NOT NULL").select("head", "goes_on", "size")
     if not leave:  # no ring leaves its tile
-        return walked.select("id", F.col("head").alias("ring"), F.lit(None).cast("long").alias("turn"), "place")
+        return walked.select("id", F.col("head").alias("ring"), F.lit(None).cast("long").alias("turn"), "place"), True
     state = stored(chains.select("head", F.col("goes_on").alias("next"), F.col("head").alias("low"), F.lit(0).cast("long").alias("ahead"), F.col("size").alias("span")))
     # low: the least chain among the next 2**k, ahead: edges to its start, span: edges of all of them.
     while True:
@@ -114,13 +117,16 @@ def ranked(edges: DataFrame, after: DataFrame) -> DataFrame:
         if not moved:
             break
     places = state.select("head", F.col("low").alias("ring"), F.when(F.col("ahead") == 0, F.lit(None).cast("long")).otherwise(-F.col("ahead")).alias("turn"))
-    return walked.join(places, "head", "left").select("id", F.coalesce("ring", "head").alias("ring"), "turn", "place")
+    return walked.join(places, "head", "left").select("id", F.coalesce("ring", "head").alias("ring"), "turn", "place"), False
 
 
 def simple(edges: DataFrame) -> DataFrame:
     """``edges`` (g, id, x1, y1, x2, y2) with ring, turn and place of rings that visit no vertex twice."""
     after = following(edges)
-    placed = stored(edges.join(ranked(edges, after), "id"))
+    turns, closed = ranked(edges, after)
+    placed = stored(edges.join(turns, "id"))
+    if closed:
+        return placed
     order = Window.partitionBy("g", "ring", "x1", "y1").orderBy("turn", "place")
     again = placed.groupBy("g", "ring", "x1", "y1").count().where("count > 1")
     if again.isEmpty():
@@ -130,7 +136,8 @@ def simple(edges: DataFrame) -> DataFrame:
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     visits = placed.join(came, "id").select("id", F.coalesce(F.lead("came").over(order), F.first("came").over(whole)).alias("came"))
     again = visits.select(F.col("came").alias("id"), F.col("id").alias("next"))
-    return stored(edges.join(ranked(edges, stored(again)), "id"))
+    turns, _ = ranked(edges, stored(again))
+    return stored(edges.join(turns, "id"))
 
 
 def _closed(points: Column) -> Column:
@@ -152,8 +159,13 @@ def polygons(edges: DataFrame) -> DataFrame:
     doubled = F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"))
     spot = F.min(F.struct("x1", "y1", "x2", "y2")).alias("spot")
     points = F.transform(F.sort_array(F.collect_list(F.struct("turn", "place", "x1", "y1"))), lambda s: F.array(s["x1"], s["y1"]))
-    rings = stored(placed.groupBy("g", "ring").agg(doubled.alias("doubled"), spot, points.alias("points")).withColumn("points", _closed(F.col("points"))))
+    rings = placed.groupBy("g", "ring").agg(doubled.alias("doubled"), spot, points.alias("points")).withColumn("points", _closed(F.col("points")))
+    rings, n_holes = stored_with(rings, F.count(F.when(F.col("doubled") < 0, 1)))
     outers = rings.where("doubled > 0")
+    listed = F.sort_array(F.collect_list(F.struct("doubled", "shape")))
+    if not n_holes:
+        shapes = outers.select("g", "doubled", F.array("points").alias("shape"))
+        return shapes.groupBy("g").agg(F.transform(listed, lambda s: s["shape"]).alias("polygons"))
     holes = rings.where("doubled < 0")
 
     reach = edges.groupBy("g").agg(F.min("y1").alias("down"), ((F.max("y1") - F.min("y1")) / F.ceil(F.sqrt(F.count("*")))).alias("side"))
@@ -173,5 +185,4 @@ def polygons(edges: DataFrame) -> DataFrame:
     lost = F.raise_error(F.lit("hole outside every ring: the members are no simple polygons")).cast("long")
     owned = owned.select(F.coalesce("owner", lost).alias("ring"), F.col("points").alias("hole")).groupBy("ring").agg(F.sort_array(F.collect_list("hole")).alias("holes"))
     shapes = outers.join(owned, "ring", "left").select("g", "doubled", F.concat(F.array("points"), F.coalesce("holes", F.array().cast("array<array<array<double>>>"))).alias("shape"))
-    listed = F.sort_array(F.collect_list(F.struct("doubled", "shape")))
     return shapes.groupBy("g").agg(F.transform(listed, lambda s: s["shape"]).alias("polygons"))
