@@ -86,14 +86,15 @@ def grouped(rows: DataFrame, least: int) -> dict[str, str]:
     return {t: f"{k:09d}" for k, r in enumerate(sorted(groups, key=lambda r: (r["n"], r["own"]))) for t in r["own"]}
 
 
-def mined(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8, most_rows: int = 500_000) -> tuple[DataFrame, dict[str, str]]:
+def mined(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.8, most_rows: int = 500_000, least_rows: int = 1) -> tuple[DataFrame, dict[str, str]]:
     """Rules (condition, label, confidence, support) from rows (tokens, label), and the groups of tokens.
 
     A condition names groups; it stands for every choice of one token or more from each.
     The model is fitted on at most ``most_rows`` labelled rows, those of the smallest
     hash of their tokens and a row number.  FP-growth gets all tokens of a row that have the
     support, by group, so tokens that always occur together cost no more than one.  The
-    support is the one given, however many rules come out.  No labelled row: no rule.
+    support is the one given, however many rules come out, but never under ``least_rows``
+    rows, as every set of tokens of one URL would be a rule.  Fewer labelled rows: no rule.
     """
     spark = labelled.sparkSession
     rows = labelled.where(F.col("label").isNotNull()).select(F.array_distinct("tokens").alias("tokens"), F.concat(F.lit("label="), "label").alias("label"))
@@ -103,8 +104,9 @@ def mined(labelled: DataFrame, min_support: float = 0.002, min_confidence: float
         rows = rows.where(F.abs(F.xxhash64(F.concat_ws(" ", "tokens"), F.monotonically_increasing_id())) <= int(share * (2**63 - 1)))
     rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "labelled")
     total = rows.count()
-    if not total:
+    if total < max(least_rows, 1):
         return spark.createDataFrame([], "condition array<string>, label string, confidence double, support double"), {}
+    min_support = max(min_support, least_rows / total)
     groups = grouped(rows, math.ceil(min_support * total))
     shared = spark.sparkContext.broadcast(groups)
 
@@ -193,20 +195,21 @@ def judged_by_join(pages: DataFrame, found: DataFrame, groups: dict[str, str]) -
     return pages.join(best, ["k1", "k2"], "left").withColumn("mined", verdict)
 
 
-def filter_urls(pages: DataFrame, rules: list[HostRule], id_column: str = "page_id", url_column: str = "url", most_rules: int = 20_000, **mining) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[HostRule], id_column: str = "page_id", url_column: str = "url", most_rules: int = 20_000, least_rows: int = 4, **mining) -> DataFrame:
     """(id, host, path, rule, verdict, confidence): one row per input row.
 
     Host rules label the URLs they fit, and those labels are what is mined: a mined rule
     judges the other URLs, ``allow`` where none holds.  A null URL or one without ``://``
     has an empty host and path and is allowed.  Up to ``most_rules`` mined rules are
-    broadcast, more are joined, with equal results.  Other columns are not carried.
+    broadcast, more are joined, with equal results.  A rule needs ``least_rows`` labelled
+    URLs as well as its support.  Other columns are not carried.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     cut = pages.select(pages[id_column].alias("id"), pages[url_column].alias("url"))
     cut = cut.select("id", host.alias("host"), path.alias("path"))
     name, verdict = matched(F.col("host"), F.col("path"), rules)
     cut = cut.select("id", "host", "path", name.alias("rule"), verdict.alias("label"), tokens_of(F.col("host"), F.col("path")).alias("tokens"))
-    found, groups = mined(cut, **mining)
+    found, groups = mined(cut, least_rows=least_rows, **mining)
     if found.limit(most_rules + 1).count() > most_rules:
         judged = judged_by_join(cut, found, groups)
     else:
