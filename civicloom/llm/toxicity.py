@@ -3,6 +3,8 @@
 Categories are predicted one after the other by linear models; each later model also
 sees the probabilities of the earlier ones.  For training these come from models that
 have not seen the row (out of fold), for prediction from the models fitted on all folds.
+The labels know one category, ``toxic``, which comes last; the earlier ones are groups of
+toxic rows that share their features, found among the training rows.
 """
 
 from __future__ import annotations
@@ -19,18 +21,15 @@ from pyspark.sql import functions as F
 
 from civicloom.llm.common import forget, slices, staged
 
-#: Category -> word stems; a labelled toxic row belongs to a category where one of its
-#: words starts with a stem.  The last category, ``toxic``, is the label itself.
-CATEGORIES = {
-    "insult": ("idiot", "moron", "loser", "clown", "stupid"),
-    "contempt": ("worthless", "pathetic", "disgusting", "trash", "scum"),
-}
 FINAL = "toxic"
+#: Groups of toxic rows that come before it.
+GROUPS = 2
 PREFIXES = (4, 5, 6)
 WORD = re.compile(r"[^\W\d_]+")
 REMEMBERED = 200_000
 #: Features of a chain, and the labelled rows that must hold one.
 MOST_FEATURES = 4096
+GROUPED_BY = 1024
 LEAST_ROWS = 3
 
 
@@ -39,11 +38,50 @@ def cut(word: str) -> list[int]:
     return [crc32(f.encode()) for f in ("=" + word, *(word[:n] for n in PREFIXES if len(word) >= n))]
 
 
-def example(words: set[str], toxic: bool, categories: dict[str, tuple[str, ...]]) -> tuple[np.ndarray, list[bool]]:
-    """Features of a labelled row, and whether it belongs to each category, the last being the label."""
-    features = {f for w in words for f in cut(w)}
-    truth = [toxic and any(w.startswith(stems) for w in words) for stems in categories.values()]
-    return np.array(sorted(features), np.uint32), [*truth, toxic]
+def example(words: set[str]) -> np.ndarray:
+    """Features of a row."""
+    return np.array(sorted({f for w in words for f in cut(w)}), np.uint32)
+
+
+def grouped(rows: list[np.ndarray], toxic: np.ndarray, n: int, k: int = GROUPS, rounds: int = 25) -> np.ndarray:
+    """(row, group): to which of ``k`` groups a toxic row belongs, by the cosine of its features with their mean.
+
+    ``rows`` are places of features under ``n``.  The GROUPED_BY features that tell most
+    count, each by how much more often toxic rows have it.  The first mean is the row nearest to all, the next the row that
+    is farthest from those before, so the groups depend on the rows alone; no row
+    belongs to a group where there are fewer toxic rows than two a group.
+    """
+    out = np.zeros((len(rows), k), bool)
+    own = np.flatnonzero(toxic)
+    if len(own) < 2 * k or not n:
+        return out
+    flat = np.concatenate([rows[i] for i in own])
+    held = np.repeat(np.arange(len(own)), [len(rows[i]) for i in own])
+    clean = [rows[i] for i in np.flatnonzero(~toxic)]
+    other = np.bincount(np.concatenate([*clean, np.zeros(0, np.int64)]).astype(np.int64), minlength=n)
+    share = (np.bincount(flat, minlength=n) + 0.5) / (len(own) + 1)
+    weight = np.maximum(np.log(share) - np.log((other + 0.5) / (len(clean) + 1)), 0.0)
+    best = np.argsort(-weight * np.sqrt(share), kind="stable")[:GROUPED_BY]
+    column = np.full(n, -1)
+    column[best] = np.arange(len(best))
+    held, flat = held[column[flat] >= 0], flat[column[flat] >= 0]
+    x = np.zeros((len(own), len(best)), np.float32)
+    x[held, column[flat]] = weight[flat]
+    size = np.linalg.norm(x, axis=1, keepdims=True)
+    x = np.divide(x, size, out=x, where=size > 0)
+    chosen = [int(np.argmax(x @ x.mean(axis=0)))]
+    while len(chosen) < k:
+        chosen.append(int(np.argmin((x @ x[chosen].T).max(axis=1))))
+    means = x[chosen]
+    for _ in range(rounds):
+        group = np.argmax(x @ means.T, axis=1)
+        new = np.array([x[group == g].mean(axis=0) if (group == g).any() else means[g] for g in range(k)])
+        new /= np.maximum(np.linalg.norm(new, axis=1, keepdims=True), 1e-12)
+        if np.allclose(new, means, atol=1e-6):
+            break
+        means = new
+    out[own, group] = True
+    return out
 
 
 @dataclass(frozen=True)
@@ -91,14 +129,15 @@ def _fit(flat: np.ndarray, owner: np.ndarray, extra: np.ndarray, y: np.ndarray,
     return w
 
 
-def fit(rows: list[tuple[np.ndarray, list[bool]]], names: tuple[str, ...], folds: int = 3, most_features: int = MOST_FEATURES, least_rows: int = LEAST_ROWS, ridge: float = 1.0) -> Chain:
-    """The chain from rows of ``example``; row i is in fold i mod ``folds``.
+def fit(rows: list[tuple[np.ndarray, bool]], groups: int = GROUPS, folds: int = 3, most_features: int = MOST_FEATURES, least_rows: int = LEAST_ROWS, ridge: float = 1.0) -> Chain:
+    """The chain from rows (features, toxic); row i is in fold i mod ``folds``.
 
     Features are those in ``least_rows`` rows or more whose share differs most between
     toxic and other rows.  The threshold on the last probability is the one that makes the
     fewest out-of-fold errors.  Without rows of both labels nothing is toxic.
     """
-    y = np.array([t[-1] for _, t in rows], float)
+    names = (*(f"group_{g + 1}" for g in range(groups)), FINAL)
+    y = np.array([t for _, t in rows], float)
     if not len(rows) or not 0 < y.sum() < len(y):
         return Chain(names, {}, [np.append(np.zeros(i), -30.0) for i in range(len(names))], 0.5)
     flat = np.concatenate([f for f, _ in rows])
@@ -115,7 +154,9 @@ def fit(rows: list[tuple[np.ndarray, list[bool]]], names: tuple[str, ...], folds
     place = np.minimum(np.searchsorted(chosen, flat), max(len(chosen) - 1, 0))
     hit = chosen[place] == flat if len(chosen) else np.zeros(len(flat), bool)
     flat, owner = place[hit], owner[hit].astype(np.int64)
-    truth = [np.array([t[i] for _, t in rows], float) for i in range(len(names))]
+    lengths = np.bincount(owner, minlength=len(rows))
+    member = grouped(np.split(flat, np.cumsum(lengths)[:-1]), y > 0, len(features), groups)
+    truth = [*member.T.astype(float), y]
     fold = np.arange(len(rows)) % folds
     earlier = np.zeros((len(rows), 0))
     weights = []
@@ -141,7 +182,7 @@ def words_of(text: str | None) -> set[str]:
     return set(WORD.findall(text.lower())) if text else set()
 
 
-def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", most_rows: int = 16_000, categories: dict[str, tuple[str, ...]] = CATEGORIES) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", most_rows: int = 16_000, groups: int = GROUPS) -> Chain:
     """The chain from at most ``most_rows`` labelled documents, those whose ids have the smallest hash.
 
     ``most_rows`` bounds what the driver and the broadcast hold.  Rows without id or label
@@ -153,20 +194,20 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            own = [example(words_of(t), y > 0, categories) for t, y in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist())]
-            features, truth = [f.view(np.int32) for f, _ in own], [t for _, t in own]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(features, pa.list_(pa.int32())), pa.array(truth, pa.list_(pa.bool_()))], ["id", "features", "truth"])
+            features = [example(words_of(t)).view(np.int32) for t in batch.column(2).to_pylist()]
+            toxic = pa.array([y > 0 for y in batch.column(1).to_pylist()], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(features, pa.list_(pa.int32())), toxic], ["id", "features", "toxic"])
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [f.values.to_numpy() for f in batch.column(1)]
             kept = [f[np.isin(f, chosen.value)].tobytes() for f in own]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), batch.column(2)], ["id", "features", "truth"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), batch.column(2)], ["id", "features", "toxic"])
 
     # ``marks`` has most_rows rows at most: a proven bound, so texts are not shuffled.
     joined = texts.join(F.broadcast(marks), "id").select(F.col("id").cast("long").alias("id"), F.col("y").cast("int").alias("y"), "text")
-    sample = staged(joined.mapInArrow(run, "id long, features array<int>, truth array<boolean>").dropDuplicates(["id"]), "sample")
-    toxic = F.element_at("truth", -1).cast("int")
+    sample = staged(joined.mapInArrow(run, "id long, features array<int>, toxic boolean").dropDuplicates(["id"]), "sample")
+    toxic = F.col("toxic").cast("int")
     total = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum(toxic), F.lit(0)).alias("bad")).first()
     # What tells toxic rows from others is counted by Spark; the driver gets the best features and the rows cut to them.
     counts = sample.select(F.explode("features").alias("f"), toxic.alias("y")).groupBy("f").agg(F.count("*").alias("n"), F.sum("y").alias("bad"))
@@ -174,9 +215,9 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     rate = F.log((F.col("bad") + 0.5) / (total["bad"] + 1)) - F.log((F.col("n") - F.col("bad") + 0.5) / (clean + 1))
     best = counts.where(F.col("n") >= LEAST_ROWS).orderBy((F.abs(rate) * F.sqrt("n")).desc(), "f").limit(MOST_FEATURES)
     chosen = docs.sparkSession.sparkContext.broadcast(np.array([r["f"] for r in best.select("f").collect()], np.int32))
-    rows = sample.mapInArrow(reduced, "id long, features binary, truth array<boolean>").collect()
+    rows = sample.mapInArrow(reduced, "id long, features binary, toxic boolean").collect()
     rows.sort(key=lambda r: (r["id"] * 0x9E3779B97F4A7C15) % 2**64)
-    return fit([(np.frombuffer(r["features"], np.uint32), r["truth"]) for r in rows], (*categories, FINAL))
+    return fit([(np.frombuffer(r["features"], np.uint32), r["toxic"]) for r in rows], groups)
 
 
 def judge(model: Chain):
