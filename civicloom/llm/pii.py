@@ -255,18 +255,32 @@ def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     Strict forms always stay; other candidates stay where the classifier gives at least
     ``least``.  A null or empty text has no spans.  Spans are code points, end exclusive,
     by start and kind.  Candidates of all documents are staged, and only counts of vote
-    patterns (at most kinds x 4 x 3^labelers) reach the driver and the plan.
+    patterns (at most kinds x 4 x 3^labelers) reach the driver, and their probabilities the tasks.
     """
     marked = staged(label(docs, id_column, text_column), "spans")
     probability = probabilities(marked)
-    table = F.create_map(*[F.lit(v) for c, p in probability.items() for v in (c, p)]) if probability else None
+    shared = docs.sparkSession.sparkContext.broadcast((np.array(sorted(probability), np.int64), np.array([probability[c] for c in sorted(probability)])))
+    span = "struct<start:int, kind:int, end:int, strict:boolean, probability:double>"
 
-    def settled(s):
-        p = F.coalesce(table[s["code"]], F.lit(0.0)) if table is not None else F.lit(0.0)
-        return F.struct(s["start"], s["kind"], s["end"], s["strict"], p.alias("probability"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, chance = shared.value
+        for batch in batches:
+            column = batch.column(1)
+            spans, size = column.flatten(), column.value_lengths().to_numpy(zero_copy_only=False)
+            codes, strict = spans.field("code").to_numpy(), spans.field("strict").to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
+            p = np.where(known[at] == codes, chance[at], 0.0) if len(known) else np.zeros(len(codes))
+            keep = strict | (p >= least)
+            kept = np.bincount(np.repeat(np.arange(len(size)), size), keep, len(size)).astype(np.int64)
+            offsets = np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)
+            chosen = pa.array(keep)
+            fields = [spans.field(k).filter(chosen) for k in ("start", "kind", "end", "strict")] + [pa.array(p[keep])]
+            rows = pa.StructArray.from_arrays(fields, ["start", "kind", "end", "strict", "probability"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), rows)], ["id", "spans"])
 
-    scored = F.transform("spans", settled)
-    return marked.select(id_column, F.filter(scored, lambda s: s["strict"] | (s["probability"] >= least)).alias("spans"))
+    kind = docs.schema[id_column].dataType.simpleString()
+    narrow = marked.select(F.col(id_column).alias("id"), "spans")
+    return narrow.mapInArrow(run, f"id {kind}, spans array<{span}>").withColumnRenamed("id", id_column)
 
 
 def replaced(text: str, spans: list[tuple[int, int, int]]) -> str:

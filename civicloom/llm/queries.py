@@ -36,7 +36,7 @@ def op1_host_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def span_columns(found: DataFrame) -> list:
-    """n_email ..., base_sha256 and spans from the spans of ``pii.find``."""
+    """n_email ..., base_sha256, spans and n_added, the spans beyond the strict forms, from the spans of ``pii.find``."""
 
     def text(keep):
         kinds = F.array(*map(F.lit, pii.KINDS))
@@ -47,7 +47,8 @@ def span_columns(found: DataFrame) -> list:
         return F.size(F.filter("spans", lambda s: s["strict"] & (s["kind"] == k))).cast("long")
 
     counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
-    return [*counts, F.sha2(text(lambda s: s["strict"]), 256).alias("base_sha256"), text(lambda s: F.lit(True)).alias("spans")]
+    added = F.size(F.filter("spans", lambda s: ~s["strict"])).cast("long").alias("n_added")
+    return [*counts, F.sha2(text(lambda s: s["strict"]), 256).alias("base_sha256"), text(lambda s: F.lit(True)).alias("spans"), added]
 
 
 def op2_weak_pii(spark: SparkSession, folder: str) -> DataFrame:
