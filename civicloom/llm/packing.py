@@ -26,7 +26,7 @@ PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-\xf
 #: The vocabulary file's rule for words, and what it comes to on those characters in lower case.
 RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+")
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 REMEMBERED_CHARS = 48
 
 
@@ -117,7 +117,7 @@ def pack(docs: DataFrame, definition: str, limit: int = 4096, end_id: int = 2, i
         forget(besides=name)
         tokenizer, part = once(name, lambda: WordTokenizer(shared.value)), TaskContext.get().partitionId()
         next_of = [0] * limit.bit_length()
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             rows, starts, lengths, pieces, totals, sequences, buckets = [], [], [], [], [], [], []
             for row, raw in enumerate(tokenizer([t or "" for t in batch.column(1).to_pylist()])):
                 raw += end
