@@ -1,8 +1,8 @@
 """Quality rules judged by host: rule failures per domain, shrunk by an empirical beta prior.
 
 Everything is a DataFrame expression.  Repeated 3-word windows are found inside the row:
-each window's hash is packed with its position into one long, the array is sorted, and
-neighbours of equal hash are compared word by word.
+windows are sorted by their 64-bit hash and position, and neighbours of equal hash are
+compared word by word.
 """
 
 from __future__ import annotations
@@ -30,38 +30,26 @@ def repeated_words(words: Column, width: int = 3) -> Column:
 
     def covered(w: Column) -> Column:
         n = F.size(w) - (width - 1)
+        window = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.xxhash64(*[F.get(w, i + k) for k in range(width)]).alias("h"), i.alias("i")))
 
-        def windows(bits: Column) -> Column:
-            mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-            packed = F.transform(
-                F.sequence(F.lit(0), n - 1),
-                lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(width)]).bitwiseAND(F.bitwise_not(mask)).bitwiseOR(i.cast("long")),
-            )
-            return let(F.struct(F.sort_array(packed).alias("p"), mask.alias("mask")), positions)
-
-        def positions(s: Column) -> Column:
-            p, mask = s["p"], s["mask"]
-            top = F.bitwise_not(mask)
-
+        def positions(p: Column) -> Column:
             def equal(x: Column, y: Column) -> Column:
-                i, j = x.bitwiseAND(mask).cast("int"), y.bitwiseAND(mask).cast("int")
-                alike = F.lit(True)
+                alike = x["h"] == y["h"]
                 for k in range(width):
-                    alike &= F.get(w, i + k) == F.get(w, j + k)
-                return F.coalesce((x.bitwiseAND(top) == y.bitwiseAND(top)) & alike, F.lit(False))
+                    alike &= F.get(w, x["i"] + k) == F.get(w, y["i"] + k)
+                return F.coalesce(alike, F.lit(False))
 
             def twice(x: Column, k: Column) -> Column:
                 return equal(x, F.get(p, k - 1)) | equal(x, F.get(p, k + 1))
 
-            found = F.sort_array(F.transform(F.filter(p, twice), lambda x: x.bitwiseAND(mask)))
+            found = F.sort_array(F.transform(F.filter(p, twice), lambda x: x["i"].cast("long")))
             return let(found, counted)
 
         def counted(found: Column) -> Column:
             new = F.transform(found, lambda i, k: F.when(k == 0, F.lit(width).cast("long")).otherwise(F.least(F.lit(width).cast("long"), i - F.get(found, k - 1))))
             return F.aggregate(new, F.lit(0).cast("long"), lambda a, x: a + x)
 
-        bits = F.length(F.bin(n.cast("long")))
-        return F.when(n < 2, F.lit(0).cast("long")).otherwise(let(bits, windows))
+        return F.when(n < 2, F.lit(0).cast("long")).otherwise(let(F.sort_array(window), positions))
 
     return let(words, covered)
 
