@@ -279,7 +279,7 @@ def mine(
 
     No part take rows with a null id or label, a null or empty vector or one with null or
     non-finite components, and vectors whose squared length passes 2**39, as their scores
-    would pass a long.  Rows alike in id, label and vector count once.  Vectors are compared
+    would pass a long.  Ids and labels are whole numbers, others raise.  Rows alike in id, label and vector count once.  Vectors are compared
     with those of their own length only.  Other columns are not looked at.
     """
     rows = staged(usable(vectors, id_column, vector_column, label_column, spoil, labels), "vectors")
