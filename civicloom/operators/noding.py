@@ -18,6 +18,8 @@ from civicloom.session import stored, stored_with
 DIGITS = 9
 NEAR = 2 * 10.0**-DIGITS
 EDGE = ["ax", "ay", "bx", "by"]
+#: Cells of a row whose borders one task sums up.
+BLOCK = 1 << 12
 
 
 def rounded(value: Column) -> Column:
@@ -39,10 +41,19 @@ def undirected(edges: DataFrame, times: Column | int = 1) -> DataFrame:
 
 
 def grid(edges: DataFrame) -> DataFrame:
-    """(g, x0, y0, side): square cells, about as many as a group has edges, off any round number."""
+    """(g, x0, y0, side): square cells, about as many as a group has edges, off any round number.
+
+    Where a group is long and thin, or mostly empty, that many cells of its box hold more edges
+    the larger it is; cells are then twice as wide as an edge is long on average, so that
+    the edges still pass through no more than three each on average.
+
+    A sum of lengths may differ in its last digits when taken again, so it is stored where
+    several steps use it.
+    """
     low_y, high_y = F.least("ay", "by"), F.greatest("ay", "by")
-    box = edges.groupBy("g").agg(F.min("ax").alias("left"), F.max("bx").alias("right"), F.min(low_y).alias("down"), F.max(high_y).alias("up"), F.count("*").alias("n"))
-    side = F.greatest(F.col("right") - F.col("left"), F.col("up") - F.col("down")) / F.ceil(F.sqrt("n"))
+    reach = (F.col("bx") - F.col("ax") + high_y - low_y).alias("reach")
+    box = edges.select("*", reach).groupBy("g").agg(F.min("ax").alias("left"), F.max("bx").alias("right"), F.min(low_y).alias("down"), F.max(high_y).alias("up"), F.count("*").alias("n"), F.avg("reach").alias("mean"))
+    side = F.least(F.greatest(F.col("right") - F.col("left"), F.col("up") - F.col("down")) / F.ceil(F.sqrt("n")), 2 * F.col("mean"))
     sized = box.withColumn("side", F.greatest(side, F.lit(1024 * NEAR)))
     return sized.select("g", (F.col("left") - F.col("side") * 0.381966).alias("x0"), (F.col("down") - F.col("side") * 0.236068).alias("y0"), "side")
 
@@ -79,15 +90,19 @@ def celled(placed: DataFrame) -> DataFrame:
     return spread.withColumn("row", F.explode(rows)).withColumn("cell", _cell())
 
 
+def tasks(df: DataFrame) -> int:
+    """As many tasks as run side by side."""
+    session = df.sparkSession
+    return max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` dealt by ``keys`` to as many tasks as run side by side.
 
     The rows of a cell are few bytes and much arithmetic, so partitions sized by bytes would
     leave most of a cluster idle.
     """
-    session = df.sparkSession
-    tasks = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(tasks, *keys)
+    return df.repartition(tasks(df), *keys)
 
 
 CELL = ["cell", "g", "col", "row"]
@@ -142,7 +157,7 @@ def _crossing(cells: DataFrame) -> DataFrame:
 
 def _meetings(edges: DataFrame) -> DataFrame:
     """(g, ax, ay, bx, by, x, y): points between the ends of an edge where another edge meets it."""
-    sized = grid(edges)
+    sized = stored(grid(edges), "grid")
     cells = spread(celled(edges.join(sized, "g")).select(*CELL, *EDGE), "cell")
     # The same point may come from several cells and edges; pieces without length are left out later.
     return _touching(edges, sized, cells).union(_crossing(cells))
@@ -182,7 +197,7 @@ def outside(edges: DataFrame) -> DataFrame:
     edges of one cell only.
     """
     ax, ay, bx, by, side = (F.col(c) for c in (*EDGE, "side"))
-    placed = edges.join(grid(edges), "g")
+    placed = edges.join(stored(grid(edges), "grid"), "g")
     floor_y = F.col("y0") + F.col("row") * side
     crosses = (ay <= floor_y) != (by <= floor_y)
     at = ax + (floor_y - ay) * (bx - ax) / F.when(by != ay, by - ay)
@@ -195,9 +210,15 @@ def outside(edges: DataFrame) -> DataFrame:
     mids = placed.select("g", "x0", "y0", "side", *[F.col(c).alias(f"m_{c}") for c in (*EDGE, "times")], *middle)
     mids = mids.select("*", _column(F.col("mx")).alias("col"), _row(F.col("my")).alias("row")).withColumn("cell", _cell())
     asked = mids.select("g", "row", "col").distinct()
-    along = Window.partitionBy("g", "row").orderBy("col").rangeBetween(Window.unboundedPreceding, -1)
+    # Summed inside blocks of a row, and over its blocks, so that no task sorts the whole of a long row.
+    along = Window.partitionBy("g", "row", "block").orderBy("col").rangeBetween(Window.unboundedPreceding, -1)
+    over = Window.partitionBy("g", "row").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     both = borders.withColumn("asked", F.lit(False)).unionByName(asked.select("*", F.lit(0).cast("long").alias("gain"), F.lit(True).alias("asked")))
-    corners = both.withColumn("corner", F.coalesce(F.sum("gain").over(along), F.lit(0))).where("asked").select("g", "row", "col", "corner")
+    both = both.withColumn("block", F.floor(F.col("col") / BLOCK))
+    blocks = both.groupBy("g", "row", "block").agg(F.sum("gain").alias("gain"))
+    blocks = blocks.select("g", "row", "block", F.coalesce(F.sum("gain").over(over), F.lit(0)).alias("before"))
+    inner = both.withColumn("inner", F.coalesce(F.sum("gain").over(along), F.lit(0))).where("asked")
+    corners = inner.join(blocks, ["g", "row", "block"]).select("g", "row", "col", (F.col("before") + F.col("inner")).alias("corner"))
 
     local = spread(celled(placed).select(*CELL, *EDGE, "times"), "cell")
     met = spread(mids, "cell").join(_other(local), "cell").where(_one_cell())
