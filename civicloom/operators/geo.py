@@ -28,9 +28,9 @@ def polygons_of(geometry: Column | str) -> Column:
     found = F.when((head["type"] == "Polygon") & single.isNotNull(), F.array(single)).when(
         head["type"] == "MultiPolygon", several
     )
-    broken = text.isNotNull() & found.isNull()
     why = F.concat(F.lit("no polygon: "), F.substring(text, 1, 80))
-    return F.when(broken, F.raise_error(why).cast(f"array<array<{RING}>>")).otherwise(found)
+    # What is found stands here once: text is read as often as its expression occurs.
+    return F.coalesce(found, F.when(text.isNotNull(), F.raise_error(why).cast(f"array<array<{RING}>>")))
 
 
 def _twice_area(ring: Column) -> Column:
@@ -46,7 +46,7 @@ def _twice_area(ring: Column) -> Column:
 def member_edges(df: DataFrame, group: str, geometry: str) -> DataFrame:
     """Directed edges (group, x1, y1, x2, y2) with the interior on the left."""
     rings = (
-        df.select(group, F.explode(polygons_of(geometry)).alias("__polygon"))
+        noding.spread(df.select(group, geometry)).select(group, F.explode(polygons_of(geometry)).alias("__polygon"))
         .select(group, F.posexplode("__polygon").alias("__nth", "__ring"))
         .where(F.size("__ring") > 3)
     )
