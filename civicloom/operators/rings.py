@@ -7,14 +7,16 @@ longest ring.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicloom.operators.noding import spread
+from civicloom.operators.noding import spread, tasks
 from civicloom.session import stored, stored_with
 
-#: Edges of a group that one task walks; more are cut into tiles of about as many.
+#: Edges that one task walks at a time; larger groups are cut into tiles of as many, wherever they lie.
 TILE = 1 << 16
 
 
@@ -38,6 +40,21 @@ def following(edges: DataFrame) -> DataFrame:
     return paired.select("id", F.when(F.col("before.comes"), wrong).otherwise(F.col("before.id")).alias("next"))
 
 
+def _tiles(parts: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    """Sorted edges, at most ``size`` of them at a time; a group that is no larger stays in one tile."""
+    held: pd.DataFrame | None = None
+    for part in parts:
+        held = part if held is None else pd.concat([held, part], ignore_index=True)
+        while len(held) > size:
+            of = held["of"].to_numpy()[: size + 1]
+            starts = (of[1:] != of[:-1]).nonzero()[0] + 1
+            cut = int(starts[-1]) if len(starts) else size
+            yield held.iloc[:cut]
+            held = held.iloc[cut:].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held
+
+
 def _walked(part: pd.DataFrame) -> pd.DataFrame:
     """Chains of a tile: every edge with the first of its chain and its place; where the chain goes on, if it is open.
 
@@ -87,12 +104,26 @@ def ranked(edges: DataFrame, after: DataFrame) -> tuple[DataFrame, bool]:
 
     And whether every ring closed inside its tile, where it was cut to simple ones.
     """
-    sizes = edges.groupBy("g").agg(F.count("*").alias("n"), F.min("x1").alias("left"), F.min("y1").alias("down"), F.greatest(F.max("x1") - F.min("x1"), F.max("y1") - F.min("y1")).alias("reach"))
-    # A little over its share, so that the last vertex is no tile of its own.
-    side = F.greatest(F.col("reach") / F.ceil(F.sqrt(F.col("n") / TILE)) * (1 + 1e-9), F.lit(1e-300))
-    tile = F.xxhash64("g", F.floor((F.col("x1") - F.col("left")) / side), F.floor((F.col("y1") - F.col("down")) / side))
-    tiled = edges.join(sizes, "g").select("id", tile.alias("tile"), "x1", "y1")
-    walked = tiled.join(after, "id").groupBy("tile").applyInPandas(_walked, "id long, head long, place long, goes_on long, size long")
+    x, y, n = F.col("x1"), F.col("y1"), F.col("n")
+    spans = [(F.max(c) - F.min(c)).alias(f"{c}_span") for c in ("x1", "y1")]
+    sizes = edges.groupBy("g").agg(F.count("*").alias("n"), F.min("x1").alias("left"), F.min("y1").alias("down"), *spans)
+    # Bands across the longer side of a group, as high as a tile of an even spread.
+    wide = F.col("x1_span") > F.col("y1_span")
+    long, short = F.greatest("x1_span", "y1_span"), F.least("x1_span", "y1_span")
+    high = F.greatest(F.sqrt(long * short * TILE / n), long * TILE / n, F.lit(1e-300))
+    band = F.floor(F.when(wide, x - F.col("left")).otherwise(y - F.col("down")) / high)
+    large = n > TILE
+    place = [F.xxhash64("g").alias("of"), F.when(large, band).otherwise(0).alias("band"), F.when(large, F.when(wide, y).otherwise(x)).otherwise(0.0).alias("along")]
+    order = ["of", "band", "along"]
+    tiled = edges.join(sizes, "g").select("id", *place, "x1", "y1").join(after, "id").select("id", "next", *order, "x1", "y1")
+    size = TILE
+
+    def walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for tile in _tiles(parts, size):
+            yield _walked(tile)
+
+    ordered = tiled.repartitionByRange(tasks(edges), *order).sortWithinPartitions(*order)
+    walked = ordered.mapInPandas(walk, "id long, head long, place long, goes_on long, size long")
     walked, leave = stored_with(walked, F.count("goes_on"))
     chains = walked.where("place = 0 AND goes_on IS NOT NULL").select("head", "goes_on", "size")
     if not leave:  # no ring leaves its tile
@@ -168,7 +199,9 @@ def polygons(edges: DataFrame) -> DataFrame:
         return shapes.groupBy("g").agg(F.transform(listed, lambda s: s["shape"]).alias("polygons"))
     holes = rings.where("doubled < 0")
 
-    reach = edges.groupBy("g").agg(F.min("y1").alias("down"), ((F.max("y1") - F.min("y1")) / F.ceil(F.sqrt(F.count("*")))).alias("side"))
+    # Rows no higher than twice the mean height of an edge, so that a tall group's hold no more the taller it is.
+    even, mean = (F.max("y1") - F.min("y1")) / F.ceil(F.sqrt(F.count("*"))), F.avg(F.abs(F.col("y2") - F.col("y1")))
+    reach = edges.groupBy("g").agg(F.min("y1").alias("down"), F.least(even, 2 * mean).alias("side"))
 
     def row(y: Column) -> Column:
         return F.floor((y - F.col("down")) / F.col("side"))

@@ -4,9 +4,10 @@ import json
 import math
 import random
 
+import pandas as pd
 import pytest
 
-from civicloom.operators import geo, rings
+from civicloom.operators import geo, noding, rings
 from tests.test_operators import square
 
 
@@ -169,3 +170,31 @@ def test_rings_over_many_tiles(spark, monkeypatch):
     lake = [square(x, y) for x in range(8) for y in range(8) if (x, y) not in ((2, 2), (3, 3), (5, 5))]
     area, _, union = measured(spark, *lake)
     assert area == 61.0 and len(union["coordinates"]) == 4
+
+
+def test_cells_of_a_thin_group_hold_few_edges(spark):
+    """A strip four wide: its cells hold no more edges the longer it is."""
+    most = []
+    for n in (1000, 16000):
+        strip = spark.range(n).selectExpr("struct('g' AS g) AS g", "id % 4 + 0.0D AS ax", "id DIV 4 + 0.0D AS ay", "id % 4 + 1.0D AS bx", "id DIV 4 + 0.0D AS by")
+        cells = noding.celled(strip.join(noding.grid(strip), "g"))
+        most.append(cells.groupBy("cell").count().agg({"count": "max"}).first()[0])
+    assert most[1] <= most[0] <= 16
+
+
+def test_rows_summed_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(noding, "BLOCK", 2)
+    bars = [shape((3 * k, 0), (3 * k + 4, 0), (3 * k + 4, 5), (3 * k, 5)) for k in range(9)]
+    assert measured(spark, *bars, square(2, 2), shape((40, 1), (41, 1), (41, 2), (40, 2)))[:2] == (28 * 5 + 1, 66 + 4)
+
+
+def test_tiles_are_bounded_wherever_edges_lie():
+    """No tile is larger than asked for, and a group that fits stays whole."""
+    sizes = [3, 25, 4, 4, 1, 10, 2]
+    of = [g for g, n in enumerate(sizes) for _ in range(n)]
+    whole = pd.DataFrame({"of": of, "id": range(len(of))})
+    tiles = list(rings._tiles((whole.iloc[k : k + 7] for k in range(0, len(of), 7)), 10))
+    assert pd.concat(tiles)["id"].tolist() == list(range(len(of)))
+    assert max(len(t) for t in tiles) <= 10
+    for g in (0, 2, 3, 4, 5, 6):
+        assert sum(g in set(t["of"]) for t in tiles) == 1
