@@ -4,11 +4,12 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicloom.llm import byte_bpe, histogram_shards, host_quality, minmax, packing, pca_tiles, pii, queries, substrings, toxicity, url_rules
+from civicloom.llm import bwt, byte_bpe, histogram_shards, host_quality, minmax, packing, pca_tiles, pii, queries, substrings, toxicity, url_rules
 from tests.llm import brute
 
 FOLDER = "/root/testdata/sf0.001"
@@ -387,6 +388,27 @@ def test_hot_grams_and_long_texts(spark, monkeypatch):
         cloudpickle.unregister_pickle_by_value(substrings)
 
 
+@pytest.mark.parametrize("kinds, least", [(1, 50), (2, 7), (26, 50), (256, 50)])
+def test_least_owners_take_few_sorts(monkeypatch, kinds, least):
+    r = random.Random(kinds)
+    base = bytes(r.randrange(kinds) for _ in range(20_000))
+    pieces = [base[a : a + r.randint(1, 90)] for a in (r.randrange(len(base)) for _ in range(600))] + [b"", base[-least:], base[: least - 1]]
+    owners = np.array([r.randrange(99) for _ in pieces])
+    best, want, at = {}, {}, 0
+    for piece, owner in zip(pieces, owners.tolist()):
+        for i in range(len(piece) - least + 1):
+            best[piece[i : i + least]] = min(best.get(piece[i : i + least], owner), owner)
+    for piece in pieces:
+        want |= {at + i: best[piece[i : i + least]] for i in range(len(piece) - least + 1)}
+        at += len(piece)
+    sorts, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: sorts.append(len(a[0])) or argsort(*a, **k))
+    places, smallest = bwt.least_owner(np.frombuffer(b"".join(pieces), np.uint8), np.array([len(p) for p in pieces]), owners, least)
+    assert dict(zip(places.tolist(), smallest.tolist())) == want and len(places) == len(want)
+    # Strings of 7 symbols, of 21 and of 50, and once the transform: no more than ``least`` symbols are looked at.
+    assert len(sorts) <= 4
+
+
 def test_repeated_rows_take_nothing_from_each_other(spark):
     df = spark.createDataFrame([(1, BASE), (1, BASE), (2, BASE), (None, BASE)], T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]))
     got = sorted((r["doc_id"] or 99, len(r["kept"])) for r in substrings.remove_repeats(df).collect())
