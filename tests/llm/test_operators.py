@@ -344,6 +344,59 @@ def test_packing(docs, rows, whole):
             assert at == len(ids)
 
 
+@pytest.fixture(scope="module")
+def plain_texts():
+    """Every character that texts may hold to be cut to words outside the library, in many neighbourhoods."""
+    r = random.Random(11)
+    every = [chr(c) for c in range(256) if packing.PLAIN.fullmatch(chr(c))]
+    texts = ["".join(r.choice(every) for _ in range(r.randint(0, 300))) for _ in range(300)]
+    texts += ["".join(r.choice("aé,.!' 'stvemldr1\n\t<|") for _ in range(r.randint(0, 300))) for _ in range(300)]
+    return [*texts, "".join(every), *(a + c + b for c in every for a, b in ("ab", "''", "1 ", " .", ".s"))]
+
+
+def test_words_are_cut_as_the_tokenizer_cuts_them(plain_texts):
+    from tokenizers import Tokenizer
+
+    known = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
+    tokenizer = packing.WordTokenizer(queries.word_definition())
+    for texts in (plain_texts, plain_texts[::-1], [""], ["", "日本"], ["日本", "a,b. <|endoftext|>"]):
+        ids, counts = tokenizer(texts, brute.array("I", [2]).tobytes())
+        want = [[*known.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
+def test_other_rules_for_words_are_left_to_the_tokenizer(spark):
+    import json
+
+    from tokenizers import Tokenizer
+
+    rules = json.loads(queries.word_definition())
+    rules["normalizer"] = {"type": "NFC"}
+    known = Tokenizer.from_str(json.dumps(rules))
+    texts = ["Two words, one.", "it's", "", None, "日本 b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = defaultdict(bytes)
+    for r in sorted(packing.pack(df, json.dumps(rules)).collect(), key=lambda r: r["start"]):
+        got[r["doc_id"]] += bytes(r["ids"])
+    for i, text in enumerate(texts):
+        assert got[i] == brute.array("I", [*known.encode(text or "", add_special_tokens=False).ids, 2]).tobytes()
+
+
+def test_packing_looks_at_a_repeated_word_once(monkeypatch):
+    class Counted:
+        seen = 0
+
+        def findall(self, text):
+            Counted.seen += len(text)
+            return words.findall(text)
+
+    words = packing.WORDS
+    monkeypatch.setattr(packing, "WORDS", Counted())
+    tokenizer = packing.WordTokenizer(queries.word_definition())
+    tokenizer([" ".join(["some word, and another: 12 don't."] * 500)] * 4)
+    assert 0 < Counted.seen < 100
+
+
 def test_byte_bpe(docs, rows, whole):
     import public_tokenizers
     import tiktoken
